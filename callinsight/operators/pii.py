@@ -94,24 +94,28 @@ def anonymized_text(detected: DataFrame, operator_map: Mapping = OPERATORS) -> C
     return text
 
 
-def highlighted_text(detected: DataFrame) -> Column:
-    """The original text as HTML, with each finding in a ``mark`` element naming its entity."""
-    text = F.col("_masked")
+def _as_html(text: Column) -> Column:
     for symbol, escape in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         text = F.replace(text, F.lit(symbol), F.lit(escape))
+    return text
+
+
+def _put_back(text: Column, entity: str) -> Column:
+    """Put the findings of an entity back in their places, each in a ``mark`` element."""
+
+    def rejoin(piece: Column, hit: Column) -> Column:
+        marked = F.concat(F.lit(f'<mark class="{entity}">'), _as_html(hit), F.lit("</mark>"))
+        return F.concat(piece, F.coalesce(marked, F.lit("")))
+
+    pieces = F.split(text, _MARKS[entity], -1)
+    return F.array_join(F.zip_with(pieces, F.col(f"_found_{entity}"), rejoin), "")
+
+
+def highlighted_text(detected: DataFrame) -> Column:
+    """The original text as HTML, with each finding in a ``mark`` element naming its entity."""
+    text = _as_html(F.col("_masked"))
     for entity in _detected(detected):
-        pieces = F.split(text, _MARKS[entity], -1)
-        text = F.array_join(
-            F.zip_with(
-                pieces,
-                F.col(f"_found_{entity}"),
-                lambda piece, hit, e=entity: F.concat(
-                    piece,
-                    F.when(hit.isNotNull(), F.concat(F.lit(f'<mark class="{e}">'), hit, F.lit("</mark>"))).otherwise(""),
-                ),
-            ),
-            "",
-        )
+        text = _put_back(text, entity)
     return text
 
 
@@ -129,7 +133,7 @@ def anonymize(
     found = detect(transcripts, entities, threshold, names_column=names_column)
     return found.select(
         F.col("text_file").alias("original_file"),
-        F.regexp_replace("text_file", r"(\.txt)?$", ".anon.txt").alias("anonymized_file"),
+        F.concat(F.regexp_replace("text_file", r"\.txt$", ""), F.lit(".anon.txt")).alias("anonymized_file"),
         anonymized_text(found, operator_map).alias("text"),
         F.when(F.col("text").isNull(), "no text").alias("error"),
     )
