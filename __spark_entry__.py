@@ -52,6 +52,7 @@ def entry(spark: SparkSession) -> DataFrame:
 # --- Queries ----------------------------------------------------------------------------------
 
 
+@star.reused
 def _frame(spark: SparkSession, d: str) -> DataFrame:
     return frame.dashboard_frame(star.calls(spark, d), star.clients(spark, d))
 
@@ -90,7 +91,7 @@ def _transcript_view(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _update_chain(spark: SparkSession, d: str) -> DataFrame:
-    steps = star.step_outputs(spark, d)
+    steps = dict(star.step_outputs(spark, d))
     steps["answered"] = answers.postprocess_answers(steps["answered"])
     return updates.apply_chain(star.new_calls(spark, d), steps)
 

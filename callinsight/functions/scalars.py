@@ -35,16 +35,20 @@ def normalize_tone(answer: Column) -> Column:
     )
 
 
-def most_common(answers: Column) -> Column:
-    """Most frequent element of an array; the earliest one wins a tie, NULLs do not vote."""
-    votes = F.filter(answers, lambda a: a.isNotNull())
-    ranked = F.transform(
-        votes,
-        lambda a, i: F.struct(
-            F.size(F.filter(votes, lambda b: b == a)).alias("n"), (-i).alias("first"), a.alias("a")
-        ),
-    )
-    return F.array_max(ranked)["a"]
+def most_common(answers: list[Column]) -> Column:
+    """Most frequent of a few columns; the earliest one wins a tie, NULLs do not vote."""
+    ranked = [
+        F.when(
+            a.isNotNull(),
+            F.struct(
+                sum((F.when(a == b, 1).otherwise(0) for b in answers), F.lit(0)).alias("n"),
+                F.lit(-i).alias("first"),
+                a.alias("answer"),
+            ),
+        )
+        for i, a in enumerate(answers)
+    ]
+    return F.array_max(F.array(*ranked))["answer"]
 
 
 def score_from_text(answer: Column) -> Column:

@@ -97,46 +97,40 @@ def numbered_items(text: Column, n: int) -> Column:
     """Items of a numbered list as an array; NULL unless it holds exactly 1 to n, in order."""
     numbers = F.regexp_extract_all(text, F.lit(_ITEM), F.lit(1))
     expected = F.array(*[F.lit(str(i)) for i in range(1, n + 1)])
-    items = F.transform(F.regexp_extract_all(text, F.lit(_ITEM), F.lit(2)), lambda x: F.btrim(x))
-    return F.when(numbers == expected, items)
-
-
-def _vote(lists: list[str], n: int) -> Column:
-    """Item by item, the most common of several answer lists; NULL if none is complete."""
-    voted = F.array(*[X.most_common(F.array(*[F.get(c, F.lit(i)) for c in lists])) for i in range(n)])
-    return F.when(F.coalesce(*lists).isNotNull(), voted)
+    return F.when(numbers == expected, F.regexp_extract_all(text, F.lit(_ITEM), F.lit(2)))
 
 
 def parse_answers(texts: DataFrame, polls: Sequence[str] = ("block_2",)) -> DataFrame:
     """Columns from numbered answer lists: ``block_1``, and the second block from each poll.
 
     With several polls each item is decided by majority. The polls of a text are columns of its
-    row, so the vote is an array expression without a shuffle. An incomplete list does not vote;
+    row, so the vote is a plain expression without a shuffle. An incomplete list does not vote;
     without a complete one the row's answers are NULL and ``error`` names the block. Scores
     become integers.
     """
     first, second = S.ANSWER_BLOCKS
+    lists = [f"_poll_{i}" for i in range(len(polls))]
     parsed = texts.withColumns(
         {
-            "_items_1": numbered_items(F.col("block_1"), len(first)),
-            **{f"_poll_{i}": numbered_items(F.col(c), len(second)) for i, c in enumerate(polls)},
+            "_items": numbered_items(F.col("block_1"), len(first)),
+            **{c: numbered_items(F.col(text), len(second)) for c, text in zip(lists, polls)},
         }
     )
-    lists = [f"_poll_{i}" for i in range(len(polls))]
-    parsed = parsed.withColumn("_items_2", _vote(lists, len(second)) if len(lists) > 1 else F.col(lists[0]))
-    problem = F.when(F.col("_items_1").isNull(), "block 1 incomplete").when(
-        F.col("_items_2").isNull(), "block 2 incomplete"
+    problem = F.when(F.col("_items").isNull(), "block 1 incomplete").when(
+        F.coalesce(*lists).isNull(), "block 2 incomplete"
     )
     # An error of the model itself is the one to report.
     parsed = parsed.withColumn("error", F.coalesce("error", problem) if "error" in texts.columns else problem)
 
-    def value(name: str, block: int, index: int) -> Column:
-        item = F.when(F.col("error").isNull(), F.get(f"_items_{block}", F.lit(index)))
-        return X.score_from_text(item) if name in S.SCORE_COLUMNS else item
+    def value(name: str, index: int, source: list[str]) -> Column:
+        given = [F.btrim(F.get(c, F.lit(index))) for c in source]
+        item = F.when(F.col("error").isNull(), X.most_common(given) if len(given) > 1 else given[0])
+        return (X.score_from_text(item) if name in S.SCORE_COLUMNS else item).alias(name)
 
     return parsed.select(
         "text_file",
-        *[value(c, b, i).alias(c) for b, block in enumerate(S.ANSWER_BLOCKS, start=1) for i, c in enumerate(block)],
+        *[value(c, i, ["_items"]) for i, c in enumerate(first)],
+        *[value(c, i, lists) for i, c in enumerate(second)],
         "error",
     )
 

@@ -7,6 +7,8 @@ table can be written down in any SQL engine with md5.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,14 +28,32 @@ TONE_ANSWERS = [
 ]
 
 
+# A derived table is a lazy plan: it is built once per session and folder and shared by queries.
+reused = lru_cache(maxsize=64)
+
+KEYS = {"orders": "o_orderkey", "documents": "doc_id"}
+
+
+@reused
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the schema.
+
+    A file with a single row group would leave all row work to one task. Only where the scan has
+    fewer partitions than the cluster has cores (a small table, never a large one) the rows are
+    spread by key first.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in KEYS and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, KEYS[name])
+    return df
 
 
 def agent_key(n: Column) -> Column:
     return F.concat(F.lit("A"), F.lpad(n.cast("string"), 10, "0"))
 
 
+@reused
 def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One client per customer; the nation stands in for the city."""
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -59,6 +79,7 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@reused
 def agents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One agent per supplier."""
     return table(spark, sf_dir, "supplier").select(
@@ -68,6 +89,7 @@ def agents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@reused
 def _calls_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of the derived calls: ``k`` plus client, agent, date and time."""
     n_agents = table(spark, sf_dir, "supplier").select(F.count("*")).scalar()
@@ -97,6 +119,7 @@ def _raw_answers(k: Column) -> dict[str, Column]:
     }
 
 
+@reused
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw question answers, keyed by the anonymized text they were read from."""
     k = F.col("o_orderkey")
@@ -106,6 +129,7 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@reused
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fully analyzed calls in the call-table schema."""
     k = F.col("k")
@@ -124,6 +148,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@reused
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Call metadata as it leaves the generation step."""
     return _calls_base(spark, sf_dir).select(
@@ -136,6 +161,7 @@ def _kept(tag: str, k: Column) -> Column:
     return R.below(tag, k, 23) != 0
 
 
+@reused
 def audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audio files per text: some texts have none, some have two."""
     k = F.col("o_orderkey")
@@ -151,6 +177,7 @@ def audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@reused
 def new_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calls as inserted, before any processing: the analysis columns are NULL."""
     base = _calls_base(spark, sf_dir).withColumn("audio_file", F.concat("call_id", F.lit(".wav")))
@@ -162,6 +189,7 @@ def new_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@reused
 def step_outputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """What each processing step reports back, failures left out."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
@@ -192,6 +220,7 @@ def _poll_answer(column: str, poll: int, k: Column) -> Column:
     return R.pick(tag, k, ["Yes", "No"]) if column in S.YES_NO_COLUMNS else R.score(tag, k).cast("string")
 
 
+@reused
 def answer_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model output per call as numbered lists: ``block_1`` and three polls of the second block.
 
@@ -217,6 +246,7 @@ def answer_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@reused
 def poll_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second question block answered several times: one row per call, question and poll."""
     k = F.col("o_orderkey")
@@ -238,6 +268,7 @@ def poll_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@reused
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One whole transcript per document.
 
@@ -258,6 +289,7 @@ def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@reused
 def named_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transcripts of calls that open by naming both speakers, with the ids of those people."""
     name = lambda df, key: df.select(key, X.full_name(F.col("first_name"), F.col("last_name")).alias(f"_{key}"))
@@ -277,11 +309,13 @@ def named_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@reused
 def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inventory of the recordings of :func:`audio`."""
     return audio(spark, sf_dir).select("audio_file", F.concat(F.lit("/recordings/"), "audio_file").alias("path"))
 
 
+@reused
 def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recorded turns with the speaker names of a call; system messages are not speech."""
     speaker = F.when(F.col("role") == "user", "Client").when(F.col("role") == "assistant", "Agent")
@@ -297,6 +331,7 @@ def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@reused
 def defective(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The three tables with broken rows mixed in, to exercise the integrity checks."""
     client, agent, call = clients(spark, sf_dir), agents(spark, sf_dir), new_calls(spark, sf_dir)
