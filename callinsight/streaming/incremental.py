@@ -61,11 +61,11 @@ def follow_transcripts(
     def run(batch: DataFrame, n: int) -> None:
         analysis.analyze(store, batch, model, f"{output}/batch={n}", insert_calls=False)
 
-    reader = store.spark.readStream.option("wholetext", True).option("pathGlobFilter", "*.txt")
+    reader = store.spark.readStream.option("pathGlobFilter", "*.txt")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     name = F.col("_metadata.file_name")
-    texts = reader.text(folder).select(
+    texts = reader.text(folder, wholetext=True).select(
         F.regexp_replace(name, r"\.txt$", audio_suffix).alias("audio_file"),
         name.alias("transcription_file"),
         F.col("value").alias("text"),
