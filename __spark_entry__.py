@@ -71,12 +71,6 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _named(spark: SparkSession, d: str) -> DataFrame:
-    return relations.with_speaker_names(
-        star.named_transcripts(spark, d), star.clients(spark, d), star.agents(spark, d)
-    )
-
-
 def _highlighted(spark: SparkSession, d: str) -> DataFrame:
     found = pii.detect(_documents(spark, d), ["EMAIL", "PHONE"])
     return found.select("text_file", pii.highlighted_text(found).alias("html"))
@@ -175,7 +169,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             star.clients(spark, d), star.calls(spark, d), "client_id"
         ),
         "anonymize_documents": lambda spark, d: pii.anonymize(_documents(spark, d), ["EMAIL", "PHONE"]),
-        "anonymize_calls": lambda spark, d: pii.anonymize(_named(spark, d), names_column="names"),
+        "anonymize_calls": lambda spark, d: pii.anonymize(
+            star.named_transcripts(spark, d), names_column="names"
+        ),
         "pii_report": lambda spark, d: pii.pii_report(_documents(spark, d)),
         "pii_findings": lambda spark, d: pii.pii_report(_documents(spark, d), full=True),
         "pii_highlighted": _highlighted,

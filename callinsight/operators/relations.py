@@ -20,10 +20,13 @@ def calls_of(people: DataFrame, calls: DataFrame, key: str) -> DataFrame:
     """A person's calls, one row each; people without calls keep one row with a NULL call.
 
     Rows rather than one list per person: a list would gather all calls of a busy person in a
-    single record.
+    single record. An inner join plus the people without calls, rather than an outer join, whose
+    calls' side Spark could not split where one person has very many.
     """
-    details = calls.select(key, "call_id", "date", "time")
-    return people.select(key, "first_name", "last_name").join(details, key, "left")
+    who = people.select(key, "first_name", "last_name")
+    called = who.join(calls.select(key, "call_id", "date", "time"), key)
+    callers = calls.groupBy(key).agg(F.count("*").alias("_n"))
+    return called.unionByName(who.join(callers, key, "left_anti"), allowMissingColumns=True)
 
 
 def call_totals(people: DataFrame, calls: DataFrame, key: str) -> DataFrame:
@@ -34,8 +37,12 @@ def call_totals(people: DataFrame, calls: DataFrame, key: str) -> DataFrame:
     return people.select(key).join(totals, key, "left").withColumn("calls", F.coalesce("calls", F.lit(0).cast("bigint")))
 
 
-def with_speaker_names(transcripts: DataFrame, clients: DataFrame, agents: DataFrame) -> DataFrame:
-    """Add ``names``: full, first and last names of the call's own client and agent."""
+def with_speaker_names(calls: DataFrame, clients: DataFrame, agents: DataFrame) -> DataFrame:
+    """Add ``names``: full, first and last names of the call's own client and agent.
+
+    Meant for the ids of the calls, before the texts are joined, so that texts are not shuffled
+    by client and agent.
+    """
 
     def names(people: DataFrame, key: str) -> DataFrame:
         full = X.full_name(F.col("first_name"), F.col("last_name"))
@@ -43,7 +50,7 @@ def with_speaker_names(transcripts: DataFrame, clients: DataFrame, agents: DataF
 
     none = F.array().cast("array<string>")
     return (
-        transcripts.join(names(clients, "client_id"), "client_id", "left")
+        calls.join(names(clients, "client_id"), "client_id", "left")
         .join(names(agents, "agent_id"), "agent_id", "left")
         .withColumn("names", F.concat(F.coalesce("_client_id", none), F.coalesce("_agent_id", none)))
         .drop("_client_id", "_agent_id")

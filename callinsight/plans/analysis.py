@@ -61,11 +61,15 @@ def analyze(
         if show_progress:
             apply(store, {step: updates})
 
+    # Owner and names are settled on ids; the texts are shuffled once, to meet them.
     calls = store.get_calls().select("call_id", "client_id", "agent_id", "audio_file")
     owners = calls.groupBy("audio_file").agg(F.min(F.struct("call_id", "client_id", "agent_id")).alias("_o"))
+    named = relations.with_speaker_names(
+        owners.select("audio_file", "_o.*"), store.get_clients(), store.get_agents()
+    )
     texts = write_dataset(
-        transcripts.join(owners, "audio_file").select(
-            "_o.*", "audio_file", F.col("transcription_file").alias("text_file"), "text"
+        transcripts.join(named, "audio_file").select(
+            "call_id", "audio_file", F.col("transcription_file").alias("text_file"), "text", "names"
         ),
         f"{output}/transcripts",
     )
@@ -77,12 +81,9 @@ def analyze(
         texts.filter("text is not null").select("audio_file", F.col("text_file").alias("transcription_file")),
     )
 
-    named = relations.with_speaker_names(
-        texts.select("call_id", "client_id", "agent_id", "text_file", "text"), store.get_clients(), store.get_agents()
-    )
-    masked = write_dataset(pii.anonymize(named, names_column="names"), f"{output}/anonymized")
+    masked = write_dataset(pii.anonymize(texts, names_column="names"), f"{output}/anonymized")
     write_errors(masked, ["original_file"], f"{output}/anonymized_errors")
-    findings = write_dataset(pii.pii_report(named, names_column="names"), f"{output}/pii_report")
+    findings = write_dataset(pii.pii_report(texts, names_column="names"), f"{output}/pii_report")
     done = masked.filter("error is null")
     report("anonymized", done.select("original_file", "anonymized_file"))
 

@@ -1,8 +1,8 @@
-"""Session defaults and the shared checkpoint folder."""
+"""Session defaults."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -22,20 +22,3 @@ def build_session(app: str = "callinsight", master: str | None = None, **conf: s
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def checkpointed(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
-    """Cut the lineage through a reliable checkpoint in the folder the cluster names.
-
-    The folder is read from ``spark.checkpoint.dir``; ``fallback_dir`` is only used where the
-    session has none (tests).
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if sc.getCheckpointDir() is None:
-        folder = configured or fallback_dir
-        if folder is None:
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from callinsight import schemas as S
 from callinsight.functions import sampling as R
 from callinsight.functions import scalars as X
+from callinsight.operators.relations import with_speaker_names
 
 YES_NO_ANSWERS = ["Yes", "YES, fully.", "No", "yes.", "no", None]
 TONE_ANSWERS = [
@@ -291,21 +292,16 @@ def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @reused
 def named_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transcripts of calls that open by naming both speakers, with the ids of those people."""
-    name = lambda df, key: df.select(key, X.full_name(F.col("first_name"), F.col("last_name")).alias(f"_{key}"))
-    people = (
-        _calls_base(spark, sf_dir)
-        .select("call_id", "client_id", "agent_id")
-        .join(name(clients(spark, sf_dir), "client_id"), "client_id")
-        .join(name(agents(spark, sf_dir), "agent_id"), "agent_id")
-    )
+    """Transcripts of calls that open by naming both speakers, with their names."""
+    ids = _calls_base(spark, sf_dir).select("call_id", "client_id", "agent_id")
+    named = with_speaker_names(ids, clients(spark, sf_dir), agents(spark, sf_dir))
     greeting = F.concat(
-        F.lit("Agent: This is "), "_agent_id", F.lit(", do I speak to "), "_client_id", F.lit("?\n")
+        F.lit("Agent: This is "), F.get("names", F.lit(3)), F.lit(", do I speak to "), F.get("names", F.lit(0)), F.lit("?\n")
     )
     return (
         transcripts(spark, sf_dir)
-        .join(people, "call_id")
-        .select("call_id", "client_id", "agent_id", "text_file", F.concat(greeting, "text").alias("text"))
+        .join(named, "call_id")
+        .select("call_id", "text_file", F.concat(greeting, "text").alias("text"), "names")
     )
 
 

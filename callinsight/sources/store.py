@@ -103,9 +103,10 @@ class CallStore:
         self._insert_people("agent", agents)
 
     def insert_calls(self, calls: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Replace all calls; returns the batch and its audio files."""
+        """Replace all calls; returns the stored batch and its audio files."""
         self._point("call", self._prepare("call", calls))
-        return calls, calls.select("audio_file")
+        stored = self.get_calls().select(*[c for c in calls.columns if c in S.CALL.fieldNames()])
+        return stored, stored.select("audio_file")
 
     def append_people(self, agents: DataFrame, clients: DataFrame) -> None:
         """Add agents and clients to those already stored."""

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from callinsight import schemas as S
 from callinsight.operators import frame
-from callinsight.session import checkpointed
 from callinsight.sources import files, star
 from callinsight.sources.store import CallStore
 
@@ -126,9 +125,3 @@ def test_update_in_store(spark, store):
 def test_an_empty_insert_leaves_an_empty_table(spark, store):
     store.insert_calls(star.new_calls(spark, SF_DIR).filter("false"))
     assert store.get_calls().count() == 0
-
-
-def test_checkpoint_uses_the_session_folder(spark, tmp_path):
-    df = checkpointed(spark.range(5), fallback_dir=str(tmp_path / "checkpoints"))
-    assert df.count() == 5
-    assert spark.sparkContext.getCheckpointDir() is not None
