@@ -90,14 +90,21 @@ def infer(
     return df.mapInPandas(run, schema)
 
 
-_ITEM = r"(?md)^\s*(\d+)\.[ \t]*(.*)$"
+_ITEM = r"(?md)^\s*\d+\..*$"
+_WHITE = " \t\n\r"
 
 
 def numbered_items(text: Column, n: int) -> Column:
-    """Items of a numbered list as an array; NULL unless it holds exactly 1 to n, in order."""
-    numbers = F.regexp_extract_all(text, F.lit(_ITEM), F.lit(1))
-    expected = F.array(*[F.lit(str(i)) for i in range(1, n + 1)])
-    return F.when(numbers == expected, F.regexp_extract_all(text, F.lit(_ITEM), F.lit(2)))
+    """Lines of a numbered list as an array; NULL unless it holds exactly 1 to n, in order."""
+    lines = F.regexp_extract_all(text, F.lit(_ITEM), F.lit(0))
+    numbers = F.transform(lines, lambda line: F.btrim(F.substring_index(line, ".", 1), F.lit(_WHITE)))
+    expected = ",".join(str(i) for i in range(1, n + 1))
+    return F.when(F.array_join(numbers, ",") == expected, lines)
+
+
+def _answer(line: Column) -> Column:
+    """What follows the number of a list line."""
+    return F.btrim(F.substring(line, F.instr(line, ".") + 1, F.length(line)), F.lit(_WHITE))
 
 
 def parse_answers(texts: DataFrame, polls: Sequence[str] = ("block_2",)) -> DataFrame:
@@ -122,17 +129,21 @@ def parse_answers(texts: DataFrame, polls: Sequence[str] = ("block_2",)) -> Data
     # An error of the model itself is the one to report.
     parsed = parsed.withColumn("error", F.coalesce("error", problem) if "error" in texts.columns else problem)
 
-    def value(name: str, index: int, source: list[str]) -> Column:
-        given = [F.btrim(F.get(c, F.lit(index))) for c in source]
-        item = F.when(F.col("error").isNull(), X.most_common(given) if len(given) > 1 else given[0])
+    # Each answer becomes a column of its own before votes compare it with the others.
+    sources = {name: (["_items"], i) for i, name in enumerate(first)} | {
+        name: (lists, i) for i, name in enumerate(second)
+    }
+    given = {name: [f"{c}_{i}" for c in source] for name, (source, i) in sources.items()}
+    parsed = parsed.withColumns(
+        {f"{c}_{i}": _answer(F.get(c, F.lit(i))) for source, i in sources.values() for c in source}
+    )
+
+    def value(name: str) -> Column:
+        votes = [F.col(c) for c in given[name]]
+        item = F.when(F.col("error").isNull(), X.most_common(votes) if len(votes) > 1 else votes[0])
         return (X.score_from_text(item) if name in S.SCORE_COLUMNS else item).alias(name)
 
-    return parsed.select(
-        "text_file",
-        *[value(c, i, ["_items"]) for i, c in enumerate(first)],
-        *[value(c, i, lists) for i, c in enumerate(second)],
-        "error",
-    )
+    return parsed.select("text_file", *[value(name) for name in S.ANSWER_COLUMNS], "error")
 
 
 def split_errors(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
