@@ -134,6 +134,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "upsales_vs_concerns_by_month": _on_frame(
             lambda f: _rounded(timeline.upsales_vs_concerns(f), "upsales_success", "concerns_addressed")
         ),
+        "monthly_metrics": _on_frame(lambda f: _rounded(timeline.monthly_metrics(f), "value")),
         "call_locations": _on_frame(lambda f: _rounded(locations.call_locations(f), "size")),
         "call_locations_from_tables": lambda spark, d: _rounded(
             locations.call_locations_from_tables(star.calls(spark, d), star.clients(spark, d)), "size"
@@ -674,6 +675,11 @@ def oracle_sql() -> dict[str, str]:
         "AS upsales_success, "
         'round(coalesce(0.0 - avg("Concern Addressed"::INTEGER) * 100, 0.0), 6)::DOUBLE AS concerns_addressed '
         "FROM frame GROUP BY ALL",
+        "monthly_metrics": framed
+        + f"SELECT {month} AS month, strftime({month}, '%b %y') AS label, 'Upsales Success' AS metric, "
+        'round(avg("Upsale Success"::INTEGER) * 100, 6)::DOUBLE AS value FROM frame WHERE "Upsale Attempted" GROUP BY ALL '
+        f"UNION ALL SELECT {month}, strftime({month}, '%b %y'), 'Concerns Addressed', "
+        'round(0.0 - avg("Concern Addressed"::INTEGER) * 100, 6)::DOUBLE FROM frame GROUP BY ALL',
         "call_locations": located,
         "call_locations_from_tables": located,
         "dashboard_frame": framed

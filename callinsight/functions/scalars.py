@@ -137,10 +137,6 @@ def full_name(first: Column, last: Column) -> Column:
     return F.concat_ws(" ", first, last)
 
 
-def words_for_minutes(minutes: Column) -> Column:
-    return minutes * S.WORDS_PER_MINUTE
-
-
 def render(template: str, **values: Column) -> Column:
     """A template with ``{name}`` fields as one string column."""
     parts = []

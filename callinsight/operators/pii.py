@@ -47,11 +47,13 @@ def _active(entities: Sequence[str], threshold: float) -> list[str]:
 
 
 def name_pattern(names: Column) -> Column:
-    """Pattern of an array of names, longer ones first, each taken literally."""
+    """Pattern of an array of names as whole words, longer ones first, each taken literally."""
     known = F.filter(names, lambda n: n.isNotNull() & (n != ""))
-    longest_first = F.reverse(F.array_sort(F.transform(known, lambda n: F.struct(F.length(n).alias("l"), n.alias("n")))))
-    quoted = F.transform(longest_first, lambda s: F.concat(F.lit(r"\Q"), F.replace(s["n"], F.lit(r"\E"), F.lit("")), F.lit(r"\E")))
-    return F.when(F.size(known) > 0, F.concat(F.lit(r"\b(?:"), F.array_join(quoted, "|"), F.lit(r")\b")))
+    by_length = F.array_sort(F.transform(known, lambda n: F.struct(F.length(n).alias("length"), n.alias("name"))))
+    # Inside \Q...\E only \E itself needs care.
+    literal = lambda n: F.concat(F.lit(r"\Q"), F.replace(n, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    any_name = F.array_join(F.transform(F.reverse(by_length), lambda s: literal(s["name"])), "|")
+    return F.when(F.size(known) > 0, F.concat(F.lit(r"(?U)(?<!\w)(?:"), any_name, F.lit(r")(?!\w)")))
 
 
 def detect(

@@ -35,7 +35,6 @@ TOPICS = [
 TONES = ["Positive", "Neutral", "Negative"]
 
 CONCERN_LABELS = ["Concerns Not Addressed", "Concerns Addressed"]
-CONCERN_ORDER = ["Concerns Not Addressed", "Concerns Addressed"]
 
 UPSALE_LABELS = ["Failed Upsales", "No Upsale Attempted", "Successful Upsales"]
 UPSALE_ORDER = ["Successful Upsales", "No Upsale Attempted", "Failed Upsales"]

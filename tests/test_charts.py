@@ -133,6 +133,11 @@ def test_months(spark):
         {"Call Date": None},
     )
     assert [tuple(r)[1:] for r in timeline.calls_over_time(df).collect()] == [("2024-01", "Jan 24", 2), ("2024-03", "Mar 24", 1)]
+    assert [tuple(r)[1:] for r in timeline.monthly_metrics(df).collect()] == [
+        ("Jan 24", "Concerns Addressed", -50.0),
+        ("Jan 24", "Upsales Success", 100.0),
+        ("Mar 24", "Concerns Addressed", None),
+    ]
     assert [tuple(r)[1:] for r in timeline.upsales_vs_concerns(df).collect()] == [("Jan 24", 100.0, -50.0), ("Mar 24", 0.0, 0.0)]
 
 

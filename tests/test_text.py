@@ -78,8 +78,8 @@ def test_anonymized_text_has_only_replacements(spark):
 
 
 def test_names_are_literal(spark):
-    df = texts(spark, ("1.txt", "Call J.R. (Joe) now, JxR stays")).withColumn("names", F.array(F.lit("J.R"), F.lit("x\\Ey")))
-    assert pii.anonymize(df, names_column="names").first().text == "Call John Doe. (Joe) now, JxR stays"
+    df = texts(spark, ("1.txt", "Call J.R. (Joe) now, JxR and J.R.s stay, x\\Ey not xy")).withColumn("names", F.array(F.lit("J.R."), F.lit("x\\Ey")))
+    assert pii.anonymize(df, names_column="names").first().text == "Call John Doe (Joe) now, JxR and J.R.s stay, John Doe not xy"
 
 
 def test_threshold_and_operators(spark):
