@@ -46,7 +46,7 @@ def test_boxes_are_ordered(gold):
 
 def test_turns_keep_every_word(spark):
     texts = star.transcripts(spark, SF_DIR)
-    words = lambda df: df.agg(F.sum(F.regexp_count("text", F.lit(r"\\S+")))).first()[0]
+    words = lambda df: df.agg(F.sum(F.regexp_count("text", F.lit(r"\S+")))).first()[0]
     split = turns.split_turns(texts)
     labels = split.filter("speaker is not null").count()
     assert words(split) + labels == words(texts)
