@@ -146,6 +146,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "transcript_grid": _on_frame(frame.transcript_grid),
         "transcript_view": _transcript_view,
+        "calls_without_recording": lambda spark, d: relations.calls_without_recording(
+            star.new_calls(spark, d), star.recordings(spark, d)
+        ).select("call_id", "audio_file", "date"),
         "batch_for_analysis": lambda spark, d: relations.create_batch_for_analysis(
             star.metadata(spark, d), star.audio(spark, d)
         ),
@@ -693,6 +696,8 @@ def oracle_sql() -> dict[str, str]:
         'FROM transcripts) SELECT "Agent ID", "Caller ID", "Topic", audio_file, text_file, '
         f"{bold} AS transcript, '/recordings/' || audio_file AS audio_path FROM frame JOIN view USING (text_file) "
         "JOIN (SELECT audio_file FROM audio) r USING (audio_file)",
+        "calls_without_recording": f"WITH {audio} SELECT {base['call_id']} AS call_id, {k} || '.wav' AS audio_file, "
+        f"{base['date']} AS date FROM orders WHERE NOT EXISTS (SELECT 1 FROM audio WHERE audio_file = {k} || '.wav')",
         "batch_for_analysis": f"WITH {audio}, m AS (SELECT {_list(base)}, {k} || '.txt' AS text_file FROM orders) "
         "SELECT call_id, client_id, agent_id, date, time, audio_file FROM m JOIN audio USING (text_file)",
         "postprocess_answers": f"SELECT {k} || '.anon.txt' AS text_file, "

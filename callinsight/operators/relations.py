@@ -57,6 +57,11 @@ def with_speaker_names(calls: DataFrame, clients: DataFrame, agents: DataFrame)
     )
 
 
+def calls_without_recording(calls: DataFrame, recordings: DataFrame) -> DataFrame:
+    """Calls whose audio file is unknown or not among the recordings."""
+    return calls.join(recordings.select("audio_file"), "audio_file", "left_anti")
+
+
 def transcript_view(grid: DataFrame, transcripts: DataFrame, recordings: DataFrame) -> DataFrame:
     """Formatted text and recording of the selected calls; calls missing either file drop out."""
     texts = transcripts.select("text_file", X.as_markdown(F.col("text")).alias("transcript"))

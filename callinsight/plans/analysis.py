@@ -75,7 +75,13 @@ def analyze(
     )
 
     segments = write_dataset(turns.split_turns(texts), f"{output}/turns")
-    report("diarized", segments.filter("speaker is not null").select("call_id").distinct())
+    diarized = segments.filter("speaker is not null").select("call_id").distinct()
+    unsplit = texts.join(diarized, "call_id", "left_anti").withColumn("error", F.lit("no speaker turn"))
+    write_errors(unsplit, ["call_id"], f"{output}/diarization_errors")
+    report("diarized", diarized)
+
+    unread = texts.withColumn("error", F.when(F.col("text").isNull(), "no text"))
+    write_errors(unread, ["audio_file"], f"{output}/transcription_errors")
     report(
         "transcribed",
         texts.filter("text is not null").select("audio_file", F.col("text_file").alias("transcription_file")),

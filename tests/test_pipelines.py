@@ -77,6 +77,8 @@ def test_analysis(spark, store, tmp_path, show_progress):
     errors = {re.sub(r"_.*", "", r.text_file): r.error for r in spark.read.parquet(f"{tmp_path}/run/answers_errors").collect()}
     assert errors == {"refused": "RuntimeError: refused", "short": "block 1 incomplete"}
     assert spark.read.parquet(f"{tmp_path}/run/anonymized_errors").count() == 1
+    for step in ("diarization", "transcription"):
+        assert [r.error for r in spark.read.parquet(f"{tmp_path}/run/{step}_errors").collect()] in (["no speaker turn"], ["no text"])
     assert out.turns.groupBy("call_id").count().filter("count = 2").count() == 10
 
 
