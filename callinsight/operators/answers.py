@@ -62,7 +62,8 @@ def infer(
 
     ``model`` gets up to ``batch_size`` rows and returns the output columns in the same order. A
     batch that raises comes back with NULL outputs and the message in ``error``, so one bad input
-    fails neither the task nor the other batches.
+    fails neither the task nor the other batches. Rows reach Python in Arrow batches bounded by
+    ``spark.sql.execution.arrow.maxBytesPerBatch``.
     """
     schema = T.StructType(
         [df.schema[k] for k in keys] + list(output.fields) + [T.StructField("error", T.StringType())]

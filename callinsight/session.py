@@ -11,6 +11,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Batches for Python are bounded by size too: ten thousand transcripts can be gigabytes.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 
 

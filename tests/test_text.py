@@ -111,6 +111,19 @@ def test_speaker_names(spark):
     assert got == {"1": ["Bob Ray", "Bob", "Ray", "Ann Lee", "Ann", "Lee"], "2": []}
 
 
+def test_names_from_a_recognizer(spark):
+    """A trained recognizer plugs in as a batch function that returns the names it saw."""
+
+    def recognize(batch: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"names": [[w for w in t.split() if w.istitle()] for t in batch["text"]]})
+
+    df = texts(spark, ("1.txt", "ask Maria or Li about it"), ("2.txt", "nobody here"))
+    names = T.StructType([T.StructField("names", T.ArrayType(T.StringType()))])
+    found = answers.infer(df, recognize, names, ["text_file", "text"], batch_size=8)
+    got = {r.original_file: r.text for r in pii.anonymize(found.drop("error"), names_column="names").collect()}
+    assert got == {"1.txt": "ask John Doe or John Doe about it", "2.txt": "nobody here"}
+
+
 BLOCK_1 = "1. billing discrepancies\n2. The client asked about a bill.\n3. Yes.\n4. Natural.\n5. positive.\n"
 BLOCK_2 = "1. No\n2. No\n3. 4\n4. 5\n5. 4\n6. 5\n7. 4\n8. 3"
 
