@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from callinsight import schemas as S
@@ -15,18 +16,24 @@ def check_status(status: str) -> str:
 
 
 def _one_per_key(updates: DataFrame, key: str, order_by: str | None) -> DataFrame:
-    """One struct ``_new`` per key: the last by ``order_by``, or an error on duplicates."""
+    """One struct ``_new`` per key: the last by ``order_by``, or an error on duplicates.
+
+    Both are a row number within the key, on the partitioning and order the join needs next. With
+    an order column Spark also keeps only each task's last row before the shuffle, so very many
+    updates of one key do not meet in one task.
+    """
     values = [c for c in updates.columns if c not in (key, order_by)]
     # A constant member keeps the struct present even when only the status changes.
     new = F.struct(F.lit(True).alias("_hit"), *values)
-    rows = updates.filter(F.col(key).isNotNull())
+    rows = updates.filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), new.alias("_new"), *([F.col(order_by).alias("_order")] if order_by else [])
+    )
+    number = F.row_number().over(W.partitionBy("_key").orderBy(F.desc("_order") if order_by else F.col("_key")))
+    rows = rows.withColumn("_number", number)
     if order_by:
-        chosen = F.max_by(new, F.col(order_by))
-    else:
-        chosen = F.when(F.count("*") == 1, F.first(new)).otherwise(
-            F.raise_error(F.concat(F.lit(f"several updates for {key} "), F.first(key).cast("string")))
-        )
-    return rows.groupBy(F.col(key).alias("_key")).agg(chosen.alias("_new"))
+        return rows.filter(F.col("_number") == 1).select("_key", "_new")
+    twice = F.raise_error(F.concat(F.lit(f"several updates for {key} "), F.col("_key").cast("string")))
+    return rows.select("_key", F.when(F.col("_number") == 1, F.col("_new")).otherwise(twice).alias("_new"))
 
 
 def update_calls(
