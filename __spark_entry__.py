@@ -32,6 +32,12 @@ from callinsight.operators import (
 )
 from callinsight.sources import star
 
+try:  # the training-data operators may be absent; everything else works without them
+    import corpus_pipeline
+    from callinsight.llm import queries as llm
+except ImportError:
+    llm = corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Controls of the filtered dashboard: conditions on values, not on ids.
@@ -113,6 +119,14 @@ def _quarantine(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**call_queries(), **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {**call_sql(), **(llm.oracle_sql() if llm else {})}
+
+
+def call_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "upsales_by_agent": _on_frame(lambda f: _rounded(outcomes.upsales(f, "comparison"), "share")),
         "upsales_overall": _on_frame(lambda f: _rounded(outcomes.upsales(f, "average"), "share")),
@@ -265,7 +279,7 @@ def _list(columns: dict[str, str]) -> str:
     return ", ".join(f'{e} AS "{n}"' for n, e in columns.items())
 
 
-def oracle_sql() -> dict[str, str]:
+def call_sql() -> dict[str, str]:
     k = "o_orderkey"
     n_agents = "(SELECT count(*) FROM supplier)"
     base = {

@@ -6,7 +6,7 @@ import __spark_entry__ as registry
 import oracle
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = registry.queries(), registry.oracle_sql()
+QUERIES, SQL = registry.call_queries(), registry.call_sql()
 
 
 @pytest.fixture(scope="module")
