@@ -63,6 +63,7 @@ class ExactDedup:
         session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
         session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
         session.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "128")
+        session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")  # many small stores
         stream = (
             session.readStream.schema(ARRIVAL)
             .option("maxBytesPerTrigger", str(self.bytes_per_trigger))
