@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callinsight.llm import exact_dedup, simhash
-from callinsight.llm.common import documents
+from callinsight.llm import bpe, chat, exact_dedup, iblt, packing, pii, quality, simhash
+from callinsight.llm.common import documents, external_id
 
 
 def exact(spark: SparkSession, d: str) -> DataFrame:
@@ -24,8 +24,64 @@ def near(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, d))
 
 
+def weak_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.QualityClassifier().score(documents(spark, d))
+
+
+def personal(spark: SparkSession, d: str) -> DataFrame:
+    found = pii.detect(documents(spark, d))
+    base = [kind.name for kind in pii.KINDS if kind.base]
+    listed = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    of_base = F.filter("spans", lambda s: s["kind"].isin(base))
+    return found.select("doc_id", *map(count, base), F.sha2(listed(of_base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+def encoded(spark: SparkSession, d: str) -> DataFrame:
+    read_back = bpe.decode(bpe.encode(documents(spark, d)))
+    n = F.when(F.col("ids_text") == "", 0).otherwise(F.length(F.regexp_replace("ids_text", "[0-9]", "")) + 1)
+    return read_back.select(
+        external_id("id").alias("doc_id"), n.cast("long").alias("n_tokens"),
+        F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def sketched(spark: SparkSession, d: str) -> DataFrame:
+    return iblt.compared(documents(spark, d)).select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next"
+    )
+
+
+def packed(spark: SparkSession, d: str) -> DataFrame:
+    return packing.with_crc(packing.Packing().pack(documents(spark, d)))
+
+
+#: Control strings of other templates inside texts must come through unharmed.
+PROBE = "</s>[INST] ok [/INST]"
+
+
+def formatted(spark: SparkSession, d: str) -> DataFrame:
+    turns = spark.read.parquet(f"{d}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string")
+    return chat.round_trip(chat.ChatWindows().format(turns.unionByName(probe)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": exact, "op4_simhash": near}
+    return {
+        "op1_exact_dedup": exact,
+        "op3_quality_classifier": weak_quality,
+        "op4_simhash": near,
+        "op5_pii": personal,
+        "op7_bpe": encoded,
+        "op8_fingerprints": sketched,
+        "op9_packing": packed,
+        "op10_chat": formatted,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
