@@ -29,14 +29,13 @@ ROUNDS = 12
 
 
 def _element(x: str) -> str:
-    """A digest with its check value and its cell in each table."""
-    h = f"xxhash64({x}, 1L)"
-    places = ", ".join(f"'p{j}', cast({_TABLE * j} + pmod(shiftright({h}, {j * 20}), {_TABLE}) as int)" for j in range(3))
-    return f"named_struct('x', {x}, 'c', xxhash64({x}, 2L), {places})"
+    """A digest with its check value and, as bits of ``m``, its cell in each table."""
+    places = " | ".join(f"shiftleft(1, cast({_TABLE * j} + pmod(shiftright({x}, {13 * j}), {_TABLE}) as int))" for j in range(3))
+    return f"named_struct('x', {x}, 'c', xxhash64({x}, 2L), 'm', {places})"
 
 
-def _hits(e: str, i: str) -> str:
-    return f"({e}.p0 = {i} or {e}.p1 = {i} or {e}.p2 = {i})"
+def _hits(m: str, i: str) -> str:
+    return f"({m} & shiftleft(1, {i})) <> 0"
 
 
 def digests_sql(text: str) -> str:
@@ -56,7 +55,7 @@ def sketch_sql(els: str) -> str:
     add = "named_struct('n', a.n + 1, 'x', a.x ^ e.x, 'c', a.c ^ e.c)"
     return (
         f"transform(array(transform({els}, x -> {_element('x')})), es -> transform(sequence(0, {CELLS - 1}), "
-        f"i -> aggregate(filter(es, e -> {_hits('e', 'i')}), {zero}, (a, e) -> {add})))[0]"
+        f"i -> aggregate(filter(es, e -> {_hits('e.m', 'i')}), {zero}, (a, e) -> {add})))[0]"
     )
 
 
@@ -68,7 +67,7 @@ def peel_sql(cells: str) -> str:
     """(ok, found array<struct<n, x>>): n is 1 for digests of the first text alone, -1 for the second."""
     nothing = "cast(array() as array<struct<n:int,x:bigint>>)"
     pure = "array_distinct(transform(filter(s.cells, c -> abs(c.n) = 1 and xxhash64(c.x, 2L) = c.c), c -> named_struct('n', c.n, 'e', " + _element("c.x") + ")))"
-    taken = f"aggregate(filter(pure, q -> {_hits('q.e', 'i')}), c, (a, q) -> named_struct('n', a.n - q.n, 'x', a.x ^ q.e.x, 'c', a.c ^ q.e.c))"
+    taken = f"aggregate(filter(pure, q -> {_hits('q.e.m', 'i')}), c, (a, q) -> named_struct('n', a.n - q.n, 'x', a.x ^ q.e.x, 'c', a.c ^ q.e.c))"
     step = (
         f"if(s.done, s, transform(array({pure}), pure -> if(size(pure) = 0, named_struct('done', true, 'cells', s.cells, 'found', s.found), "
         f"named_struct('done', false, 'cells', transform(s.cells, (c, i) -> {taken}), "
@@ -82,9 +81,10 @@ def peel_sql(cells: str) -> str:
 def differing_sql(a: str, b: str, cells_a: str, cells_b: str) -> str:
     """The digests in which two texts differ: from their sketches, else with more sketches.
 
-    What does not peel is dealt to four times as many sketches by the next two bits of the digests.
+    What does not peel is dealt to four times as many sketches by the next two bits of the digests, from the
+    top; their cells follow from the bits at the bottom.
     """
-    bits = "(shiftright(x, cast(2 * k as int)) & 3) = j"
+    bits = "(shiftright(x, cast(62 - 2 * k as int)) & 3) = j"
     split = (
         "flatten(transform(t.open, o -> transform(sequence(0, 3), j -> "
         f"named_struct('a', filter(o.a, x -> {bits}), 'b', filter(o.b, x -> {bits})))))"
