@@ -139,7 +139,8 @@ class Encoder:
         self.remember = remember
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.words = regex.compile(WORDS).findall
+        self.pattern = regex.compile(WORDS)
+        self.words = self.pattern.findall
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.vocabulary.added)) + ")") if self.vocabulary.added else None
 
     def learn(self, words: Iterable[str]) -> None:

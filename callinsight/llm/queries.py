@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callinsight.llm import bpe, chat, exact_dedup, iblt, packing, pii, quality, simhash
+from callinsight.llm import bpe, chat, exact_dedup, hpylm, iblt, packing, pii, quality, simhash, token_counts
 from callinsight.llm.common import documents, external_id
 
 
@@ -24,6 +24,10 @@ def near(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, d))
 
 
+def language_model(spark: SparkSession, d: str) -> DataFrame:
+    return hpylm.PitmanYor().score(documents(spark, d))
+
+
 def weak_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.QualityClassifier().score(documents(spark, d))
 
@@ -42,6 +46,13 @@ def personal(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", *map(count, base), F.sha2(listed(of_base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def edited_counts(spark: SparkSession, d: str) -> DataFrame:
+    counted = token_counts.count_edits(token_counts.usual_edits(documents(spark, d)))
+    return counted.select(
+        "doc_id", "n_tokens", "edited_tokens", "n_words", "encoded_words", F.sha2("edited_text", 256).alias("edited_sha256")
+    )
+
+
 def encoded(spark: SparkSession, d: str) -> DataFrame:
     read_back = bpe.decode(bpe.encode(documents(spark, d)))
     n = F.when(F.col("ids_text") == "", 0).otherwise(F.length(F.regexp_replace("ids_text", "[0-9]", "")) + 1)
@@ -74,9 +85,11 @@ def formatted(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": exact,
+        "op2_pitman_yor": language_model,
         "op3_quality_classifier": weak_quality,
         "op4_simhash": near,
         "op5_pii": personal,
+        "op6_token_counts": edited_counts,
         "op7_bpe": encoded,
         "op8_fingerprints": sketched,
         "op9_packing": packed,
