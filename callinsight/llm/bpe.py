@@ -34,7 +34,7 @@ WORDS = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 #: Characters worked on at once in a worker.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -93,7 +93,7 @@ class Vocabulary:
                 a, a_until = self.parts[a][1], a_made
             else:
                 b, b_until = self.parts[b][0], b_made
-        if len(self._apart) >= 500_000:
+        if len(self._apart) >= 200_000:
             self._apart.clear()
         self._apart[key] = apart
         return apart
@@ -134,7 +134,7 @@ class Vocabulary:
 class Encoder:
     """Encodes texts with a vocabulary, remembering words in two generations."""
 
-    def __init__(self, path: str, remember: int = 250_000):
+    def __init__(self, path: str, remember: int = 120_000):
         self.vocabulary = Vocabulary(path)
         self.remember = remember
         self.young: dict[str, bytes] = {}
@@ -222,16 +222,20 @@ def decode(encoded: DataFrame, path: str = DEFAULT_PATH) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
         decimal = per_worker(f"bpe-decimal:{path}", lambda: {i: str(i) for i in bpe.vocabulary.token})
-        for batch in batches:
-            column = batch.column("ids")
-            texts, digits = [], []
-            for n in range(batch.num_rows):
-                ids = column[n].values.to_numpy().tolist()
-                texts.append(bpe.decode(ids))
-                digits.append(",".join(map(decimal.__getitem__, ids)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(texts, pa.string()), pa.array(digits, pa.string())], ["id", "text", "ids_text"]
-            )
+        for whole in batches:
+            sizes = pa.compute.list_value_length(whole.column("ids")).to_numpy(zero_copy_only=False)
+            start = 0
+            while start < whole.num_rows:  # about CHUNK ids at once, or one row
+                batch = whole.slice(start, max(1, int(np.searchsorted(np.cumsum(sizes[start:]), CHUNK, side="right"))))
+                start += batch.num_rows
+                texts, digits = [], []
+                for row in batch.column("ids"):
+                    ids = row.values.to_numpy().tolist()
+                    texts.append(bpe.decode(ids))
+                    digits.append(",".join(map(decimal.__getitem__, ids)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), pa.array(texts, pa.string()), pa.array(digits, pa.string())], ["id", "text", "ids_text"]
+                )
 
     ids = F.coalesce("ids", F.array().cast("array<int>")).alias("ids")
     return encoded.select("id", ids).mapInArrow(run, "id long, text string, ids_text string")
