@@ -113,9 +113,20 @@ def _orphans(spark: SparkSession, d: str) -> DataFrame:
 
 def _quarantine(spark: SparkSession, d: str) -> DataFrame:
     t = star.defective(spark, d)
-    good, bad = integrity.quarantine(t["call"], t["client"], t["agent"])
-    both = good.withColumn("kept", F.lit(True)).unionByName(bad.withColumn("kept", F.lit(False)))
-    return both.groupBy("kept").agg(F.count("*").alias("calls"))
+    return integrity.with_known_people(t["call"], t["client"], t["agent"]).select("call_id", "known")
+
+
+def _ordered_updates(spark: SparkSession, d: str) -> DataFrame:
+    """Updates by agent, a key that many calls share, with several values, equal order values and NULLs."""
+    orders = star.calls(spark, d).select("call_id", "agent_id", "summary")
+    data = orders.select(
+        "agent_id",
+        F.when(F.length("call_id") % 2 == 0, F.col("summary")).alias("topic"),
+        F.pmod(F.length("summary"), F.lit(3)).alias("rank"),
+    )
+    return updates.update_calls(star.calls(spark, d), data, "Analyzed", "agent_id", "agent_id", order_by="rank").select(
+        "call_id", "agent_id", "status", "topic"
+    )
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -174,6 +185,7 @@ def call_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "poll_answers": lambda spark, d: answers.consolidate_polls(star.poll_answers(spark, d)),
         "question_prompts": _prompts,
         "update_calls_chain": _update_chain,
+        "update_calls_ordered": _ordered_updates,
         "integrity_report": lambda spark, d: integrity.integrity_report(star.defective(spark, d)),
         "orphan_calls": _orphans,
         "quarantined_calls": _quarantine,
@@ -726,8 +738,12 @@ def call_sql() -> dict[str, str]:
         "integrity_report": f"WITH {dirty} " + " UNION ALL ".join(report),
         "orphan_calls": f"WITH {dirty} SELECT call_id, client_id, agent_id, date, time FROM dirty_call x "
         "WHERE NOT EXISTS (SELECT 1 FROM dirty_client y WHERE y.client_id = x.client_id)",
-        "quarantined_calls": f"WITH {dirty} SELECT client_id IN (SELECT client_id FROM dirty_client) "
-        "AND agent_id IN (SELECT agent_id FROM agents) AS kept, count(*) AS calls FROM dirty_call GROUP BY ALL",
+        "quarantined_calls": f"WITH {dirty} SELECT call_id, coalesce(client_id IN (SELECT client_id FROM dirty_client "
+        "WHERE client_id IS NOT NULL), false) AND coalesce(agent_id IN (SELECT agent_id FROM agents), false) AS known FROM dirty_call",
+        "update_calls_ordered": f"WITH {calls}, u AS (SELECT agent_id, CASE WHEN len(call_id) % 2 = 0 THEN summary END AS topic, "
+        "len(summary) % 3 AS rank FROM calls), newest AS (SELECT agent_id, max(rank) AS rank FROM u GROUP BY agent_id), "
+        "won AS (SELECT agent_id, max(topic) AS topic FROM u JOIN newest USING (agent_id, rank) GROUP BY agent_id) "
+        "SELECT call_id, agent_id, 'Analyzed' AS status, won.topic FROM calls JOIN won USING (agent_id)",
         "calls_per_client": people_calls("clients", "client_id"),
         "calls_per_agent": people_calls("agents", "agent_id"),
         "client_call_totals": f"WITH {calls}, {clients} SELECT p.client_id, count(call_id) AS calls, "

@@ -1,6 +1,7 @@
 """Column expressions: answer cleaning, labels, dates, text shaping.
 
-All are built-in Catalyst expressions, so they stay inside whole-stage code generation.
+All are built-in Catalyst expressions and run in the JVM; those on arrays with a function argument
+(``transform``, ``filter``, ``zip_with``) are evaluated outside whole-stage code generation.
 """
 
 from __future__ import annotations
@@ -52,8 +53,12 @@ def most_common(answers: list[Column]) -> Column:
 
 
 def score_from_text(answer: Column) -> Column:
-    """First digit 1-5 in an answer as an int, NULL when there is none."""
-    return F.regexp_extract(answer, r"[1-5]", 0).try_cast("int")
+    """The first number in an answer, when it is a whole number from 1 to 5; NULL otherwise.
+
+    "4 out of 5" is 4; "10", "-3", "4.5" and "level 45" are no scores.
+    """
+    number = F.regexp_extract(answer, r"-?\d+(?:[.,]\d+)?", 0)
+    return F.when(number.rlike("^[1-5]$"), number).cast("int")
 
 
 # --- Labels -----------------------------------------------------------------------------------

@@ -72,6 +72,7 @@ def infer(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for arrow_batch in batches:
+            results = []  # one frame for each Arrow batch, however small the model's batches are
             for start in range(0, len(arrow_batch), batch_size):
                 part = arrow_batch.iloc[start : start + batch_size].reset_index(drop=True)
                 result = part[keys].copy()
@@ -86,26 +87,28 @@ def infer(
                     for name in names:
                         result[name] = None
                     result["error"] = f"{type(e).__name__}: {e}"
-                yield result
+                results.append(result)
+            if results:
+                yield pd.concat(results, ignore_index=True)
 
     return df.mapInPandas(run, schema)
 
 
-_ITEM = r"(?md)^\s*\d+\..*$"
 _WHITE = " \t\n\r"
+_CUT = "\x1f"  # parts the items of one list; a control character that an answer cannot hold is removed first
 
 
 def numbered_items(text: Column, n: int) -> Column:
-    """Lines of a numbered list as an array; NULL unless it holds exactly 1 to n, in order."""
-    lines = F.regexp_extract_all(text, F.lit(_ITEM), F.lit(0))
-    numbers = F.transform(lines, lambda line: F.btrim(F.substring_index(line, ".", 1), F.lit(_WHITE)))
-    expected = ",".join(str(i) for i in range(1, n + 1))
-    return F.when(F.array_join(numbers, ",") == expected, lines)
+    """The items of a numbered list, whole, as an array; NULL unless it holds 1 to n, in order.
 
-
-def _answer(line: Column) -> Column:
-    """What follows the number of a list line."""
-    return F.btrim(F.substring(line, F.instr(line, ".") + 1, F.length(line)), F.lit(_WHITE))
+    An item goes on until a line starts with the next number, over any number of lines, so other numbers
+    at the start of a line belong to the item. Each list is matched once.
+    """
+    items = "".join(rf"^[ \t]*{i}\.(.*?)" for i in range(1, n)) + rf"^[ \t]*{n}\.(.*)"
+    pattern = rf"(?smd)\A.*?{items}\z"
+    groups = _CUT.join(f"${i}" for i in range(1, n + 1))
+    parts = F.split(F.regexp_replace(F.translate(text, _CUT, ""), pattern, groups), _CUT)
+    return F.when(F.size(parts) == n, F.transform(parts, lambda x: F.btrim(x, F.lit(_WHITE))))
 
 
 def parse_answers(texts: DataFrame, polls: Sequence[str] = ("block_2",)) -> DataFrame:
@@ -114,7 +117,7 @@ def parse_answers(texts: DataFrame, polls: Sequence[str] = ("block_2",)) -> Data
     With several polls each item is decided by majority. The polls of a text are columns of its
     row, so the vote is a plain expression without a shuffle. An incomplete list does not vote;
     without a complete one the row's answers are NULL and ``error`` names the block. Scores
-    become integers.
+    become integers; an answer that holds no score from 1 to 5 is an error of the row too.
     """
     first, second = S.ANSWER_BLOCKS
     lists = [f"_poll_{i}" for i in range(len(polls))]
@@ -136,7 +139,7 @@ def parse_answers(texts: DataFrame, polls: Sequence[str] = ("block_2",)) -> Data
     }
     given = {name: [f"{c}_{i}" for c in source] for name, (source, i) in sources.items()}
     parsed = parsed.withColumns(
-        {f"{c}_{i}": _answer(F.get(c, F.lit(i))) for source, i in sources.values() for c in source}
+        {f"{c}_{i}": F.get(c, F.lit(i)) for source, i in sources.values() for c in source}
     )
 
     def value(name: str) -> Column:
@@ -144,7 +147,11 @@ def parse_answers(texts: DataFrame, polls: Sequence[str] = ("block_2",)) -> Data
         item = F.when(F.col("error").isNull(), X.most_common(votes) if len(votes) > 1 else votes[0])
         return (X.score_from_text(item) if name in S.SCORE_COLUMNS else item).alias(name)
 
-    return parsed.select("text_file", *[value(name) for name in S.ANSWER_COLUMNS], "error")
+    valued = parsed.select("text_file", *[value(name) for name in S.ANSWER_COLUMNS], "error")
+    unread = F.coalesce(*[F.when(F.col(name).isNull(), F.lit(f"{name} is no score")) for name in S.SCORE_COLUMNS if name in S.ANSWER_COLUMNS])
+    valued = valued.withColumn("error", F.coalesce("error", unread))
+    good = F.col("error").isNull()
+    return valued.select("text_file", *[F.when(good, F.col(name)).alias(name) for name in S.ANSWER_COLUMNS], "error")
 
 
 def split_errors(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -162,6 +169,7 @@ def consolidate_polls(polls: DataFrame) -> DataFrame:
     """
     votes = (
         polls.filter(F.col("answer").isNotNull())
+        .repartition("text_file", "question")  # both aggregates run on this one exchange
         .groupBy("text_file", "question", "answer")
         .agg(F.count("*").alias("_n"), F.min("poll").alias("_first"))
     )

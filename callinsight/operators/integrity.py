@@ -12,8 +12,11 @@ from pyspark.sql import types as T
 from callinsight import schemas as S
 
 
-def with_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The table's columns in order; a missing column reads as NULL."""
+def with_schema(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
+    """The table's columns in order; a missing column reads as NULL. ``strict``: unknown columns are an error."""
+    unknown = sorted(set(df.columns) - set(schema.fieldNames()))
+    if strict and unknown:
+        raise ValueError(f"not columns of the table: {unknown}")
     return df.select(
         *[
             (F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
@@ -81,11 +84,19 @@ def integrity_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def quarantine(calls: DataFrame, clients: DataFrame, agents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Calls whose client and agent exist, and the others."""
+def with_known_people(calls: DataFrame, clients: DataFrame, agents: DataFrame) -> DataFrame:
+    """The calls with ``known``: whether their client and agent exist."""
     flagged = calls.join(
         clients.select("client_id", F.lit(True).alias("_client")), "client_id", "left"
     ).join(agents.select("agent_id", F.lit(True).alias("_agent")), "agent_id", "left")
     known = F.col("_client").isNotNull() & F.col("_agent").isNotNull()
-    columns = calls.columns
-    return flagged.filter(known).select(*columns), flagged.filter(~known).select(*columns)
+    return flagged.select(*calls.columns, known.alias("known"))
+
+
+def quarantine(calls: DataFrame, clients: DataFrame, agents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls whose client and agent exist, and the others: two lazy halves of ``with_known_people``.
+
+    To use both, write ``with_known_people`` once and filter what was written.
+    """
+    flagged = with_known_people(calls, clients, agents)
+    return flagged.filter("known").drop("known"), flagged.filter("not known").drop("known")

@@ -47,13 +47,13 @@ def _active(entities: Sequence[str], threshold: float) -> list[str]:
 
 
 def name_pattern(names: Column) -> Column:
-    """Pattern of an array of names as whole words, longer ones first, each taken literally."""
+    """Pattern of an array of names as whole words in any case, longer ones first, each taken literally."""
     known = F.filter(names, lambda n: n.isNotNull() & (n != ""))
     by_length = F.array_sort(F.transform(known, lambda n: F.struct(F.length(n).alias("length"), n.alias("name"))))
     # Inside \Q...\E only \E itself needs care.
     literal = lambda n: F.concat(F.lit(r"\Q"), F.replace(n, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
     any_name = F.array_join(F.transform(F.reverse(by_length), lambda s: literal(s["name"])), "|")
-    return F.when(F.size(known) > 0, F.concat(F.lit(r"(?U)(?<!\w)(?:"), any_name, F.lit(r")(?!\w)")))
+    return F.when(F.size(known) > 0, F.concat(F.lit(r"(?iU)(?<!\w)(?:"), any_name, F.lit(r")(?!\w)")))
 
 
 def detect(
@@ -65,9 +65,10 @@ def detect(
 ) -> DataFrame:
     """Add ``_masked`` (the text with findings set aside) and ``_found_<ENTITY>`` (the findings).
 
-    All of it is per row and native; columns that are not used afterwards are pruned.
+    All of it is per row and native; columns that are not used afterwards are pruned. The noncharacters that
+    hold the places of findings are removed from the input, where they mean nothing.
     """
-    df = texts.withColumn("_masked", F.col(text_column))
+    df = texts.withColumn("_masked", F.translate(text_column, "".join(_MARKS.values()), ""))
     none = F.array().cast("array<string>")
     for entity in _active(entities, threshold):
         masked = F.col("_masked")

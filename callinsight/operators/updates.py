@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from callinsight import schemas as S
@@ -18,22 +17,22 @@ def check_status(status: str) -> str:
 def _one_per_key(updates: DataFrame, key: str, order_by: str | None) -> DataFrame:
     """One struct ``_new`` per key: the last by ``order_by``, or an error on duplicates.
 
-    Both are a row number within the key, on the partitioning and order the join needs next. With
-    an order column Spark also keeps only each task's last row before the shuffle, so very many
-    updates of one key do not meet in one task.
+    Equal order values are settled by the values themselves (the greater ones win, NULLs are least), so the
+    winner never depends on partitioning. One aggregate folds each task's updates of a key before
+    the shuffle. It is clustered by a hash of the key, not by the key: so an ordinary exchange
+    follows, and Spark can split the calls of a hot key in the join.
     """
     values = [c for c in updates.columns if c not in (key, order_by)]
     # A constant member keeps the struct present even when only the status changes.
     new = F.struct(F.lit(True).alias("_hit"), *values)
-    rows = updates.filter(F.col(key).isNotNull()).select(
-        F.col(key).alias("_key"), new.alias("_new"), *([F.col(order_by).alias("_order")] if order_by else [])
-    )
-    number = F.row_number().over(W.partitionBy("_key").orderBy(F.desc("_order") if order_by else F.col("_key")))
-    rows = rows.withColumn("_number", number)
-    if order_by:
-        return rows.filter(F.col("_number") == 1).select("_key", "_new")
-    twice = F.raise_error(F.concat(F.lit(f"several updates for {key} "), F.col("_key").cast("string")))
-    return rows.select("_key", F.when(F.col("_number") == 1, F.col("_new")).otherwise(twice).alias("_new"))
+    order = F.col(order_by) if order_by else F.lit(0)
+    rows = updates.filter(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.struct(order.alias("order"), new.alias("new")).alias("_row"))
+    latest = rows.groupBy(F.xxhash64("_key").alias("_spread"), "_key").agg(F.max("_row").alias("_last"), F.count("*").alias("_times"))
+    if order_by is None:
+        # A filter stays in the plan whatever columns are read later.
+        twice = F.raise_error(F.concat(F.lit(f"several updates for {key} "), F.col("_key").cast("string")))
+        latest = latest.filter(F.when(F.col("_times") > 1, twice.cast("boolean")).otherwise(F.lit(True)))
+    return latest.select("_key", F.col("_last.new").alias("_new"))
 
 
 def update_calls(
@@ -48,12 +47,12 @@ def update_calls(
 
     - an update without a call is ignored, and a key shared by several calls updates them all;
     - a NULL in the update overwrites;
-    - of several updates for one key the last by ``order_by`` wins; without an order column they
-      are an error, raised when the result is computed.
+    - of several updates for one key the last by ``order_by`` wins, of equal order values the greater
+      values; without an order column several updates are an error, raised when the result is computed.
 
     The updates are reduced to one row per key, so the join cannot multiply calls. Calls whose
     key is NULL get a private join key: they cannot match and must not meet in one task. A key
-    shared by very many calls is left to AQE's skew join, which may split the calls' side.
+    shared by very many calls is split by AQE's skew join.
     """
     check_status(status)
     allowed = set(S.CALL.fieldNames())

@@ -5,11 +5,11 @@ Speech recognition and question answering are the user's models; everything arou
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,12 +18,16 @@ from callinsight.operators.updates import UPDATE_CHAIN
 from callinsight.sources.files import write_dataset, write_errors
 from callinsight.sources.store import CallStore
 
-# Rows with prompt_1 and prompt_2 in, rows with the columns of RAW_ANSWERS out.
+# Rows with prompt_1 and prompt_2 in, rows with the columns of raw_answers() out.
 Model = Callable[[pd.DataFrame], pd.DataFrame]
 
-# The first block is answered once, the second one three times.
+# The first block is answered once, the second one in each poll.
 POLLS = ["poll_1", "poll_2", "poll_3"]
-RAW_ANSWERS = T.StructType([T.StructField(c, T.StringType()) for c in ["block_1", *POLLS]])
+
+
+def raw_answers(polls: Sequence[str] = POLLS) -> T.StructType:
+    """What a model returns: a column of text for the first block and for each poll."""
+    return T.StructType([T.StructField(c, T.StringType()) for c in ["block_1", *polls]])
 
 
 @dataclass(frozen=True)
@@ -43,12 +47,18 @@ def analyze(
     insert_calls: bool = True,
     show_progress: bool = False,
     batch_size: int = 1,
+    entities: Sequence[str] = tuple(pii.ENTITIES),
+    operator_map: Mapping = pii.OPERATORS,
+    threshold: float = pii.THRESHOLD,
+    polls: Sequence[str] = tuple(POLLS),
 ) -> Analyzed:
     """Run all steps on ``transcripts`` (audio_file, transcription_file, text).
 
-    Step outputs and errors are written below ``output``. A recording belongs to one call: where
-    several share one, the lowest call id is taken as its owner (whose people's names are masked)
-    while the updates by file reach all of them. The call table gets the four status
+    Step outputs and errors are written below ``output``. Before any model runs every input is accounted for:
+    ``transcription_errors`` has texts whose recording belongs to no call and all but the last text (by file
+    name) of a recording, ``missing_transcripts`` the calls without a text. Where several calls share a
+    recording, the names of all their people are masked, the lowest call id stands for it in the turns,
+    and the updates by file reach all of them. The call table gets the four status
     updates as one snapshot at the end, or with ``show_progress`` one snapshot per step so that
     others can follow; the final rows are the same. Only calls a step succeeded for advance.
     """
@@ -62,17 +72,16 @@ def analyze(
             apply(store, {step: updates})
 
     # Owner and names are settled on ids; the texts are shuffled once, to meet them.
-    calls = store.get_calls().select("call_id", "client_id", "agent_id", "audio_file")
-    owners = calls.groupBy("audio_file").agg(F.min(F.struct("call_id", "client_id", "agent_id")).alias("_o"))
-    named = relations.with_speaker_names(
-        owners.select("audio_file", "_o.*"), store.get_clients(), store.get_agents()
-    )
-    texts = write_dataset(
-        transcripts.join(named, "audio_file").select(
-            "call_id", "audio_file", F.col("transcription_file").alias("text_file"), "text", "names"
-        ),
-        f"{output}/transcripts",
+    calls = store.get_calls().select("call_id", "client_id", "agent_id", "audio_file").filter("audio_file is not null")
+    named = relations.with_speaker_names(calls, store.get_clients(), store.get_agents())
+    named = named.groupBy("audio_file").agg(
+        F.min("call_id").alias("call_id"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("names")))).alias("names")
     )
+    last = Window.partitionBy("audio_file").orderBy(F.desc("transcription_file"), F.desc("text"))
+    given = transcripts.select("audio_file", F.col("transcription_file").alias("text_file"), "text", F.row_number().over(last).alias("_n"))
+    given = write_dataset(given.join(named, "audio_file", "left"), f"{output}/transcripts")
+    stray, repeated = F.col("call_id").isNull(), F.col("_n") > 1
+    texts = given.filter(~stray & ~repeated).select("call_id", "audio_file", "text_file", "text", "names")
 
     segments = write_dataset(turns.split_turns(texts), f"{output}/turns")
     diarized = segments.filter("speaker is not null").select("call_id").distinct()
@@ -80,25 +89,30 @@ def analyze(
     write_errors(unsplit, ["call_id"], f"{output}/diarization_errors")
     report("diarized", diarized)
 
-    unread = texts.withColumn("error", F.when(F.col("text").isNull(), "no text"))
+    unread = given.withColumn(
+        "error",
+        F.when(repeated, "a later text of the recording is used").when(stray, "no call has this recording").when(F.col("text").isNull(), "no text"),
+    )
     write_errors(unread, ["audio_file"], f"{output}/transcription_errors")
+    silent = calls.join(given.select("audio_file"), "audio_file", "left_anti").withColumn("error", F.lit("no transcript"))
+    write_errors(silent, ["call_id", "audio_file"], f"{output}/missing_transcripts")
     report(
         "transcribed",
         texts.filter("text is not null").select("audio_file", F.col("text_file").alias("transcription_file")),
     )
 
-    masked = write_dataset(pii.anonymize(texts, names_column="names"), f"{output}/anonymized")
+    masked = write_dataset(pii.anonymize(texts, entities, operator_map, threshold, names_column="names"), f"{output}/anonymized")
     write_errors(masked, ["original_file"], f"{output}/anonymized_errors")
-    findings = write_dataset(pii.pii_report(texts, names_column="names"), f"{output}/pii_report")
+    findings = write_dataset(pii.pii_report(texts, entities, threshold, names_column="names"), f"{output}/pii_report")
     done = masked.filter("error is null")
     report("anonymized", done.select("original_file", "anonymized_file"))
 
     asked = answers.prompts(done.select(F.col("anonymized_file").alias("text_file"), "text"))
     asked = asked.select("text_file", "prompt_1", "prompt_2")
     raw = write_dataset(
-        answers.infer(asked, model, RAW_ANSWERS, ["text_file"], batch_size), f"{output}/raw_answers"
+        answers.infer(asked, model, raw_answers(polls), ["text_file"], batch_size), f"{output}/raw_answers"
     )
-    parsed = answers.parse_answers(raw, POLLS)
+    parsed = answers.parse_answers(raw, polls)
     parsed = write_dataset(parsed, f"{output}/parsed_answers")
     write_errors(parsed, ["text_file"], f"{output}/answers_errors")
     good, _ = answers.split_errors(parsed, ["text_file"])

@@ -56,7 +56,11 @@ def read_transcripts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def list_audio_files(spark: SparkSession, folder: str, pattern: str = "*.wav") -> DataFrame:
+#: Names of recordings, of any usual type.
+RECORDINGS = "*.{wav,mp3,flac,ogg,opus,m4a,mp4,aac,wma,amr,aiff,webm,WAV,MP3,FLAC,OGG,M4A}"
+
+
+def list_audio_files(spark: SparkSession, folder: str, pattern: str = RECORDINGS) -> DataFrame:
     """(audio_file, path, length) of the recordings; their content is not read."""
     return (
         spark.read.format("binaryFile")
@@ -78,7 +82,15 @@ def write_transcripts(df: DataFrame, path: str) -> None:
 
 
 def export_transcript_files(df: DataFrame, folder: str) -> None:
-    """One text file per transcript, in a folder every executor can reach."""
+    """One text file per transcript, in a mounted folder every executor can reach.
+
+    A store with a scheme of its own (``s3://``, ``hdfs://``) is no such folder: executors would write to their
+    own disks. There ``write_transcripts`` keeps the same rows.
+    """
+    scheme, _, rest = folder.rpartition("://")
+    if scheme not in ("", "file"):
+        raise ValueError(f"{folder} is not a mounted folder; use write_transcripts")
+    folder = rest
 
     def write(rows: Iterable[Row]) -> None:
         os.makedirs(folder, exist_ok=True)

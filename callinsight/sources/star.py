@@ -32,22 +32,11 @@ TONE_ANSWERS = [
 # A derived table is a lazy plan: it is built once per session and folder and shared by queries.
 reused = lru_cache(maxsize=64)
 
-KEYS = {"orders": "o_orderkey", "documents": "doc_id"}
-
 
 @reused
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the schema.
-
-    A file with a single row group would leave all row work to one task. Only where the scan has
-    fewer partitions than the cluster has cores (a small table, never a large one) the rows are
-    spread by key first.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in KEYS and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, KEYS[name])
-    return df
+    """A table of the schema."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def agent_key(n: Column) -> Column:

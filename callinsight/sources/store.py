@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callinsight import schemas as S
-from callinsight.operators.integrity import duplicate_keys, with_schema
+from callinsight.operators.integrity import column_violations, duplicate_keys, with_schema
 from callinsight.operators.updates import update_calls
 
 
@@ -68,7 +68,7 @@ class CallStore:
 
     def _write(self, name: str, df: DataFrame) -> str:
         path = f"{self.root}/{name}/{time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
-        rows = with_schema(df, S.TABLES[name])
+        rows = with_schema(df, S.TABLES[name], strict=True)
         if name == "call":
             # Days stay together so that row-group statistics can skip on dates; AQE splits a
             # day that is too large for one file.
@@ -76,8 +76,11 @@ class CallStore:
         rows.write.parquet(path)
         return path
 
-    def _prepare(self, name: str, df: DataFrame) -> str:
-        """Write a snapshot and refuse it if its primary key is not unique."""
+    def _prepare(self, name: str, df: DataFrame, rules: bool = True) -> str:
+        """Write a snapshot and refuse it if its primary key is not unique or a column breaks its rules.
+
+        Columns that the table does not have are refused before anything is written.
+        """
         path = self._write(name, df)
         key = S.PRIMARY_KEYS[name]
         written = self.spark.read.schema(S.TABLES[name]).parquet(path)
@@ -87,6 +90,9 @@ class CallStore:
         example = bad.take(1)
         if example:
             raise ValueError(f"{name}.{key} is not a unique key: {example[0].asDict()}")
+        broken = column_violations(written, S.TABLES[name], name).filter("violations > 0").take(1) if rules else []
+        if broken:
+            raise ValueError(f"{name} breaks a rule: {broken[0].asDict()}")
         return path
 
     def _insert_people(self, name: str, people: DataFrame) -> None:
@@ -109,9 +115,9 @@ class CallStore:
         return stored, stored.select("audio_file")
 
     def append_people(self, agents: DataFrame, clients: DataFrame) -> None:
-        """Add agents and clients to those already stored."""
-        agent = self._prepare("agent", self.get_agents().unionByName(with_schema(agents, S.AGENT)))
-        client = self._prepare("client", self.get_clients().unionByName(with_schema(clients, S.CLIENT)))
+        """Add agents and clients to those already stored; further details may still be missing (NULL)."""
+        agent = self._prepare("agent", self.get_agents().unionByName(with_schema(agents, S.AGENT, strict=True)), rules=False)
+        client = self._prepare("client", self.get_clients().unionByName(with_schema(clients, S.CLIENT, strict=True)), rules=False)
         self._point("agent", agent)
         self._point("client", client)
 

@@ -141,3 +141,25 @@ def test_incremental_analysis(spark, store, tmp_path):
 
     assert arrive(ids[:2]) == 2
     assert arrive(ids[2:7]) == 7
+
+
+def test_odd_recordings_never_end_a_run(spark, store, tmp_path):
+    """Two texts of one recording, a text of no call, a recording of two calls, a call without text."""
+    _, batch = made_calls(spark, store, tmp_path, 4)
+    rows = sorted(batch.collect(), key=lambda r: r.call_id)
+    shared = rows[0].audio_file
+    batch = spark.createDataFrame([{**r.asDict(), "audio_file": shared if i == 1 else r.audio_file} for i, r in enumerate(rows)], batch.schema)
+    people = {r.client_id: r for r in store.get_clients().collect()}
+    names = " ".join(f"{people[r.client_id].first_name} {people[r.client_id].last_name}" for r in rows[:2])
+    texts = [(shared, "a.txt", "Agent: old"), (shared, "b.txt", f"Agent: hi {names}"), ("stray.wav", "c.txt", "Agent: x"), (rows[2].audio_file, "d.txt", "Agent: y")]
+    texts = spark.createDataFrame(texts, "audio_file string, transcription_file string, text string")
+    out = analysis.analyze(store, texts, model, str(tmp_path / "run"), batch)
+    errors = spark.read.parquet(f"{tmp_path}/run/transcription_errors").collect()
+    assert sorted((r.audio_file, r.error) for r in errors) == sorted(
+        [(shared, "a later text of the recording is used"), ("stray.wav", "no call has this recording")]
+    )
+    assert [r.call_id for r in spark.read.parquet(f"{tmp_path}/run/missing_transcripts").collect()] == [rows[3].call_id]
+    assert out.answers.count() == 2 and texts.count() == out.anonymized.count() + len(errors)
+    (masked,) = out.anonymized.filter("original_file = 'b.txt'").collect()
+    assert all(people[r.client_id].first_name not in masked.text for r in rows[:2])
+    assert store.get_calls().filter("status = 'Analyzed'").count() == 3

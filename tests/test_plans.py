@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from callinsight.operators import frame, indicators, locations, outcomes, quality, relations, timeline
+from callinsight.operators import frame, indicators, locations, outcomes, quality, relations, timeline, updates
 from callinsight.sources import star
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -58,7 +58,7 @@ def test_locations_scan_the_calls_once(gold):
 def test_no_cross_joins_or_python(spark):
     import __spark_entry__ as registry
 
-    for name, query in registry.queries().items():
+    for name, query in registry.call_queries().items():
         text = plan(query(spark, SF_DIR))
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython", "MapInPandas"):
             assert bad not in text, (name, bad)
@@ -103,5 +103,30 @@ def test_hot_person_is_split(spark):
             spark.conf.unset(k)
 
 
+@pytest.mark.parametrize("order_by", [None, "seq"])
+def test_hot_update_key_is_split(spark, order_by):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        calls = spark.range(0, 60000, 1, 8).selectExpr(
+            "cast(id as string) call_id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE cast(id % 997 as string) END audio_file", "cast(null as string) status", "'t' topic"
+        )
+        new = spark.range(900).selectExpr("IF(id = 0, 'hot', cast(id as string)) audio_file", "'new' topic", "1 seq")
+        df = updates.update_calls(calls, new if order_by else new.drop("seq"), "Transcribed", "audio_file", "audio_file", order_by)
+        assert df.count() == 60000 and df.filter("topic = 'new'").count() > 20000
+        df.collect()
+        assert "skew" in plan(df)
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+
+
 def test_kpis_in_one_scan(gold):
     assert plan(indicators.kpis(gold)).count("FileScan") == 1

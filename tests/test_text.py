@@ -146,6 +146,22 @@ def test_parse_and_postprocess(spark):
     assert good.count() == 2 and sorted(r.text_file for r in bad.collect()) == ["2", "3"]
 
 
+def test_untidy_lists(spark):
+    summary = "2. The client called.\n   2. offered refunds\n4 of 5 were paid.\n7. or so"
+    untidy = re.sub(r"(?m)^2\. .*$", summary.replace("\\", ""), BLOCK_1, count=1)
+    scores = {"ten": "10", "minus": "-3", "level": "level 45", "seven": "7", "part": "4.5"}
+    data = [("ok", "Sure:\n\n" + untidy, BLOCK_2)] + [(n, BLOCK_1, BLOCK_2.replace("3. 4", f"3. {x}")) for n, x in scores.items()]
+    parsed = answers.parse_answers(spark.createDataFrame(data, "text_file string, block_1 string, block_2 string"))
+    got = {r.text_file: r for r in parsed.collect()}
+    assert got["ok"].error is None and got["ok"].summary == summary[3:]
+    assert {got[n].error for n in scores} == {"empathy is no score"} and {got[n].topic for n in scores} == {None}
+
+
+def test_names_in_any_case_and_marks_in_the_input(spark):
+    df = spark.createDataFrame([("1.txt", "hi BOB ray \ufdd0 and bobby", ["Bob Ray", "Bob"])], "text_file string, text string, names array<string>")
+    assert pii.anonymize(df, names_column="names").first().text == "hi John Doe  and bobby"
+
+
 def test_polls_agree_in_both_forms(spark, rows):
     polls = [BLOCK_2, BLOCK_2.replace("3. 4", "3. 5"), BLOCK_2.replace("3. 4", "3. 5").replace("1. No", "1. Yes")]
     df = spark.createDataFrame([("1", BLOCK_1, *polls)], "text_file string, block_1 string, p1 string, p2 string, p3 string")

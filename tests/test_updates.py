@@ -43,6 +43,22 @@ def test_duplicates_without_order_fail(spark):
         updates.update_calls(calls(spark), new, "Analyzed", "call_id", "call_id").collect()
 
 
+def test_duplicates_never_multiply_calls(spark):
+    new = spark.createDataFrame([("1", "x"), ("1", "y")], "call_id string, topic string")
+    try:
+        assert updates.update_calls(calls(spark), new, "Analyzed", "call_id", "call_id").count() == 4
+    except Exception as e:
+        assert "several updates" in str(e)
+
+
+def test_equal_order_values_have_one_winner(spark, rows):
+    new = [("1", "x", 1), ("1", "y", 1), ("1", None, 1), ("1", "z", 0)]
+    for data in (new, new[::-1]):
+        df = spark.createDataFrame(data, "call_id string, topic string, seq int").repartition(3)
+        got = updates.update_calls(calls(spark), df, "Analyzed", "call_id", "call_id", order_by="seq")
+        assert rows(got, "call_id", "topic")[0] == ("1", "y")
+
+
 def test_bad_arguments(spark):
     new = spark.createDataFrame([("1", "x")], "call_id string, mood string")
     with pytest.raises(ValueError, match="mood"):
