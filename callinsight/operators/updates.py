@@ -89,9 +89,45 @@ UPDATE_CHAIN = [
 ]
 
 
+# Columns by which one step of the chain finds the calls of the step before.
+_LINKS = ["call_id", "audio_file", "transcription_file", "anonymized_file"]
+
+
 def apply_chain(calls: DataFrame, outputs: dict[str, DataFrame]) -> DataFrame:
-    """All updates of one analysis run as a single lazy plan."""
+    """All updates of one analysis run as a single lazy plan, as if applied one after the other.
+
+    The steps find their calls on the file names alone: narrow rows meet the step outputs, and the
+    call table itself is joined once, on ``call_id``, which must be unique in it.
+    """
+    moved = calls.select("call_id", *[F.col(c).alias(f"_{c}") for c in _LINKS])
+    steps: list[tuple[str, str, list[str]]] = []
     for step, status, table_key, data_key in UPDATE_CHAIN:
-        if step in outputs:
-            calls = update_calls(calls, outputs[step], status, table_key, data_key)
-    return calls
+        if step not in outputs:
+            continue
+        check_status(status)
+        changed = [c for c in outputs[step].columns if c != data_key]
+        if extra := set(changed) - set(S.CALL.fieldNames()):
+            raise ValueError(f"not columns of the call table: {sorted(extra)}")
+        latest = _one_per_key(outputs[step], data_key, None).select("_key", F.col("_new").alias(f"_of_{step}"))
+        # Calls whose key is still NULL get a private join key: they must not meet in one task.
+        keyed = moved.withColumn("_join", F.coalesce(f"_{table_key}", F.concat(F.lit("\x00"), "call_id")))
+        hit = (F.col("_join") == F.col("_key")) & F.col(f"_{table_key}").isNotNull()
+        moved = keyed.join(latest, hit, "left").drop("_join", "_key")
+        new = F.col(f"_of_{step}")
+        for c in set(changed) & set(_LINKS):
+            moved = moved.withColumn(f"_{c}", F.when(new.isNotNull(), new.getField(c)).otherwise(F.col(f"_{c}")))
+        steps.append((step, status, changed))
+    narrow = moved.select(F.col("call_id").alias("_id"), *[f"_of_{step}" for step, _, _ in steps])
+    joined = calls.join(narrow, F.col("call_id") == F.col("_id"), "left")
+
+    def column(name: str):
+        value = F.col(name)
+        for step, status, changed in steps:
+            new = F.col(f"_of_{step}")
+            if name == "status":
+                value = F.when(new.isNotNull(), F.lit(status)).otherwise(value)
+            elif name in changed:
+                value = F.when(new.isNotNull(), new.getField(name).cast(S.CALL[name].dataType)).otherwise(value)
+        return value.alias(name)
+
+    return joined.select(*[column(c) for c in calls.columns])

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callinsight.operators import answers, pii, relations, turns
-from callinsight.operators.updates import UPDATE_CHAIN
 from callinsight.sources.files import write_dataset, write_errors
 from callinsight.sources.store import CallStore
 
@@ -126,8 +125,4 @@ def analyze(
 
 def apply(store: CallStore, outputs: dict[str, DataFrame]) -> None:
     """Write the updates of the given steps, in the order of the chain, as one snapshot."""
-    store.apply_updates(
-        (outputs[step], status, table_key, data_key)
-        for step, status, table_key, data_key in UPDATE_CHAIN
-        if step in outputs
-    )
+    store.apply_chain(outputs)

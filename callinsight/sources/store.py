@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from callinsight import schemas as S
 from callinsight.operators.integrity import column_violations, duplicate_keys, with_schema
-from callinsight.operators.updates import update_calls
+from callinsight.operators.updates import apply_chain, update_calls
 
 
 class CallStore:
@@ -141,3 +141,7 @@ class CallStore:
             sets_key |= "call_id" in data.columns and data_key != "call_id"
         path = self._prepare("call", calls) if sets_key else self._write("call", calls)
         self._point("call", path)
+
+    def apply_chain(self, outputs: dict[str, DataFrame]) -> None:
+        """The status updates of an analysis run as one snapshot, with one shuffle of the call table."""
+        self._point("call", self._write("call", apply_chain(self.get_calls(), outputs)))

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from callinsight.operators import frame, indicators, locations, outcomes, quality, relations, timeline, updates
 from callinsight.sources import star
@@ -128,5 +129,15 @@ def test_hot_update_key_is_split(spark, order_by):
             spark.conf.unset(k)
 
 
+def test_chain_shuffles_the_call_table_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(updates.apply_chain(star.new_calls(spark, SF_DIR).withColumn("summary", F.lit("wide")), dict(star.step_outputs(spark, SF_DIR))))
+        wide = [line for line in text.splitlines() if "Exchange" in line or "SortMergeJoin" in line]
+        assert sum("SortMergeJoin" in line for line in wide) == 5
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_kpis_in_one_scan(gold):
     assert plan(indicators.kpis(gold)).count("FileScan") == 1
