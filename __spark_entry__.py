@@ -179,6 +179,10 @@ def call_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "postprocess_answers": lambda spark, d: answers.postprocess_answers(star.answers(spark, d)),
         "parse_answers": lambda spark, d: answers.parse_answers(star.answer_texts(spark, d), ["poll_1"]),
+        "parse_answers_untidy": lambda spark, d: answers.parse_answers(
+            star.answer_texts(spark, d).withColumn("block_1", F.regexp_replace("block_1", r"(?m)^2\. (.*)$", "2. $1\n  2. again\nand 7. more")),
+            ["poll_1"],
+        ),
         "parse_polled_answers": lambda spark, d: answers.parse_answers(
             star.answer_texts(spark, d), ["poll_1", "poll_2", "poll_3"]
         ),
@@ -410,7 +414,11 @@ def call_sql() -> dict[str, str]:
     )
 
     # Texts.
-    email, phone = pii.PATTERNS["EMAIL"], pii.PATTERNS["PHONE"]
+    email = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+    phone = (
+        r"(?:\+\d{1,2} )?\(\d{3}\) ?\d{3}-\d{4}|\b(?:1-)?\d{3}-\d{3}-\d{4}\b"
+        r"|\b\d{3}\.\d{3}\.\d{4}\b|\+\d{1,3}(?: \d{2,4}){2,4}\b"
+    )
     documents = "docs AS (SELECT doc_id || '.txt' AS text_file, text FROM documents)"
     # An e-mail is taken out of the text before phone numbers are looked for.
     masked = f"regexp_replace(text, '{email}', chr(1), 'g')"
@@ -729,6 +737,8 @@ def call_sql() -> dict[str, str]:
         "postprocess_answers": f"SELECT {k} || '.anon.txt' AS text_file, "
         f"{_list({c: clean[c] for c in S.ANSWER_COLUMNS})} FROM orders",
         "parse_answers": parsed([1]),
+        "parse_answers_untidy": "SELECT * REPLACE (summary || chr(10) || '  2. again' || chr(10) || 'and 7. more' AS summary) "
+        f"FROM ({parsed([1])})",
         "parse_polled_answers": parsed([1, 2, 3]),
         "poll_answers": f"WITH p AS ({poll_rows}), v AS (SELECT text_file, question, answer, count(*) AS votes, "
         "min(poll) AS first FROM p GROUP BY ALL) SELECT text_file, question, answer, votes FROM v "

@@ -9,6 +9,7 @@ matched again nor be touched by a replacement value that looks like personal dat
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,11 +20,14 @@ ENTITIES = ["PERSON", "EMAIL", "PHONE"]
 
 PATTERNS = {
     "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "PHONE": r"(?:\+\d{1,2} )?\(\d{3}\) \d{3}-\d{4}|\b\d{3}-\d{3}-\d{4}\b",
+    "PHONE": (
+        r"(?:\+\d{1,2} )?\(\d{3}\) ?\d{3}-\d{4}|\b(?:1-)?\d{3}-\d{3}-\d{4}\b"
+        r"|\b\d{3}\.\d{3}\.\d{4}\b|\+\d{1,3}(?: \d{2,4}){2,4}\b"
+    ),
 }
 
-# Text that every match contains: a cheap test that spares most texts the pattern.
-NEEDLES = {"EMAIL": "@", "PHONE": "-"}
+# Text of which every match contains some: a cheap test that spares texts the pattern.
+NEEDLES = {"EMAIL": ["@"], "PHONE": ["-", ".", "+"]}
 
 SCORES = {"EMAIL": 1.0, "PHONE": 0.95, "PERSON": 0.9}
 
@@ -73,7 +77,8 @@ def detect(
     for entity in _active(entities, threshold):
         masked = F.col("_masked")
         if entity != "PERSON":
-            pattern, possible = F.lit(PATTERNS[entity]), masked.contains(NEEDLES[entity])
+            needles = [masked.contains(n) for n in NEEDLES[entity]]
+            pattern, possible = F.lit(PATTERNS[entity]), reduce(Column.__or__, needles)
         elif names_column is not None:
             df = df.withColumn("_names", name_pattern(F.col(names_column)))
             pattern, possible = F.col("_names"), F.col("_names").isNotNull()

@@ -162,6 +162,15 @@ def test_names_in_any_case_and_marks_in_the_input(spark):
     assert pii.anonymize(df, names_column="names").first().text == "hi John Doe  and bobby"
 
 
+def test_phone_forms_and_look_alikes(spark):
+    phones = ["555.123.4567", "(555)123-4567", "+44 20 7946 0958", "1-800-555-1234", "+1 (743) 555-3824", "123-456-7890"]
+    stay = ["233.233.171.252", "4785380592391139", "4785 3805 9239 1139", "2024-01-15", "3.14159"]
+    df = spark.createDataFrame([(x, f"call {x} now") for x in phones + stay], "text_file string, text string")
+    got = {r.original_file: r.text for r in pii.anonymize(df, ["PHONE"]).collect()}
+    assert {got[x] for x in phones} == {"call 123456789 now"}
+    assert all(got[x] == f"call {x} now" for x in stay)
+
+
 def test_polls_agree_in_both_forms(spark, rows):
     polls = [BLOCK_2, BLOCK_2.replace("3. 4", "3. 5"), BLOCK_2.replace("3. 4", "3. 5").replace("1. No", "1. Yes")]
     df = spark.createDataFrame([("1", BLOCK_1, *polls)], "text_file string, block_1 string, p1 string, p2 string, p3 string")
