@@ -16,7 +16,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import repeat
-from operator import contains, eq
+from operator import and_, contains, eq
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +26,9 @@ from pyspark.sql import functions as F
 from callinsight.llm.common import external_id, internal_id, text_of, written
 
 SLICE = 1 << 20
-BLOCK = 500
 #: Measures of a text, in the order of ``measures``.
-MEASURES = ("marks", "unclean", "upper", "repeats", "distinct", "squeezed", "digits", "length")
-LABELLERS = ("marks", "unclean", "upper", "repeats", "distinct", "squeezed")
+MEASURES = ("marks", "unclean", "upper", "repeats", "runs", "squeezed", "digits", "length")
+LABELLERS = ("marks", "unclean", "upper", "repeats", "runs", "squeezed")
 GOOD, BAD, NONE = 1, 0, 2
 FALSE_ALARMS, HITS = 0.02, 0.2
 
@@ -40,7 +39,7 @@ def _table(chars: bytes) -> np.ndarray:
     return out
 
 
-_MARKS = b"#$%&*<>=^~\\_{}[]|!"
+_MARKS = b"#$%&*<>^~\\_{}[]|!"
 _MARK, _UPPER = _table(_MARKS), _table(bytes(range(65, 91)))
 _AS_HASH = bytes.maketrans(_MARKS, b"#" * len(_MARKS))
 _LETTER = _table(bytes([*range(65, 91), *range(97, 123), *range(128, 256)]))
@@ -57,12 +56,12 @@ def measures(text: bytes) -> np.ndarray:
     letters = max(1, counts[_LETTER].sum())
     n = len(words)
     repeats = sum(map(eq, words, words[1:]))
-    distinct = sum(len(set(words[i : i + BLOCK])) for i in range(0, n, BLOCK)) / n  # alike for short and long texts
+    runs = sum(map(and_, map(eq, words, words[1:]), map(eq, words, words[2:])))
     unclean = sum(map(contains, text.translate(_AS_HASH).split(), repeat(b"#"))) / n
     packer = zlib.compressobj(1)
     squeezed = sum(len(packer.compress(text[at : at + SLICE])) for at in range(0, len(text), SLICE)) + len(packer.flush())
     return np.array([
-        min(1.0, counts[_MARK].sum() / n), unclean, counts[_UPPER].sum() / letters, repeats / n, distinct,
+        min(1.0, counts[_MARK].sum() / n), unclean, counts[_UPPER].sum() / letters, repeats / n, runs / n,
         min(1.0, squeezed / (len(text) + 60)), counts[48:58].sum() / len(text), min(1.0, np.log10(len(text)) / 6),
     ])
 
@@ -71,8 +70,8 @@ def votes(m: np.ndarray, words: bool = True) -> np.ndarray:
     """What each labeller says of the measures; a text without words is bad to all."""
     if not words:
         return np.full(len(LABELLERS), BAD, np.int8)
-    bad = (m[0] > 0.15, m[1] > 0.1, m[2] > 0.55, m[3] > 0.15, m[4] < 0.5, m[5] < 0.2)
-    good = (m[0] < 0.05, m[1] < 0.04, m[2] < 0.3, m[3] < 0.06, m[4] > 0.6, m[5] > 0.3)
+    bad = (m[0] > 0.15, m[1] > 0.1, m[2] > 0.55, m[3] > 0.15, m[4] > 0.08, m[5] < 0.02)
+    good = (m[0] < 0.12, m[1] < 0.08, m[2] < 0.4, m[3] < 0.12, m[4] < 0.06, m[5] >= 0.02)
     return np.where(bad, BAD, np.where(good, GOOD, NONE)).astype(np.int8)
 
 
