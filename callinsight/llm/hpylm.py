@@ -60,6 +60,16 @@ def _batch(rows: dict[str, list], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(rows[c], kinds[t]) for c, t in columns], [c for c, _ in columns])
 
 
+def _narrow(values: np.ndarray) -> bytes:
+    """Non-negative numbers in as few bytes each as the largest needs."""
+    most = int(values.max()) if len(values) else 0
+    return values.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4" if most < 1 << 32 else "<u8").tobytes()
+
+
+def _wide(raw: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{len(raw) // count}" if count else "<u1").astype(np.int64)
+
+
 def _rows(schema: str) -> dict[str, list]:
     return {c.split(" ")[0]: [] for c in schema.split(", ")}
 
@@ -109,9 +119,9 @@ def pack(docs: list[tuple[int, bytes, bool]], chunk: int, buckets: int) -> pa.Re
         seen[used] = np.arange(len(used))
         values = {
             "bucket": b, "chunk": chunk, "ids": ids if not rows["bucket"] else b"", "held": held,
-            "words": hashes_at[word[lo:hi][first]].astype("<u8").tobytes(), "runs": np.diff(np.append(first, hi - lo)).astype("<u4").tobytes(),
-            "contexts": hashes[used].astype("<u8").tobytes(), "context": seen[context[lo:hi]].astype("<u4").tobytes(),
-            "doc": doc[lo:hi].astype("<u2").tobytes(), "n": n[lo:hi].astype("<u4").tobytes(),
+            "words": hashes_at[word[lo:hi][first]].astype("<u8").tobytes(), "runs": _narrow(np.diff(np.append(first, hi - lo))),
+            "contexts": hashes[used].astype("<u8").tobytes(), "context": _narrow(seen[context[lo:hi]]),
+            "doc": doc[lo:hi].astype("<u2").tobytes(), "n": _narrow(n[lo:hi]),
         }
         for column, value in values.items():
             rows[column].append(value)
@@ -188,12 +198,12 @@ class Bucket:
         self.bucket, self.rows = bucket, rows
         self.words, word_at = np.unique(np.concatenate([get(r, "words", "<u8") for r in rows]), return_inverse=True)
         self.contexts, context_at = np.unique(np.concatenate([get(r, "contexts", "<u8") for r in rows]), return_inverse=True)
-        word = np.repeat(word_at, np.concatenate([get(r, "runs", "<u4") for r in rows]))
+        word = np.repeat(word_at, np.concatenate([_wide(r["runs"], len(r["words"]) // 8) for r in rows]))
         shift = np.concatenate(([0], np.cumsum([len(r["contexts"]) // 8 for r in rows])))
-        context = np.concatenate([context_at[get(r, "context", "<u4") + s] for r, s in zip(rows, shift, strict=False)])
+        context = np.concatenate([context_at[_wide(r["context"], len(r["doc"]) // 2) + s] for r, s in zip(rows, shift, strict=False)])
         self.docs = np.concatenate(([0], np.cumsum([len(r["held"]) for r in rows])))
-        self.doc = np.concatenate([get(r, "doc", "<u2") + s for r, s in zip(rows, self.docs, strict=False)])
-        self.n = np.concatenate([get(r, "n", "<u4") for r in rows]).astype(np.int64)
+        self.doc = np.concatenate([get(r, "doc", "<u2").astype(np.int64) + s for r, s in zip(rows, self.docs, strict=False)])
+        self.n = np.concatenate([_wide(r["n"], len(r["doc"]) // 2) for r in rows])
         held = np.concatenate([get(r, "held", np.uint8) for r in rows]).astype(bool)
         key = (word.astype(np.int64) << 32) | context
         pairs, self.pair = np.unique(key, return_inverse=True)
@@ -289,7 +299,7 @@ class PitmanYor:
             keys, (order, owner), rows = np.concatenate((b.contexts, SUMS)), b.owners(buckets), _rows(ASKED)
             for at in np.split(np.arange(len(order)), np.flatnonzero(np.diff(owner)) + 1):
                 k = order[at]
-                values = (int(owner[at[0]]), b.bucket, keys[k].astype("<u8").tobytes(), customers[k].astype("<i8").tobytes(), tables[k].astype("<i8").tobytes())
+                values = (int(owner[at[0]]), b.bucket, keys[k].astype("<u8").tobytes(), _narrow(customers[k]), _narrow(tables[k]))
                 for column, value in zip(rows.values(), values, strict=True):
                     column.append(value)
             return pa.Table.from_batches([_batch(rows, ASKED)])
@@ -300,12 +310,12 @@ class PitmanYor:
             _, at = np.unique(keys, return_inverse=True)
             rows, totals = _rows(TOLD), {}
             for c in ("customers", "tables"):
-                values = np.concatenate([np.frombuffer(r[c], "<i8") for r in asked])
-                totals[c] = np.bincount(at, values)[at].astype("<i8")
+                values = np.concatenate([_wide(r[c], len(r["keys"]) // 8) for r in asked])
+                totals[c] = np.bincount(at, values)[at].astype(np.int64)
             start = 0
             for r in asked:
                 end = start + len(r["keys"]) // 8
-                values = (r["bucket"], key[0].as_py(), totals["customers"][start:end].tobytes(), totals["tables"][start:end].tobytes())
+                values = (r["bucket"], key[0].as_py(), _narrow(totals["customers"][start:end]), _narrow(totals["tables"][start:end]))
                 for column, value in zip(rows.values(), values, strict=True):
                     column.append(value)
                 start = end
@@ -314,12 +324,13 @@ class PitmanYor:
         def finish(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
             b = Bucket(table, key[0].as_py())
             tables, root = b.first_seating(buckets, strength)
-            order, _ = b.owners(buckets)
+            order, owner = b.owners(buckets)
+            asked = dict(zip(*np.unique(owner, return_counts=True), strict=True))
             total = {}
             answers = sorted(told.to_pylist(), key=lambda r: r["owner"])
             for c in ("customers", "tables"):
                 total[c] = np.empty(len(order), np.int64)
-                total[c][order] = np.concatenate([np.frombuffer(r[c], "<i8") for r in answers])
+                total[c][order] = np.concatenate([_wide(r[c], asked[r["owner"]]) for r in answers])
             train, parent_all, ones, parent_ones = (int(x) for x in total["customers"][-len(SUMS) :])
             types, root_all, twos, parent_twos = (int(x) for x in total["tables"][-len(SUMS) :])
             customers, held_tables = total["customers"][: -len(SUMS)], total["tables"][: -len(SUMS)]
@@ -344,13 +355,13 @@ class PitmanYor:
             count = lambda values: np.bincount(b.doc, values, b.docs[-1])
             seen = b.seen[b.word][b.pair]
             found = {
-                "tokens": count(b.n).astype("<u4"), "known": count(np.where(seen > 0, b.n, 0)).astype("<u4"),
+                "tokens": count(b.n).astype(np.int64), "known": count(np.where(seen > 0, b.n, 0)).astype(np.int64),
                 "base": count(b.n * np.log10(seen + 1.0)), "score": count(b.n * np.log10(probability)[b.pair]),
             }
             rows = _rows(PARTS)
             for r, lo, hi in zip(b.rows, b.docs, b.docs[1:], strict=False):
                 values = {"chunk": r["chunk"], "bucket": b.bucket, "ids": r["ids"], "held": r["held"] if r["ids"] else b"", "train": train, "types": types}
-                values |= {c: v[lo:hi].tobytes() for c, v in found.items()}
+                values |= {c: _narrow(v[lo:hi]) if v.dtype == np.int64 else v[lo:hi].tobytes() for c, v in found.items()}
                 for column, value in values.items():
                     rows[column].append(value)
             return pa.Table.from_batches([_batch(rows, PARTS)])
@@ -358,11 +369,13 @@ class PitmanYor:
         def add_up(key: tuple, table: pa.Table) -> pa.Table:
             rows = sorted(table.to_pylist(), key=lambda r: r["bucket"])
             (home,) = (r for r in rows if r["ids"])
-            add = lambda c, t: sum(np.frombuffer(r[c], t).astype("f8" if t == "<f8" else "i8") for r in rows)
-            n = add("tokens", "<u4")
-            base = add("base", "<f8") - n * np.log10(home["train"] + home["types"] + 1.0)
+            size = len(home["held"])
+            whole = lambda c: sum(_wide(r[c], size) for r in rows)
+            add = lambda c: sum(np.frombuffer(r[c], "<f8") for r in rows)
+            n = whole("tokens")
+            base = add("base") - n * np.log10(home["train"] + home["types"] + 1.0)
             ids, held = np.frombuffer(home["ids"], "<i8"), np.frombuffer(home["held"], np.uint8).astype(bool)
-            columns = [ids, held, n, add("known", "<u4"), np.full(len(ids), home["train"]), base, add("score", "<f8")]
+            columns = [ids, held, n, whole("known"), np.full(len(ids), home["train"]), base, add("score")]
             return pa.table([pa.array(c) for c in columns], ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
         asked = packed.groupBy("bucket").applyInArrow(ask, ASKED)
