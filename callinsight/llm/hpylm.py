@@ -10,6 +10,8 @@ averaged over the seatings of several sweeps, and their logarithms add up to a d
 How it is spread: tokens are packed into arrays and dealt by the hash of the *word*, so all contexts of a
 word meet and the parent's customers for it are counted on the spot. What a bucket lacks are its
 contexts' totals: it asks the contexts' owners (a shuffle of aggregated rows), which add up and answer.
+Words with a large share of all tokens (a bounded list) are dealt to several buckets by their contexts, and
+their totals are asked for in the same way.
 Three shuffles in all; nothing of the model passes through the driver. As in other distributed
 samplers, totals of other buckets stand still during the sweeps after the exchange.
 """
@@ -17,6 +19,7 @@ samplers, totals of other buckets stand still during the sweeps after the exchan
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,13 +30,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callinsight.llm.common import external_id, internal_id, text_of
+from callinsight.llm.common import external_id, internal_id, text_of, written
 
 EXACT = 32
 CHUNK_BYTES, CHUNK_DOCS = 4_000_000, 30_000
 #: Keys of sums over all buckets, asked for like contexts: (tokens, words), (parent's customers, its tables),
 #: and how many dishes have one or two customers in restaurants and in the parent.
 SUMS = np.array([1, 2, 3, 4], np.uint64)
+SPLIT = np.uint64(0x5851F42D4C957F2D)  # tells a split word's key from that of the same word as a context
 END = b""  # closes a document, and is the context of its first word
 
 PACKED = (
@@ -77,8 +81,11 @@ def _rows(schema: str) -> dict[str, list]:
 # --- Packing tokens ---------------------------------------------------------------------------
 
 
-def pack(docs: list[tuple[int, bytes, bool]], chunk: int, buckets: int) -> pa.RecordBatch:
-    """One row per bucket with the (word, context, document) counts of ``docs`` (id, text, held)."""
+def pack(docs: list[tuple[int, bytes, bool]], chunk: int, buckets: int, split: dict[int, int]) -> pa.RecordBatch:
+    """One row per bucket with the (word, context, document) counts of ``docs`` (id, text, held).
+
+    A word of ``split`` (hash: parts) is dealt to as many buckets, by the hash of its context.
+    """
     index = _Index()
     get, end = index.__getitem__, index[END]
     words, sizes = [], []
@@ -94,26 +101,36 @@ def pack(docs: list[tuple[int, bytes, bool]], chunk: int, buckets: int) -> pa.Re
     context[np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)] = end
     xxh = xxhash.xxh64_intdigest
     hashes = np.fromiter((xxh(w, 7) for w in index), np.uint64, len(index))
+    bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+    if at := [n for n, h in enumerate(hashes.tolist()) if h in split]:  # each part becomes a word of its own here
+        parts = np.ones(len(hashes), np.int64)
+        parts[at] = [split[h] for h in hashes[at].tolist()]
+        part = hashes[context] % parts[word].astype(np.uint64)
+        moved = np.flatnonzero(part)
+        own, new = np.unique(np.stack((word[moved], part[moved].astype(np.int64))), axis=1, return_inverse=True)
+        word[moved] = len(hashes) + new.reshape(-1)
+        bucket = np.concatenate((bucket, (bucket[own[0]] + own[1]) % buckets))
+        hashes = np.concatenate((hashes, hashes[own[0]]))
     # Words in the order of their buckets; a sorted key is (word, context, document).
-    order = np.lexsort((hashes, hashes % np.uint64(buckets)))
+    order = np.lexsort((hashes, bucket))
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    if len(index) < 1 << 24:
+    if len(hashes) < 1 << 24:
         keys, n = np.unique((place[word] << 39) | (context << 15) | doc, return_counts=True)
         word, context, doc = keys >> 39, (keys >> 15) & ((1 << 24) - 1), keys & ((1 << 15) - 1)
     else:  # a single text of very many distinct words
         (word, context, doc), n = np.unique(np.stack((place[word], context, doc)), axis=1, return_counts=True)
     hashes_at = hashes[order]
-    edges = np.searchsorted(hashes_at[word] % np.uint64(buckets), np.arange(buckets + 1, dtype=np.uint64))
+    edges = np.searchsorted(bucket[order][word], np.arange(buckets + 1))
     ids = np.array([i for i, _, _ in docs], "<i8").tobytes()
     held = np.array([h for _, _, h in docs], np.uint8).tobytes()
-    rows, seen = _rows(PACKED), np.zeros(len(index), np.int64)
+    rows, seen = _rows(PACKED), np.zeros(len(hashes), np.int64)
     for b in range(buckets):
         lo, hi = edges[b], edges[b + 1]
         if lo == hi:
             continue
         first = np.flatnonzero(np.concatenate(([True], np.diff(word[lo:hi]) != 0)))
-        used = np.zeros(len(index), bool)
+        used = np.zeros(len(hashes), bool)
         used[context[lo:hi]] = True
         used = np.flatnonzero(used)
         seen[used] = np.arange(len(used))
@@ -192,7 +209,7 @@ class Bucket:
     Everything is in the order of hashes, whatever order the rows came in.
     """
 
-    def __init__(self, table: pa.Table, bucket: int):
+    def __init__(self, table: pa.Table, bucket: int, split: dict[int, int]):
         rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
         get = lambda r, c, t: np.frombuffer(r[c], t)
         self.bucket, self.rows = bucket, rows
@@ -212,6 +229,12 @@ class Bucket:
         self.customers = np.bincount(self.pair, train, len(pairs)).astype(np.int64)
         self.seen = np.bincount(self.word, self.customers, len(self.words)).astype(np.int64)
         self.rng = np.random.default_rng([11, bucket])
+        # Words that are dealt to several buckets, in the same order everywhere, and which of the words here they are.
+        self.split = np.array(sorted(split), np.uint64)
+        self.parts = np.array([split[h] for h in self.split.tolist()], np.int64)
+        at = np.minimum(np.searchsorted(self.split, self.words), max(0, len(split) - 1))
+        self.is_split = self.split[at] == self.words if len(split) else np.zeros(len(self.words), bool)
+        self.split_at = at[self.is_split]
 
     def per_context(self, values: np.ndarray) -> np.ndarray:
         return np.bincount(self.context, values, len(self.contexts)).astype(np.int64)
@@ -227,6 +250,7 @@ class Bucket:
         for _ in range(2):
             parent = self.per_word(tables)
             share = (parent + 0.5) / max(1, buckets * parent.sum())
+            share[self.is_split] *= self.parts[self.split_at]
             others = buckets * self.per_context(tables)[self.context] - tables
             tables = reseat(self.rng, c, others, share[self.word], d, strength, log_s)
         parent = self.per_word(tables)
@@ -235,18 +259,24 @@ class Bucket:
         root = reseat(self.rng, parent, buckets * (parent > 0).sum() - np.minimum(parent, 1), known, d0, strength, stirling(d0)) if len(parent) else parent
         return tables, root
 
+    def keys(self) -> np.ndarray:
+        """What is asked for: contexts, all split words, sums."""
+        return np.concatenate((self.contexts, self.split ^ SPLIT, SUMS))
+
     def owners(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-        """Keys asked for (contexts and sums) in the order of their owners, and the owners."""
-        keys = np.concatenate((self.contexts, SUMS))
-        owner = (keys % np.uint64(buckets)).astype(np.int64)
+        """The keys in the order of their owners, and the owners."""
+        owner = (self.keys() % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(owner, kind="stable")
         return order, owner[order]
 
-    def sums(self, tables: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        parent, c = self.per_word(tables), self.customers
-        a = [c.sum(), parent.sum(), (c == 1).sum(), (parent == 1).sum()]
-        b = [(self.seen > 0).sum(), root.sum(), (c == 2).sum(), (parent == 2).sum()]
-        return np.array(a, np.int64), np.array(b, np.int64)
+    def share_of(self, tables: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """This bucket's part of the customers and tables of each key. Split words count as words elsewhere."""
+        parent, c, one = self.per_word(tables), self.customers, ~self.is_split
+        a = [c.sum(), parent.sum(), (c == 1).sum(), (parent[one] == 1).sum()]
+        b = [(self.seen[one] > 0).sum(), root[one].sum(), (c == 2).sum(), (parent[one] == 2).sum()]
+        customers, seated = np.zeros(len(self.split), np.int64), np.zeros(len(self.split), np.int64)
+        customers[self.split_at], seated[self.split_at] = self.seen[self.is_split], parent[self.is_split]
+        return np.concatenate((self.per_context(c), customers, a)), np.concatenate((self.per_context(tables), seated, b))
 
 
 # --- The three shuffles -----------------------------------------------------------------------
@@ -264,7 +294,39 @@ class PitmanYor:
     modulus: int = 7
     remainder: int = 2
 
-    def packed(self, docs: DataFrame, buckets: int) -> DataFrame:
+    def hot_words(self, docs: DataFrame, buckets: int) -> dict[int, int]:
+        """Words with more than about half a bucket's share of all tokens, and the buckets to deal them to.
+
+        Tasks report words that are frequent in a chunk; at most ``4 * buckets`` words can be so in the whole.
+        """
+        least = 1 / (4 * buckets)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                count, size = Counter(), 0
+                for n, text in enumerate(batch.column("text")):
+                    text = text.as_py()
+                    count.update(text.lower().split())
+                    count[END] += 1
+                    size += len(text)
+                    if size >= CHUNK_BYTES or n == batch.num_rows - 1:
+                        total = count.total()
+                        found = [(xxhash.xxh64_intdigest(w, 7), c) for w, c in count.items() if c >= least * total]
+                        words = np.array([w for w, _ in found], np.uint64).view(np.int64)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([False] * len(found) + [True]), pa.array([*words.tolist(), 0], pa.int64()), pa.array([*(c for _, c in found), total], pa.int64())],
+                            ["whole", "word", "n"],
+                        )
+                        count, size = Counter(), 0
+
+        texts = docs.select(text_of().cast("binary").alias("text"))
+        found = texts.mapInArrow(run, "whole boolean, word long, n long").groupBy("whole", "word").agg(F.sum("n").alias("n"))
+        found = written(found, "frequent")
+        total = found.where("whole").agg(F.sum("n")).first()[0] or 0
+        rows = found.where(~F.col("whole") & (F.col("n") > least * total)).collect()
+        return {r["word"] % (1 << 64): min(buckets, int(2 * buckets * r["n"] / total) + 1) for r in rows}
+
+    def packed(self, docs: DataFrame, buckets: int, split: dict[int, int]) -> DataFrame:
         modulus, remainder = self.modulus, self.remainder
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,10 +337,10 @@ class PitmanYor:
                     held.append((doc, text, held_out(doc, modulus, remainder)))
                     size += len(text)
                     if size >= CHUNK_BYTES or len(held) >= CHUNK_DOCS:
-                        yield pack(held, chunk, buckets)
+                        yield pack(held, chunk, buckets, split)
                         chunk, held, size = chunk + 1, [], 0
             if held:
-                yield pack(held, chunk, buckets)
+                yield pack(held, chunk, buckets, split)
 
         narrow = docs.select(internal_id().alias("id"), text_of().cast("binary").alias("text"))
         return narrow.mapInArrow(run, PACKED)
@@ -288,15 +350,13 @@ class PitmanYor:
         (doc_id, text). Scores are log10 probabilities; a text without words is its end token alone."""
         buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         strength, sweeps, samples = self.strength, self.sweeps, self.samples
-        packed = self.packed(docs, buckets)
+        split = self.hot_words(docs, buckets)
+        packed = self.packed(docs, buckets, split)
 
         def ask(key: tuple, table: pa.Table) -> pa.Table:
-            b = Bucket(table, key[0].as_py())
-            tables, root = b.first_seating(buckets, strength)
-            c, t = b.sums(tables, root)
-            customers = np.concatenate((b.per_context(b.customers), c))
-            tables = np.concatenate((b.per_context(tables), t))
-            keys, (order, owner), rows = np.concatenate((b.contexts, SUMS)), b.owners(buckets), _rows(ASKED)
+            b = Bucket(table, key[0].as_py(), split)
+            customers, tables = b.share_of(*b.first_seating(buckets, strength))
+            keys, (order, owner), rows = b.keys(), b.owners(buckets), _rows(ASKED)
             for at in np.split(np.arange(len(order)), np.flatnonzero(np.diff(owner)) + 1):
                 k = order[at]
                 values = (int(owner[at[0]]), b.bucket, keys[k].astype("<u8").tobytes(), _narrow(customers[k]), _narrow(tables[k]))
@@ -322,7 +382,7 @@ class PitmanYor:
             return pa.Table.from_batches([_batch(rows, TOLD)])
 
         def finish(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
-            b = Bucket(table, key[0].as_py())
+            b = Bucket(table, key[0].as_py(), split)
             tables, root = b.first_seating(buckets, strength)
             order, owner = b.owners(buckets)
             asked = dict(zip(*np.unique(owner, return_counts=True), strict=True))
@@ -333,17 +393,31 @@ class PitmanYor:
                 total[c][order] = np.concatenate([_wide(r[c], asked[r["owner"]]) for r in answers])
             train, parent_all, ones, parent_ones = (int(x) for x in total["customers"][-len(SUMS) :])
             types, root_all, twos, parent_twos = (int(x) for x in total["tables"][-len(SUMS) :])
-            customers, held_tables = total["customers"][: -len(SUMS)], total["tables"][: -len(SUMS)]
+            n_contexts = len(b.contexts)
+            customers, held_tables = total["customers"][:n_contexts], total["tables"][:n_contexts]
+            split_seen, split_parent = total["customers"][n_contexts : -len(SUMS)], total["tables"][n_contexts : -len(SUMS)]
+            types += int((split_seen > 0).sum())
             d, d0 = discount_of(ones, twos), discount_of(parent_ones, parent_twos)
             log_s, log_s0 = stirling(d), stirling(d0)
             parent, uniform = b.per_word(tables), 1.0 / (types + 1)
+            seen, elsewhere = b.seen.copy(), np.zeros_like(parent)  # what split words have in other buckets
+            seen[b.is_split] = split_seen[b.split_at]
+            elsewhere[b.is_split] = split_parent[b.split_at] - parent[b.is_split]
+            parent = parent + elsewhere
+            split_root = np.minimum(split_parent, 1)
+            split_root = reseat(
+                np.random.default_rng(13), split_parent, root_all - split_root, np.full(len(split_parent), uniform), d0, strength, log_s0
+            )  # the same draw everywhere
+            root_all += int(split_root.sum())
+            root = np.where(b.is_split, 0, root)
+            root[b.is_split] = split_root[b.split_at]
             probability = np.zeros(len(b.word))
             for sweep in range(sweeps + samples):
                 share = (np.maximum(parent - d0 * root, 0) + (strength + d0 * root_all) * uniform) / (strength + parent_all)
                 new = reseat(b.rng, b.customers, held_tables[b.context] - tables, share[b.word], d, strength, log_s)
                 held_tables = held_tables + b.per_context(new - tables)
                 parent_all += int((new - tables).sum())
-                tables, parent = new, b.per_word(new)
+                tables, parent = new, b.per_word(new) + elsewhere
                 new = reseat(b.rng, parent, root_all - root, np.full(len(parent), uniform), d0, strength, log_s0)
                 root_all += int((new - root).sum())
                 root = new
@@ -353,7 +427,7 @@ class PitmanYor:
                     back = (strength + d * held_tables)[b.context] * share[b.word]
                     probability += (own + back) / (strength + customers[b.context]) / samples
             count = lambda values: np.bincount(b.doc, values, b.docs[-1])
-            seen = b.seen[b.word][b.pair]
+            seen = seen[b.word][b.pair]
             found = {
                 "tokens": count(b.n).astype(np.int64), "known": count(np.where(seen > 0, b.n, 0)).astype(np.int64),
                 "base": count(b.n * np.log10(seen + 1.0)), "score": count(b.n * np.log10(probability)[b.pair]),
