@@ -15,10 +15,16 @@ def kpis(frame: DataFrame, approximate: bool = False) -> DataFrame:
     the exact distinct counts for sketches, whose partial results do not grow with the callers.
     """
     distinct = F.approx_count_distinct if approximate else F.countDistinct
-    one = frame.agg(
-        F.avg(F.col("Upsale Success").cast("int")).alias("upsale"),
-        F.avg(F.col("Concern Addressed").cast("int")).alias("concern"),
+    # Folded per agent and caller first: the distinct counts then expand pairs, not calls.
+    flags = {"upsale": F.col("Upsale Success").cast("int"), "concern": F.col("Concern Addressed").cast("int")}
+    pairs = frame.groupBy("Agent ID", "Caller ID").agg(
         F.count("Caller ID").alias("calls"),
+        *[F.sum(flag).alias(name) for name, flag in flags.items()],
+        *[F.count(flag).alias(f"known_{name}") for name, flag in flags.items()],
+    )
+    one = pairs.agg(
+        *[(F.sum(name) / F.sum(f"known_{name}")).alias(name) for name in flags],
+        F.coalesce(F.sum("calls"), F.lit(0)).alias("calls"),
         distinct("Agent ID").alias("agents"),
         distinct("Caller ID").alias("callers"),
     )
