@@ -2,8 +2,8 @@
 
 A text is cut into pre-tokens ("words"); what BPE makes of a word depends on the word alone. The distinct
 words of a batch form a trie. Each node of it, a prefix, has one state: the last token of the prefix's
-encoding. The state follows from states nearer the root: of the tokens that end the prefix, the last
-one is the token that BPE would never have merged with (or across into) the token before it. Walking
+encoding. The state follows from states nearer the root: of the tokens that end the prefix, exactly one
+is such that BPE would never have merged it with (or across into) the token before it. Walking
 the trie depth first, a prefix shared by many words is worked out once, and a word's encoding is read
 off backwards, one state per token. Sorted words are such a walk; only the states on the path to
 the current word are held.
@@ -15,6 +15,7 @@ changes the speed only.
 from __future__ import annotations
 
 import json
+import struct
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -56,7 +57,16 @@ class Vocabulary:
         self.token = {i: bytes(alphabet[c] for c in text) for text, i in ids.items()}
         self.id_of = {token: i for i, token in self.token.items()}
         self.token |= {i: text.encode() for text, i in self.added.items()}
-        self.longest = max(map(len, self.id_of))
+        # The tokens spelt backwards, as a trie: (node, byte) to node, and the token that ends at a node or -1.
+        self.down: dict[int, int] = {}
+        self.ends = [-1]
+        for token, i in self.id_of.items():
+            node = 0
+            for byte in reversed(token):
+                node = self.down.setdefault(node << 8 | byte, len(self.ends))
+                if node == len(self.ends):
+                    self.ends.append(-1)
+            self.ends[node] = i
         self.rank: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int]] = {}
         self.made: dict[int, int] = {}  # the rank of the merge that makes a token; -1 for single bytes
@@ -100,7 +110,7 @@ class Vocabulary:
 
     def encode_sorted(self, words: Iterable[bytes]) -> Iterator[list[int]]:
         """The encodings of sorted, distinct, non-empty words."""
-        id_of, token, apart, known, longest = self.id_of.get, self.token, self.stay_apart, self._apart.get, self.longest
+        token, apart, known, down, ends = self.token, self.stay_apart, self._apart.get, self.down.__getitem__, self.ends
         last, before = [-1], b""  # last[n]: last token of the current word's first n bytes
         for word in words:
             shared = 0
@@ -110,9 +120,12 @@ class Vocabulary:
                 shared += 1
             del last[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
-                    t = id_of(word[start:end])
-                    if t is None:
+                node, start = 0, end
+                while True:  # exactly one token that ends here fits what is before it
+                    start -= 1
+                    node = down(node << 8 | word[start])
+                    t = ends[node]
+                    if t < 0:
                         continue
                     if start:
                         ok = known(last[start] << 32 | t)
@@ -134,7 +147,7 @@ class Vocabulary:
 class Encoder:
     """Encodes texts with a vocabulary, remembering words in two generations."""
 
-    def __init__(self, path: str, remember: int = 120_000):
+    def __init__(self, path: str, remember: int = 160_000):
         self.vocabulary = Vocabulary(path)
         self.remember = remember
         self.young: dict[str, bytes] = {}
@@ -158,7 +171,7 @@ class Encoder:
                     young[word] = got
         todo.sort()
         for word, ids in zip(todo, self.vocabulary.encode_sorted(todo), strict=True):
-            young[word.decode("utf-8", "surrogatepass")] = np.array(ids, "<u4").tobytes()
+            young[word.decode("utf-8", "surrogatepass")] = struct.pack(f"<{len(ids)}I", *ids)
 
     def split(self, text: str) -> list[list[str] | int]:
         """Word lists, and between them the ids of special tokens that the text spells out."""
