@@ -1,7 +1,7 @@
 """Document fingerprints as invertible Bloom lookup sketches, with DataFrame functions only.
 
-A text's paragraphs, cut at line breaks and sentence ends, become 64-bit digests (a paragraph that occurs again
-gets a digest of its own). The sketch has three tables of ``CELLS / 3`` cells; a digest falls into one cell
+A text's paragraphs, lines and runs of sentences, become 64-bit digests (a paragraph that occurs again gets a
+digest of its own). The sketch has three tables of ``CELLS / 3`` cells; a digest falls into one cell
 of each, where its count, its XOR and the XOR of its check value are kept. Two sketches subtract cell by
 cell; what both texts share cancels. A cell left with one digest gives it away, it is peeled from its other
 cells, and so on. If cells remain, the sketch was too small: the same is done with four sketches
@@ -24,14 +24,17 @@ _TABLE = CELLS // 3
 #: Attempts after the first, each with four times the sketches; all 64 bits of a digest are used up by then.
 ATTEMPTS = 32
 ROUNDS = 12
+#: Lines, and within them runs of sentences: they end where the next one begins with a letter from A to E, so where
+#: a paragraph ends depends on what is there alone.
+PARAGRAPH_END = r"\\n|(?<=[.!?]) +(?=[A-E])"
 
 # --- SQL of one row: "els" are digests, "cells" a sketch ---------------------------------------
 
 
-def _element(x: str) -> str:
+def _element(x: str, sign: int = 1) -> str:
     """A digest with its check value and, as bits of ``m``, its cell in each table."""
     places = " | ".join(f"shiftleft(1, cast({_TABLE * j} + pmod(shiftright({x}, {13 * j}), {_TABLE}) as int))" for j in range(3))
-    return f"named_struct('x', {x}, 'c', xxhash64({x}, 2L), 'm', {places})"
+    return f"named_struct('s', {sign}, 'x', {x}, 'c', xxhash64({x}, 2L), 'm', {places})"
 
 
 def _hits(m: str, i: str) -> str:
@@ -40,7 +43,7 @@ def _hits(m: str, i: str) -> str:
 
 def digests_sql(text: str) -> str:
     """Distinct 64-bit digests of the paragraphs of ``text``, ascending by paragraph."""
-    parts = f"filter(split({text}, '[.!?\\\\n]+'), p -> p <> '')"
+    parts = f"filter(split({text}, '{PARAGRAPH_END}'), p -> p <> '')"
     hashed = f"sort_array(transform({parts}, p -> xxhash64(p)))"
     # Equal digests lie together; the k-th of a run becomes the digest of (digest, k).
     starts = "filter(sequence(0, size(s) - 1), i -> i = 0 or s[i] <> s[i - 1])"
@@ -50,15 +53,25 @@ def digests_sql(text: str) -> str:
     return f"transform(array({hashed}), s -> if(size(s) = 0, cast(array() as array<bigint>), {some}))[0]"
 
 
-def sketch_sql(els: str) -> str:
+def _cells(els: str) -> str:
+    """A sketch of elements with the sign ``s``."""
     zero = "named_struct('n', 0, 'x', 0L, 'c', 0L)"
-    add = "named_struct('n', a.n + 1, 'x', a.x ^ e.x, 'c', a.c ^ e.c)"
+    add = "named_struct('n', a.n + e.s, 'x', a.x ^ e.x, 'c', a.c ^ e.c)"
     return (
-        f"transform(array(transform({els}, x -> {_element('x')})), es -> transform(sequence(0, {CELLS - 1}), "
+        f"transform(array({els}), es -> transform(sequence(0, {CELLS - 1}), "
         f"i -> aggregate(filter(es, e -> {_hits('e.m', 'i')}), {zero}, (a, e) -> {add})))[0]"
     )
 
 
+def sketch_sql(els: str) -> str:
+    return _cells(f"transform({els}, x -> {_element('x')})")
+
+
+def difference_sql(a: str, b: str) -> str:
+    """The sketch of ``a`` less that of ``b``, in one go: sketches are linear."""
+    return _cells(f"concat(transform({a}, x -> {_element('x')}), transform({b}, x -> {_element('x', -1)}))")
+
+
 def subtract_sql(a: str, b: str) -> str:
     return f"zip_with({a}, {b}, (p, q) -> named_struct('n', p.n - q.n, 'x', p.x ^ q.x, 'c', p.c ^ q.c))"
 
@@ -89,7 +102,7 @@ def differing_sql(a: str, b: str, cells_a: str, cells_b: str) -> str:
         "flatten(transform(t.open, o -> transform(sequence(0, 3), j -> "
         f"named_struct('a', filter(o.a, x -> {bits}), 'b', filter(o.b, x -> {bits})))))"
     )
-    tried = f"transform({split}, o -> named_struct('o', o, 'r', {peel_sql(subtract_sql(sketch_sql('o.a'), sketch_sql('o.b')))}))"
+    tried = f"transform({split}, o -> named_struct('o', o, 'r', {peel_sql(difference_sql('o.a', 'o.b'))}))"
     attempt = (
         f"transform(array({tried}), w -> named_struct('open', transform(filter(w, v -> not v.r.ok), v -> v.o), "
         "'found', concat(t.found, flatten(transform(filter(w, v -> v.r.ok), v -> v.r.found)))))[0]"
