@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import NamedTuple
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -88,7 +89,7 @@ class Kind:
 
 KINDS = (
     Kind("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "@", None, 0.9, 0.0, ("mail", "contact", "write"), True),
-    Kind("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", ".", is_address, 0.6, 0.0, ("ip", "address", "host", "server"), True),
+    Kind("ip", r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", ".", is_address, 0.6, 0.0, ("ip", "address", "host", "server"), True),
     Kind("card", r"[0-9](?:[\x20-]?[0-9])+", "", is_card, 0.3, 0.5, ("card", "visa", "credit", "payment", "paid"), True),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", is_phone, 0.7, 0.0, ("phone", "call", "tel", "mobile", "fax"), True),
     Kind(
@@ -101,9 +102,30 @@ KINDS = (
     ),
 )
 ORDER = {kind.name: n for n, kind in enumerate(KINDS)}
-_PATTERNS = [re.compile(kind.pattern) for kind in KINDS]
+_PATTERNS = {kind.name: re.compile(kind.pattern) for kind in KINDS}
 _DIGIT = re.compile(r"[0-9]")
-# Proposals for cards start and end at runs of digits long enough; shorter ones cannot be cards.
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+
+
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """The matches of the e-mail pattern, each found from its "@", so long runs of letters cost nothing."""
+    free, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > free and text[start - 1] in _LOCAL:
+            start -= 1
+        domain = _DOMAIN.match(text, at + 1) if start < at else None
+        if domain:
+            free = domain.end()
+            yield start, free
+        at = text.find("@", max(at + 1, free))
+
+
+def _proposals(kind: Kind, text: str) -> Iterator[tuple[int, int]]:
+    if kind.name == "email":
+        return _emails(text)
+    return (match.span() for match in _PATTERNS[kind.name].finditer(text))
 
 
 def score(kind: Kind, text: str, start: int, end: int) -> float:
@@ -119,15 +141,15 @@ def find(text: str, threshold: float = 0.5) -> list[Span]:
     its validator refuses is dropped without another try inside it."""
     found = []
     has_digit = _DIGIT.search(text) is not None
-    for kind, pattern in zip(KINDS, _PATTERNS, strict=True):
+    for kind in KINDS:
         if kind.needs and kind.needs not in text or kind.name != "email" and not has_digit:
             continue
-        for match in pattern.finditer(text):
-            if kind.valid and not kind.valid(match.group()):
+        for start, end in _proposals(kind, text):
+            if kind.valid and not kind.valid(text[start:end]):
                 continue
-            value = score(kind, text, match.start(), match.end())
+            value = score(kind, text, start, end)
             if kind.base or value >= threshold:
-                found.append(Span(kind.name, match.start(), match.end(), value))
+                found.append(Span(kind.name, start, end, value))
     found.sort(key=lambda s: (s.start, ORDER[s.kind]))
     return found
 
@@ -168,16 +190,11 @@ def masked(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced and ``n_chars``, where there is one, counted anew.
     All rows and columns stay; a NULL text stays NULL."""
 
-    def run(texts: Iterator) -> Iterator:
-        for series in texts:
-            yield series.map(lambda t: None if t is None else mask(t, found) if (found := find(t, threshold)) else t)
-
-    from typing import Iterator as Batches
-
-    import pandas as pd
+    @F.pandas_udf("string")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.map(lambda t: None if t is None else mask(t, find(t, threshold)))
 
-    run.__annotations__ = {"texts": Batches[pd.Series], "return": Batches[pd.Series]}
-    clean = F.pandas_udf(run, "string")
     out = docs.withColumn("text", clean("text"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -19,6 +19,7 @@ from itertools import repeat
 from operator import and_, contains, eq
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -255,20 +256,16 @@ def good_documents(docs: DataFrame, classifier: QualityClassifier | None = None)
     label_model, scorer = classifier.fit(docs)
     threshold = classifier.threshold
 
-    import pandas as pd
-
-    def run(batches):
-        for series in batches:
-            yield series.map(keeps)
-
-    def keeps(text) -> bool:
-        raw = bytes(text)
+    def keeps(raw: bytes) -> bool:
         if not raw.strip():
             return False
         m = measures(raw)
         weak = float(label_model.posterior(votes(m)[None, :])[0])
         return (weak + 1 / (1 + np.exp(-np.clip(scorer.logit(raw, m), -30, 30)))) / 2 >= threshold
 
-    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    keep = F.pandas_udf(run, "boolean")
+    @F.pandas_udf("boolean")
+    def keep(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.map(keeps)
+
     return docs.where(keep(text_of().cast("binary")))
