@@ -212,18 +212,24 @@ class Bucket:
     def __init__(self, table: pa.Table, bucket: int, split: dict[int, int]):
         rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
         get = lambda r, c, t: np.frombuffer(r[c], t)
-        self.bucket, self.rows = bucket, rows
+        small = lambda parts: np.concatenate([p.astype(np.int32) for p in parts])
+        self.bucket, self.rows = bucket, [{c: r[c] for c in ("chunk", "ids", "held")} for r in rows]
+        self.docs = np.concatenate(([0], np.cumsum([len(r["held"]) for r in rows])))
+        self.doc = small([get(r, "doc", "<u2").astype(np.int32) + np.int32(s) for r, s in zip(rows, self.docs, strict=False)])
+        self.n = small([_wide(r["n"], len(r["doc"]) // 2) for r in rows])
         self.words, word_at = np.unique(np.concatenate([get(r, "words", "<u8") for r in rows]), return_inverse=True)
         self.contexts, context_at = np.unique(np.concatenate([get(r, "contexts", "<u8") for r in rows]), return_inverse=True)
-        word = np.repeat(word_at, np.concatenate([_wide(r["runs"], len(r["words"]) // 8) for r in rows]))
-        shift = np.concatenate(([0], np.cumsum([len(r["contexts"]) // 8 for r in rows])))
-        context = np.concatenate([context_at[_wide(r["context"], len(r["doc"]) // 2) + s] for r, s in zip(rows, shift, strict=False)])
-        self.docs = np.concatenate(([0], np.cumsum([len(r["held"]) for r in rows])))
-        self.doc = np.concatenate([get(r, "doc", "<u2").astype(np.int64) + s for r, s in zip(rows, self.docs, strict=False)])
-        self.n = np.concatenate([_wide(r["n"], len(r["doc"]) // 2) for r in rows])
+        key = np.repeat(word_at, np.concatenate([_wide(r["runs"], len(r["words"]) // 8) for r in rows])) << 32
+        at = shift = 0
+        for r in rows:  # in place: these are the largest arrays
+            found = context_at[_wide(r["context"], len(r["doc"]) // 2) + shift]
+            key[at : at + len(found)] |= found
+            at, shift = at + len(found), shift + len(r["contexts"]) // 8
         held = np.concatenate([get(r, "held", np.uint8) for r in rows]).astype(bool)
-        key = (word.astype(np.int64) << 32) | context
-        pairs, self.pair = np.unique(key, return_inverse=True)
+        del rows, word_at, context_at
+        pairs, pair = np.unique(key, return_inverse=True)
+        self.pair = pair.astype(np.int32)
+        del key, pair
         self.word, self.context = pairs >> 32, pairs & 0xFFFFFFFF
         train = np.where(held[self.doc], 0, self.n)
         self.customers = np.bincount(self.pair, train, len(pairs)).astype(np.int64)
