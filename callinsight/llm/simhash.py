@@ -21,7 +21,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callinsight.llm.common import external_id, internal_id, text_of, written
@@ -34,18 +34,23 @@ FRONTIER = 1 << 20
 # --- Fingerprints -----------------------------------------------------------------------------
 
 
-def fingerprint(text: bytes, words_per_shingle: int = 4) -> int:
-    """Majority bits of the XXH64 (seed 42) of all shingles; 0 for a text without words."""
+def shingle_hashes(text: bytes, words_per_shingle: int) -> np.ndarray:
+    """The XXH64 (seed 42) of every shingle; a text of fewer words is one shingle, without words it has none."""
     words = text.lower().split()  # on bytes: A-Z and ASCII white space only
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     k = min(words_per_shingle, len(words))
     spans = zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)
     xxh = xxhash.xxh64_intdigest
-    hashes = np.fromiter((xxh(line[a:b], 42) for a, b in spans), np.uint64, len(words) - k + 1)
+    return np.fromiter((xxh(line[a:b], 42) for a, b in spans), np.uint64, len(words) - k + 1)
+
+
+def fingerprint(text: bytes, words_per_shingle: int = 4) -> int:
+    """Majority bits of the hashes of all shingles; 0 for a text without words."""
+    hashes = shingle_hashes(text, words_per_shingle)
     counts = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 1 << 16):  # long texts in slices
         part = hashes[at : at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8)
@@ -54,17 +59,22 @@ def fingerprint(text: bytes, words_per_shingle: int = 4) -> int:
     return int.from_bytes(bits.tobytes(), "big")
 
 
+def text_digest() -> Column:
+    """Tells rows of one id apart."""
+    return F.unhex(F.md5(text_of()))
+
+
 def fingerprints(docs: DataFrame, words_per_shingle: int = 4) -> DataFrame:
-    """(id, fp): fp holds the 64 bits as a signed long. Whole texts are read."""
+    """(id, digest, fp): fp holds the 64 bits as a signed long. Whole texts are read."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = (fingerprint(t.as_py(), words_per_shingle) for t in batch.column("text"))
             fp = np.fromiter(found, np.uint64, batch.num_rows).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fp)], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("digest"), pa.array(fp)], ["id", "digest", "fp"])
 
-    narrow = docs.select(internal_id().alias("id"), text_of().cast("binary").alias("text"))
-    return narrow.mapInArrow(score, "id long, fp long")
+    narrow = docs.select(internal_id().alias("id"), text_digest().alias("digest"), text_of().cast("binary").alias("text"))
+    return narrow.mapInArrow(score, "id long, digest binary, fp long")
 
 
 # --- The trie joined with itself --------------------------------------------------------------
@@ -268,39 +278,57 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return current.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
+def placed(nodes: DataFrame, hung: DataFrame) -> DataFrame:
+    """``nodes`` (fp, ...) with the component of each, itself where no link ends."""
+    found = nodes.join(hung.withColumnRenamed("node", "fp"), "fp", "left")
+    return found.withColumn("component", F.coalesce("component", "fp"))
+
+
 def near_duplicates(docs: DataFrame, budget: int = 4, words_per_shingle: int = 4) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per row of ``docs`` (doc_id, text).
 
-    Equal fingerprints link, and so do texts without words (fingerprint zero). ``component_id`` is the
-    smallest doc_id reachable; NULL only where no row of the component has an id.
+    Equal fingerprints link, and so do texts without words (fingerprint zero). Fingerprints are the nodes, so ids
+    that are NULL or repeat link nothing. ``component_id`` is the smallest doc_id reachable; NULL only where no row
+    of the component has an id.
     """
     found = written(fingerprints(docs, words_per_shingle), "fingerprints")
-    nodes = written(found.groupBy("fp").agg(F.min("id").alias("node")), "nodes")
-    pairs = links(nodes, budget)
-    ends = pairs.join(nodes.select(F.col("fp").alias("a"), F.col("node").alias("na")), "a")
-    ends = ends.join(nodes.select(F.col("fp").alias("b"), F.col("node").alias("nb")), "b")
-    hung = components(ends.select(F.col("na").alias("a"), F.col("nb").alias("b")))
-    settled = nodes.join(hung, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
+    nodes = written(found.groupBy("fp").agg(F.min("id").alias("first")), "nodes")
+    settled = written(placed(nodes, components(links(nodes, budget))), "placed")
+    labels = settled.groupBy("component").agg(F.min("first").alias("label"))
+    settled = settled.select("fp", "component").join(labels, "component").select("fp", "label")
     return found.join(settled, "fp").select(
         external_id("id").alias("doc_id"),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        external_id("component").alias("component_id"),
+        external_id("label").alias("component_id"),
     )
 
 
-def keep_one(docs: DataFrame, **parameters) -> DataFrame:
-    """The rows of ``docs`` with one document of each component left: the one with the smallest doc_id,
-    of rows that repeat an id the first by text. Only ids with something to drop are joined."""
-    decided = near_duplicates(docs, **parameters).select(
-        internal_id().alias("_id"), (F.coalesce("doc_id", F.lit(-1)) == F.coalesce("component_id", F.lit(-1))).alias("stays")
-    )
-    per_id = decided.groupBy("_id").agg(F.min("stays").alias("all"), F.max("stays").alias("any"), F.count("*").alias("rows"))
-    touched = written(per_id.where("not all or rows > 1").select("_id", "any"), "touched")
-    tagged = docs.withColumn("_id", internal_id())
-    untouched = tagged.join(touched.select("_id"), "_id", "left_anti").select(docs.columns)
-    repeated = touched.where("any").select("_id")
+def keep_one(docs: DataFrame, budget: int = 4, words_per_shingle: int = 4) -> DataFrame:
+    """The rows of ``docs`` with one row of each component left, see ``one_of_each``."""
+    found = written(fingerprints(docs, words_per_shingle), "fingerprints")
+    return one_of_each(docs, found, components(links(found.select("fp").distinct(), budget)))
+
+
+def one_of_each(docs: DataFrame, found: DataFrame, hung: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with one row of each component left: the one with the smallest doc_id, of rows that
+    repeat an id the first by the digest of the text.
+
+    ``found`` (id, digest, fp) has a row for each row of ``docs``, ``hung`` (node, component) the components of fp.
+    Rows are told apart by id and digest, so ids that are NULL or repeat are settled row by row. Only
+    rows with something to drop are joined.
+    """
+    row = F.struct("id", "digest")
+    nodes = found.groupBy("fp").agg(F.min(row).alias("first"), F.count("*").alias("rows"))
+    settled = written(placed(nodes, hung), "placed")
+    groups = settled.groupBy("component").agg(F.min("first").alias("first"), F.sum("rows").alias("rows")).where("rows > 1")
+    crowd = settled.select("fp", "component").join(groups, "component").select("fp", "first")
+    decided = found.join(crowd, "fp").select("id", "digest", (row == F.col("first")).alias("stays"))
+    per_row = decided.groupBy("id", "digest").agg(F.max("stays").alias("stays"), F.count("*").alias("rows"))
+    touched = written(per_row.where("not stays or rows > 1").select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), "stays"), "touched")
+    tagged = docs.withColumns({"_id": internal_id(), "_digest": text_digest()})
+    untouched = tagged.join(touched.drop("stays"), ["_id", "_digest"], "left_anti").select(docs.columns)
+    repeated = touched.where("stays").drop("stays")
     if not repeated.head(1):
         return untouched
-    first = Window.partitionBy("_id").orderBy(text_of())
-    rows = tagged.join(repeated, "_id").withColumn("_n", F.row_number().over(first)).where("_n = 1")
+    rows = tagged.join(repeated, ["_id", "_digest"]).dropDuplicates(["_id", "_digest"])
     return untouched.unionByName(rows.select(docs.columns))

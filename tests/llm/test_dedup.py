@@ -126,6 +126,20 @@ def test_near_duplicates_of_awkward_rows(spark):
     assert [r.doc_id for r in simhash.keep_one(awkward(spark)).collect()].count(7) == 1
 
 
+def test_rows_without_an_id_or_with_one_id_link_nothing(spark):
+    far = [" ".join(f"{w}{i}" for i in range(30)) for w in ("oak", "elm", "ash", "fir")]
+    rows = [(None, far[0]), (None, far[1]), (7, far[2]), (7, far[3]), (3, far[3]), (None, far[3]), (None, far[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.fingerprint): r.component_id for r in simhash.near_duplicates(docs).collect()}
+    prints = [f"{plain_fingerprint(t):016x}" for t in far]
+    want = {(None, prints[0]): None, (None, prints[1]): None, (7, prints[2]): 7, (7, prints[3]): 3, (3, prints[3]): 3, (None, prints[3]): 3}
+    assert got == want
+    kept = sorted(((r.doc_id, r.text) for r in simhash.keep_one(docs).collect()), key=str)
+    assert kept == sorted([(None, far[0]), (None, far[1]), (7, far[2]), (3, far[3])], key=str)
+    left = [(r.doc_id, r.text) for r in simhash.keep_one(awkward(spark)).collect()]
+    assert (None, "only") in left and (None, "a b c") not in left
+
+
 def link_components(values, lead, budget):
     found = simhash.join_trie(values, lead, budget)
     n = len(values)
