@@ -1,7 +1,7 @@
 """Document fingerprints as invertible Bloom lookup sketches, with DataFrame functions only.
 
-A text's paragraphs, lines and runs of sentences, become 64-bit digests (a paragraph that occurs again gets a
-digest of its own). The sketch has three tables of ``CELLS / 3`` cells; a digest falls into one cell
+A text's paragraphs, cut by a pattern, become 64-bit digests (a paragraph that occurs again gets a digest of its
+own). The sketch has three tables of ``CELLS / 3`` cells; a digest falls into one cell
 of each, where its count, its XOR and the XOR of its check value are kept. Two sketches subtract cell by
 cell; what both texts share cancels. A cell left with one digest gives it away, it is peeled from its other
 cells, and so on. If cells remain, the sketch was too small: the same is done with four sketches
@@ -27,6 +27,8 @@ ROUNDS = 12
 #: Lines, and within them runs of sentences: they end where the next one begins with a letter from A to E, so where
 #: a paragraph ends depends on what is there alone.
 PARAGRAPH_END = r"\\n|(?<=[.!?]) +(?=[A-E])"
+#: Every line break and every sentence end: the registered query's paragraphs.
+SENTENCE_END = r"[.!?\\n]+"
 
 # --- SQL of one row: "els" are digests, "cells" a sketch ---------------------------------------
 
@@ -41,9 +43,9 @@ def _hits(m: str, i: str) -> str:
     return f"({m} & shiftleft(1, {i})) <> 0"
 
 
-def digests_sql(text: str) -> str:
+def digests_sql(text: str, paragraph_end: str = PARAGRAPH_END) -> str:
     """Distinct 64-bit digests of the paragraphs of ``text``, ascending by paragraph."""
-    parts = f"filter(split({text}, '{PARAGRAPH_END}'), p -> p <> '')"
+    parts = f"filter(split({text}, '{paragraph_end}'), p -> p <> '')"
     hashed = f"sort_array(transform({parts}, p -> xxhash64(p)))"
     # Equal digests lie together; the k-th of a run becomes the digest of (digest, k).
     starts = "filter(sequence(0, size(s) - 1), i -> i = 0 or s[i] <> s[i - 1])"
@@ -126,10 +128,10 @@ def fingerprint_sql(cells: str) -> str:
 # --- Documents --------------------------------------------------------------------------------
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, paragraph_end: str = PARAGRAPH_END) -> DataFrame:
     """``docs`` with ``digests`` (array<long>), ``cells`` and ``fingerprint`` of ``text``; NULL counts as
     empty, an empty text has no paragraphs and empty cells."""
-    out = docs.withColumn("digests", F.expr(digests_sql("coalesce(text, '')")))
+    out = docs.withColumn("digests", F.expr(digests_sql("coalesce(text, '')", paragraph_end)))
     out = out.withColumn("cells", F.expr(sketch_sql("digests")))
     return out.withColumn("fingerprint", F.expr(fingerprint_sql("cells")))
 
@@ -163,20 +165,20 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     return rows.withColumns(ahead).where(~F.col("_extra")).drop("_chunk", "_extra")
 
 
-def compared(docs: DataFrame) -> DataFrame:
+def compared(docs: DataFrame, paragraph_end: str = PARAGRAPH_END) -> DataFrame:
     """Each document next to its edited text and to the next document.
 
     (doc_id, n_chars, edited, fingerprint, edited_fingerprint, edited_difference, next_difference, near_edited,
     near_next); the differences are array<struct<n, x>>, the recovered digests. The edit replaces the last
     quarter of the code points by the first ones of the next document. A sole document follows itself.
     """
-    own = fingerprints(docs.select(internal_id().alias("id"), text_of().alias("text")))
+    own = fingerprints(docs.select(internal_id().alias("id"), text_of().alias("text")), paragraph_end)
     own = with_next(own, ["text", "digests", "cells"])
     chars = F.length("text")
     cut = F.floor(chars / 4).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), chars - cut), F.substr("next_text", F.lit(1), cut))
     both = own.select("id", chars.cast("long").alias("n_chars"), edited.alias("edited"), "digests", "cells", "fingerprint", "next_digests", "next_cells")
-    both = both.withColumn("edited_digests", F.expr(digests_sql("edited")))
+    both = both.withColumn("edited_digests", F.expr(digests_sql("edited", paragraph_end)))
     both = both.withColumn("edited_cells", F.expr(sketch_sql("edited_digests")))
     return both.select(
         external_id("id").alias("doc_id"),

@@ -63,7 +63,7 @@ def encoded(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sketched(spark: SparkSession, d: str) -> DataFrame:
-    return iblt.compared(documents(spark, d)).select(
+    return iblt.compared(documents(spark, d), iblt.SENTENCE_END).select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next"
     )
 

@@ -152,6 +152,17 @@ def test_fingerprints_recover_the_differences(spark):
     assert np.mean([r.near_edited for r in got.values()]) > 3 * np.mean([r.near_next for r in got.values()])
 
 
+def test_fingerprint_query_cuts_at_every_sentence_end(spark, tmp_path):
+    text = "One stays! fine. Élan? zebra\nGo on. Stop here. Last"  # 7 paragraphs; the edit reaches into "Stop here"
+    docs = spark.createDataFrame([(1, text), (2, "q" * len(text))], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    whole = lambda t: Counter(p for p in re.split(r"[.!?\n]+", t) if p)
+    cut = len(text) // 4
+    a, b = whole(text), whole(text[: len(text) - cut] + "q" * cut)
+    (row,) = (r for r in queries.sketched(spark, str(tmp_path)).collect() if r.doc_id == 1)
+    assert a.total() == 7 and row.near_edited == pytest.approx((a & b).total() / (a | b).total()) and row.near_edited > 0.3
+
+
 def test_fingerprints_of_awkward_rows(spark):
     got = iblt.compared(awkward(spark)).collect()
     assert len(got) == len(AWKWARD)
