@@ -2,6 +2,7 @@
 
 from collections import defaultdict
 
+import corpus_pipeline
 import numpy as np
 import pytest
 import xxhash
@@ -9,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from callinsight.llm import exact_dedup, simhash
+from callinsight.llm import exact_dedup, simhash, similar
 
 SF = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, id string, row int, component string, stay int"
@@ -188,3 +189,52 @@ def test_long_chain_of_links(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501)], "a long, b long")
     got = {r.node: r.component for r in simhash.components(edges).collect()}
     assert got == {i: 0 for i in range(1, 201)} | {501: 500}
+
+
+# --- Similar shingle sets -----------------------------------------------------------------------
+
+
+def plain_set(text, k=5):
+    words = text.encode().lower().split()
+    return {b" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+def plain_similar(texts):
+    """Pairs (i, j) of Jaccard >= 0.8, by counting every shared shingle; texts without words are alike."""
+    sets, holders, shared = [plain_set(t) for t in texts], defaultdict(list), defaultdict(int)
+    for i, s in enumerate(sets):
+        for x in s or {None}:
+            for j in holders[x]:
+                shared[i, j] += 1
+            holders[x].append(i)
+    size = [max(1, len(s)) for s in sets]
+    return {(i, j) for (i, j), n in shared.items() if 5 * n >= 4 * (size[i] + size[j] - n)}
+
+
+def test_similar_texts_match_all_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    word = lambda: f"w{rng.integers(5000)}"
+    base, passage = [word() for _ in range(120)], [word() for _ in range(30)]
+    rows = [(i, " ".join([word() for _ in range(int(rng.integers(3, 40)))] + passage)) for i in range(100, 140)]
+    for i in range(200, 260):  # near copies of one text, most of them far from each other
+        copy = list(base)
+        for at in rng.integers(0, 120, int(rng.integers(1, 6))):
+            copy[at] = word()
+        rows.append((i if i % 3 else None, " ".join(copy)))
+    chain = [word() for _ in range(100)]
+    for i in range(300, 312):  # each near the one before
+        chain = chain[9:] + [word() for _ in range(9)]
+        rows.append((i, " ".join(chain)))
+    rows += [(1, None), (2, ""), (3, " "), (4, "Two words"), (5, "two  WORDS"), (None, "four words are here"), (6, " ".join(base))]
+    table = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id >= 400").selectExpr("doc_id + 1000", "text").collect()
+    rows += [(i, t) for i, t in map(tuple, table)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    rows.sort(key=lambda r: (r[0] is None, r[0]))
+    pairs = plain_similar([t or "" for _, t in rows])
+    want = brute_components(list(range(len(rows))), lambda i, j: (i, j) in pairs)
+    sizes = {c: want.count(c) for c in want}
+    for seen in (20_000, 50):  # the frequencies known must not change what is found
+        monkeypatch.setattr(similar, "SEEN", seen)
+        kept = sorted((str(r.doc_id) for r in corpus_pipeline.near_copies(spark, docs, SF).collect()))
+        assert kept == sorted(str(rows[c][0]) for c in sizes)
+    assert max(sizes.values()) > 20
