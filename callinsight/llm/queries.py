@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callinsight.llm import bpe, chat, exact_dedup, hpylm, iblt, packing, pii, quality, simhash, token_counts
+from callinsight.llm import bpe, chat, exact_dedup, hpylm, iblt, packing, pii, quality, runs, simhash, token_counts, wavelet, whitening
 from callinsight.llm.common import documents, external_id
 
 
@@ -82,6 +82,19 @@ def formatted(spark: SparkSession, d: str) -> DataFrame:
     return chat.round_trip(chat.ChatWindows().format(turns.unionByName(probe)))
 
 
+def shards_read(spark: SparkSession, d: str) -> DataFrame:
+    shards = wavelet.WaveletShards()
+    return shards.read(shards.write(documents(spark, d))).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def repeated_runs(spark: SparkSession, d: str) -> DataFrame:
+    return runs.summary(runs.RepeatedRuns(plant=True).find(documents(spark, d)))
+
+
+def whitened(spark: SparkSession, d: str) -> DataFrame:
+    return whitening.Whitening().fit_transform(spark.read.parquet(f"{d}/embeddings.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": exact,
@@ -94,6 +107,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_fingerprints": sketched,
         "op9_packing": packed,
         "op10_chat": formatted,
+        "op11_wavelet_shards": shards_read,
+        "op12_periodic_runs": repeated_runs,
+        "op13_whitening": whitened,
     }
 
 
