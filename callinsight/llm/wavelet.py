@@ -22,10 +22,12 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import string
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -33,12 +35,14 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from callinsight.llm import bpe
 from callinsight.llm.common import external_id, internal_id, per_worker, shared_folder, text_of, written
 from callinsight.llm.words import slices, word_numbers
 
@@ -48,7 +52,7 @@ MAGIC = b"WVMX0001"
 #: Bits of a block.
 BLOCK = 1 << 16
 #: Bytes of text tokenized at once in a worker.
-CHUNK = 4_000_000
+CHUNK = 6_000_000
 
 
 # --- One shard --------------------------------------------------------------------------------
@@ -192,12 +196,19 @@ class Shard:
 # --- Tokens -----------------------------------------------------------------------------------
 
 
+#: Letters whose only form is one character, in either case; the library makes one pre-token of a word of these.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+_PUNCTUATION = "!-/:-@\\[-`{-~"
+
+
 class Tokenizer:
     """Ids by the tokenizers library, worked out once for each distinct word of a batch.
 
     The vocabulary drops white space and no pre-token of it contains any, so a text's ids are those of its
-    words. Punctuation that ends a word is a pre-token of its own. A word of ASCII letters alone is one
-    pre-token and goes to the library's model directly; any other goes through the whole library.
+    words. Punctuation that ends a word of letters is a pre-token of its own. What is left of a word, if Latin letters
+    alone, is one pre-token and goes to the library's model directly, in lower case and in the format's byte
+    alphabet; anything else goes through the whole library. Both are remembered for later batches, in two generations
+    of bounded size.
     """
 
     def __init__(self, path: str, remember: int = 300_000):
@@ -209,57 +220,74 @@ class Tokenizer:
         self.library.no_padding()
         self.model = self.library.model
         self.remember = remember
-        self.young: dict[str, list[int]] = {}
-        self.old: dict[str, list[int]] = {}
-        self.tails: dict[str, list[int]] = {}
-
-    def _whole(self, text: str) -> list[int]:
-        return self.library.encode(text, add_special_tokens=False).ids
-
-    def _stem(self, stem: str) -> list[int]:
-        got = self.young.get(stem)
-        if got is None:
-            got = self.old.get(stem)
+        self.letters = {byte: ord(shown) for shown, byte in bpe._byte_alphabet().items()}
+        self.plain = re.compile(f"[{LETTERS}]+").fullmatch
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _ids(self, part: str) -> bytes:
+        if self.plain(part):
+            low = part.lower()
+            shown = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
+            ids = [t.id for t in self.model.tokenize(shown)]
+        else:
+            ids = self.library.encode(part, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
+
+    def encoded(self, parts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each of the distinct ``parts`` of words."""
+        if len(self.young) > self.remember:
+            self.old, self.young = self.young, {}
+        young, old, out = self.young, self.old, []
+        for part in parts:
+            got = young.get(part)
             if got is None:
-                simple = stem.isascii() and stem.isalpha()
-                got = [t.id for t in self.model.tokenize(stem.lower())] if simple else self._whole(stem)
-            if len(self.young) >= self.remember:
-                self.old, self.young = self.young, {}
-            self.young[stem] = got
-        return got
-
-    def word(self, word: str) -> list[int]:
-        stem = word.rstrip(string.punctuation)
-        last = stem[-1:]
-        # Letters whose place in Unicode is old and whose lower case is one letter; special tokens stay whole.
-        if stem == word or not last.isalpha() or last >= "\u0250" or last == "\u0130" or "<|" in word:
-            return self._stem(word)
-        tail = word[len(stem) :]
-        if tail not in self.tails:
-            if len(self.tails) >= self.remember:
-                self.tails = {}
-            self.tails[tail] = self._whole(tail)
-        return self._stem(stem) + self.tails[tail]
+                got = old.get(part)
+                if got is None:
+                    got = self._ids(part)
+                young[part] = got
+            out.append(got)
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, with the end id after each; how many each has)."""
         numbers, counts, words = word_numbers(texts)
-        encoded = [self.word(w) for w in words.to_pylist()]
-        lengths = np.fromiter((len(e) for e in encoded), np.int64, len(encoded))
-        flat = np.fromiter((i for e in encoded for i in e), np.uint32, int(lengths.sum()))
-        # A word more, the end id, follows the words of each text.
-        lengths, flat = np.append(lengths, 1), np.append(flat, np.uint32(END))
-        ends = np.cumsum(counts + 1) - 1
-        every = np.full(len(numbers) + len(counts), len(words), np.int64)
+        # Words apart from the punctuation that ends them. Special tokens stay whole.
+        ends_plain = pc.match_substring_regex(words, f"^[^<]*[{LETTERS}][{_PUNCTUATION}]+$")
+        stems = pc.if_else(ends_plain, pc.utf8_rtrim(words, string.punctuation), words)
+        tails = pc.if_else(ends_plain, pc.replace_substring_regex(words, f"^.*[^{_PUNCTUATION}]", ""), "")
+        stems = pc.if_else(pc.match_substring_regex(stems, f"^[{LETTERS}]+$"), pc.utf8_lower(stems), stems)
+        coded = pa.concat_arrays([stems, tails.cast(stems.type)]).dictionary_encode()
+        encoded = self.encoded(coded.dictionary.to_pylist())
+        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+        flat = np.frombuffer(b"".join(encoded), "<u4")
+        starts = np.cumsum(lengths) - lengths
+        stem, tail = np.split(coded.indices.to_numpy(), 2)
+
+        # Ids of each distinct word, its stem's and its tail's, and after the last word the end id.
+        per_word = lengths[stem] + lengths[tail]
+        ends = np.append(np.cumsum(per_word), int(per_word.sum()) + 1)
+        begins = ends - np.append(per_word, 1)
+        of_words = np.empty(int(ends[-1]), np.uint32)
+        of_words[-1] = END
+        for part, at in ((stem, begins[:-1]), (tail, begins[:-1] + lengths[stem])):
+            of_words[_ranges(at, lengths[part])] = flat[_ranges(starts[part], lengths[part])]
+
+        every = np.full(len(numbers) + len(counts), len(words), np.int32)
         inner = np.ones(len(every), bool)
-        inner[ends] = False
+        inner[np.cumsum(counts + 1) - 1] = False
         every[inner] = numbers
-        sizes = lengths[every]
+        sizes = (ends - begins)[every]
         after = np.cumsum(sizes)
-        from_word = np.cumsum(lengths) - lengths
-        ids = flat[np.repeat(from_word[every] - (after - sizes), sizes) + np.arange(after[-1] if len(after) else 0)]
-        per_text = np.diff(np.concatenate(([0], after[ends])))
-        return ids.astype(np.uint32), per_text
+        per_text = np.diff(np.concatenate(([0], after[~inner])))
+        return of_words[_ranges(begins[every], sizes)], per_text
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers ``start .. start + size - 1`` of each pair, end to end."""
+    after = np.cumsum(sizes)
+    total = int(after[-1]) if len(after) else 0
+    return np.repeat(starts - (after - sizes), sizes) + np.arange(total)
 
 
 # --- Shards of a table ------------------------------------------------------------------------
