@@ -7,12 +7,14 @@ SQL for DuckDB, written independently of the Spark expressions.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callinsight import schemas as S
+from callinsight.functions import sampling as R
 from callinsight.functions import scalars as X
 from callinsight.operators import (
     answers,
@@ -24,13 +26,17 @@ from callinsight.operators import (
     outcomes,
     pii,
     quality,
+    reconcile,
     relations,
+    spans,
     synthesis,
     timeline,
     turns,
     updates,
 )
+from callinsight.plans import rollup
 from callinsight.sources import star
+from callinsight.sources.store import CallStore
 
 try:  # the training-data operators may be absent; everything else works without them
     import corpus_pipeline
@@ -40,6 +46,8 @@ except ImportError:
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
+BOX = ["minimum", "lower_fence", "q1", "median", "q3", "upper_fence", "maximum"]
+
 # Controls of the filtered dashboard: conditions on values, not on ids.
 CONTROLS = {
     "Client Tone": ["Positive", "Neutral"],
@@ -77,9 +85,79 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _highlighted(spark: SparkSession, d: str) -> DataFrame:
-    found = pii.detect(_documents(spark, d), ["EMAIL", "PHONE"])
-    return found.select("text_file", pii.highlighted_text(found).alias("html"))
+def _spread_over_calls(spark: SparkSession, d: str) -> DataFrame:
+    """Spans of the transcripts that name their speakers; the names come as rows."""
+    texts = star.named_transcripts(spark, d).select("text_file", "text")
+    return pii.detect_with_names(texts, star.speaker_names(spark, d), "text_file")
+
+
+def _inputs(spark: SparkSession, d: str) -> DataFrame:
+    t = star.deliveries(spark, d)
+    return reconcile.accounted(t["calls"], t["texts"], t["recordings"])
+
+
+def _text_errors(spark: SparkSession, d: str) -> DataFrame:
+    t = star.deliveries(spark, d)
+    return reconcile.errors_of_texts(reconcile.text_outcomes(t["texts"], reconcile.by_recording(t["calls"], t["texts"])))
+
+
+#: A block of questions of its own, asked three times; one of its columns is none of the call table's.
+CUSTOM_BLOCK = answers.Block(
+    ["topic", "refund", "empathy"],
+    ["What is it about?", "Was a refund promised?", "How much empathy, from 1 to 5?"],
+    ["first", "second", "third"],
+    "Text: {text}\nAsked: {questions}",
+)
+
+
+def _custom_answers(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("o_orderkey")
+
+    def reply(n: int):
+        items = [R.pick(f"topic{n}", k, S.TOPICS[:3]), R.pick(f"refund{n}", k, ["Yes", "No"]), R.score(f"empathy{n}", k).cast("string")]
+        lines = [F.concat(F.lit(f"{i}. "), item) for i, item in enumerate(items, start=1)]
+        return F.when(R.below(f"short{n}", k, 4) == 0, F.concat_ws("\n", *lines[:2])).otherwise(F.concat_ws("\n", *lines))
+
+    texts = star.table(spark, d, "orders").select(
+        F.concat(k.cast("string"), F.lit(".anon.txt")).alias("text_file"), *[reply(n).alias(c) for n, c in enumerate(CUSTOM_BLOCK.answers)]
+    )
+    return answers.parse_blocks(texts, [CUSTOM_BLOCK])
+
+
+def _custom_prompts(spark: SparkSession, d: str) -> DataFrame:
+    asked = answers.prompts(_documents(spark, d), blocks=[CUSTOM_BLOCK])
+    return asked.select("text_file", F.md5("prompt_1").alias("prompt_1"))
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    """A new folder that the executors share: below the checkpoint folder, else the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/tables-{uuid.uuid4().hex}"
+
+
+def _update_days(spark: SparkSession, d: str) -> DataFrame:
+    """Updates of some calls of some months, applied to tables stored by month: per day its calls, those updated, and
+    whether it was written anew."""
+    store = CallStore(spark, _shared_folder(spark), period="month")
+    store.insert_calls(star.new_calls(spark, d))
+    (first,) = store.manifest.read().tables["call"]
+    chosen = (F.month("date") % 5 == 0) & (R.below("touch", F.col("call_id"), 2) == 0)
+    store.update_calls("Analyzed", "call_id", "call_id", star.new_calls(spark, d).filter(chosen).select("call_id", F.lit("changed").alias("topic")))
+    rewritten = F.col("snapshot") != first.partition("=")[2]
+    return store.calls_with_snapshot().groupBy("date").agg(
+        F.count("*").alias("calls"),
+        F.count_if((F.col("status") == "Analyzed") & (F.col("topic") == "changed")).alias("updated"),
+        F.bool_or(rewritten).alias("rewritten"),
+    )
+
+
+def _minutes(spark: SparkSession, d: str, mode: str) -> DataFrame:
+    box = quality.value_distribution(star.call_minutes(spark, d), mode, value_column="minutes")
+    return box.withColumns({c: F.round(c, 9) for c in BOX})
+
+
+def _rollup(spark: SparkSession, d: str) -> DataFrame:
+    return rollup.rollup(_frame(spark, d))
 
 
 def _transcript_view(spark: SparkSession, d: str) -> DataFrame:
@@ -154,6 +232,14 @@ def call_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "communication_box_by_agent": _on_frame(lambda f: quality.score_distribution(f, "comparison")),
         "communication_box_overall": _on_frame(lambda f: quality.score_distribution(f, "average")),
         "kpis": _on_frame(lambda f: _rounded(indicators.kpis(f), "value", "delta_relative")),
+        "kpis_rollup": lambda spark, d: _rounded(
+            rollup.kpis(_rollup(spark, d)).filter("kpi <> 'Number of Callers'"), "value", "delta_relative"
+        ),
+        "rollup_calls_over_time": lambda spark, d: rollup.calls_over_time(_rollup(spark, d)),
+        "rollup_upsales": lambda spark, d: rollup.upsales(_rollup(spark, d)),
+        "rollup_quality": lambda spark, d: _rounded(rollup.quality(_rollup(spark, d)), "value"),
+        "duration_box": lambda spark, d: _minutes(spark, d, "average"),
+        "duration_box_by_agent": lambda spark, d: _minutes(spark, d, "comparison"),
         "agent_list": _on_frame(outcomes.group_list),
         "calls_over_time": _on_frame(timeline.calls_over_time),
         "upsales_vs_concerns_by_month": _on_frame(
@@ -188,6 +274,11 @@ def call_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "poll_answers": lambda spark, d: answers.consolidate_polls(star.poll_answers(spark, d)),
         "question_prompts": _prompts,
+        "custom_block_answers": _custom_answers,
+        "custom_block_prompts": _custom_prompts,
+        "inputs_accounted": _inputs,
+        "input_errors": _text_errors,
+        "update_calls_days": _update_days,
         "update_calls_chain": _update_chain,
         "update_calls_ordered": _ordered_updates,
         "integrity_report": lambda spark, d: integrity.integrity_report(star.defective(spark, d)),
@@ -208,7 +299,10 @@ def call_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "pii_report": lambda spark, d: pii.pii_report(_documents(spark, d)),
         "pii_findings": lambda spark, d: pii.pii_report(_documents(spark, d), full=True),
-        "pii_highlighted": _highlighted,
+        "pii_highlighted": lambda spark, d: pii.highlighted(pii.detect(_documents(spark, d), ["EMAIL", "PHONE"])),
+        "pii_spans_calls": lambda spark, d: spans.as_rows(_spread_over_calls(spark, d)),
+        "pii_report_calls": lambda spark, d: spans.report(_spread_over_calls(spark, d)),
+        "pii_highlighted_calls": lambda spark, d: pii.highlighted(_spread_over_calls(spark, d)),
         "clean_transcripts": lambda spark, d: _documents(spark, d).select(
             "text_file", X.drop_blank_lines(F.col("text")).alias("text")
         ),
@@ -383,6 +477,32 @@ def call_sql() -> dict[str, str]:
             "xs[len(xs)]::DOUBLE AS maximum FROM q"
         )
 
+    def minutes_box(by_agent: bool) -> str:
+        """The same figures of a continuous column, from sorted lists."""
+        key = '"Agent ID", ' if by_agent else ""
+        group = 'GROUP BY "Agent ID"' if by_agent else ""
+
+        def q(p: float) -> str:
+            pos = f"least(greatest(len(xs) * {p} - 0.5, 0), len(xs) - 1)"
+            low, high = f"xs[(floor({pos}) + 1)::INTEGER]", f"xs[(ceil({pos}) + 1)::INTEGER]"
+            return f"({low} + ({pos} - floor({pos})) * ({high} - {low}))::DOUBLE"
+
+        figures = {
+            "minimum": "xs[1]",
+            "lower_fence": "least(q1, list_min(list_filter(xs, lambda x: x >= q1 - 1.5 * (q3 - q1))))",
+            "q1": "q1",
+            "median": "median",
+            "q3": "q3",
+            "upper_fence": "greatest(q3, list_max(list_filter(xs, lambda x: x <= q3 + 1.5 * (q3 - q1))))",
+            "maximum": "xs[len(xs)]",
+        }
+        return (
+            f'WITH m AS (SELECT {base["agent_id"]} AS "Agent ID", CASE WHEN {_h("no_minutes", k)} % 31 <> 0 THEN o_totalprice / 10000 END AS x FROM orders), '
+            f"s AS (SELECT {key}list(x ORDER BY x) AS xs FROM m WHERE x IS NOT NULL {group}), "
+            f"q AS (SELECT {key}xs, {q(0.25)} AS q1, {q(0.5)} AS median, {q(0.75)} AS q3 FROM s) "
+            f"SELECT {key}len(xs)::BIGINT AS n, " + ", ".join(f"round({e}, 9)::DOUBLE AS {n}" for n, e in figures.items()) + " FROM q"
+        )
+
     def kpis(source: str) -> str:
         def row(name: str, value: str, target: str) -> str:
             return (
@@ -542,6 +662,7 @@ def call_sql() -> dict[str, str]:
         f"CASE WHEN {_h('orphan', 'call_id')} % 41 = 0 THEN 'X' || client_id ELSE client_id END AS client_id, "
         f"CASE WHEN {_h('no_audio', 'call_id')} % 43 <> 0 THEN audio_file END AS audio_file, "
         f"CASE WHEN {_h('twice', 'call_id')} % 53 = 0 THEN 'same' ELSE call_id END AS call_id), "
+        f"CASE WHEN {_h('bad_status', 'call_id')} % 59 = 0 THEN 'Lost' WHEN {_h('status', 'call_id')} % 2 = 0 THEN 'Created' END AS status, "
         f"CASE WHEN {_h('long', 'call_id')} % 47 = 0 THEN repeat('topic ', 10) END AS topic FROM base)"
     )
     source = {"client": "dirty_client", "agent": "agents", "call": "dirty_call"}
@@ -570,7 +691,8 @@ def call_sql() -> dict[str, str]:
                 )
                 report.append(line("length", f.name, number))
         if name == "call":
-            report.append(line("domain", "status", "0"))
+            statuses = "'Created', 'Audio processed', 'Speech diarized', 'Transcribed', 'Translated', 'Anonymized', 'Analyzed'"
+            report.append(line("domain", "status", f"SELECT count(*) FROM {t} WHERE status NOT IN ({statuses})"))
     for child, key, parent in S.FOREIGN_KEYS:
         report.append(
             f"SELECT '{child}' AS table_name, 'foreign key' AS rule, '{key}' AS column_name, (SELECT count(*) FROM "
@@ -669,6 +791,71 @@ def call_sql() -> dict[str, str]:
         "greeted AS (SELECT * REPLACE ('Agent: This is ' || an || ', do I speak to ' || cn || '?' || chr(10) || text "
         "AS text) FROM named) "
     )
+    # Spans: places follow from the pieces between matches. A match that overlaps one of a better kind is none.
+    people = "'(?i)\\b(?:' || concat_ws('|', an, cn, al, cl, af, cf) || ')\\b'"
+
+    def placed(entity: str, score: str, pattern: str) -> str:
+        return (
+            f"SELECT text_file, '{entity}' AS entity, {score}::DOUBLE AS score, unnest(list_transform(hits, lambda h, i: {{'start': "
+            "(list_sum(list_transform(pieces[1:i], lambda p: length(p))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda q: length(q))), 0))::INTEGER, "
+            "'size': length(h)})) AS place FROM (SELECT text_file, "
+            f"regexp_extract_all(text, {pattern}) AS hits, string_split_regex(text, {pattern}) AS pieces FROM greeted)"
+        )
+
+    spanned = (
+        f"found AS ({placed('EMAIL', '1.0', _q(email))} UNION ALL {placed('PHONE', '0.95', _q(phone))} "
+        f"UNION ALL {placed('PERSON', '0.9', people)}), "
+        'raw AS (SELECT text_file, entity, place.start AS "start", place.start + place.size AS "end", score FROM found), '
+        'spans AS (SELECT * FROM raw r WHERE NOT EXISTS (SELECT 1 FROM raw b WHERE b.text_file = r.text_file AND b.score > r.score '
+        'AND b."start" < r."end" AND r."start" < b."end")) '
+    )
+    marked = (
+        ", cut AS (SELECT text_file, text, list(s ORDER BY s.\"start\") FILTER (WHERE s.entity IS NOT NULL) AS ss FROM (SELECT g.text_file, g.text, "
+        '{\'entity\': entity, \'start\': "start", \'end\': "end"} AS s FROM greeted g LEFT JOIN spans USING (text_file)) GROUP BY ALL) '
+    )
+
+    def html(x: str) -> str:
+        return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+    found_text = "text[s.start + 1:s.end]"
+    before = "text[coalesce(ss[i - 1].end, 0) + 1:s.start]"
+    calls_html = (
+        "SELECT text_file, coalesce(array_to_string(list_transform(ss, lambda s, i: "
+        f"{html(before)} || '<mark class=\"' || s.entity || '\">' || {html(found_text)} || '</mark>'), ''), '') || "
+        f"{html('text[coalesce(ss[len(ss)].end, 0) + 1:]')} AS html FROM cut"
+    )
+
+    # Deliveries that do not fit each other.
+    recording = f"CASE WHEN {_h('hot', k)} % 3 = 0 THEN 'hot.wav' WHEN {_h('unnamed', k)} % 17 <> 0 THEN {k} || '.wav' END"
+    delivered = (
+        f"c AS (SELECT {k}::VARCHAR AS call_id, {recording} AS audio_file FROM orders), "
+        f"t0 AS (SELECT CASE WHEN {_h('stray', k)} % 19 = 0 THEN 'stray' || {k} || '.wav' ELSE {recording} END AS audio_file, "
+        f"{k} || '.txt' AS transcription_file, CASE WHEN {_h('empty', k)} % 23 <> 0 THEN 'Agent: call ' || {k} END AS text "
+        f"FROM orders WHERE {_h('no_text', k)} % 13 <> 0), "
+        f"t AS (SELECT * FROM t0 UNION ALL SELECT * FROM t0 WHERE {_h('twice', 'transcription_file')} % 29 = 0 "
+        f"UNION ALL SELECT audio_file, 'z' || transcription_file, text FROM t0 WHERE {_h('later', 'transcription_file')} % 31 = 0), "
+        f"r AS (SELECT {k} || '.wav' AS audio_file FROM orders WHERE {_h('unrecorded', k)} % 37 <> 0), "
+        "ranked AS (SELECT *, row_number() OVER w AS n, dense_rank() OVER w AS d FROM t WINDOW w AS (PARTITION BY audio_file ORDER BY transcription_file DESC)), "
+        "fate AS (SELECT audio_file, transcription_file, CASE WHEN audio_file IS NULL THEN 'no recording named' "
+        "WHEN d > 1 THEN 'a later text of the recording is used' "
+        "WHEN audio_file NOT IN (SELECT audio_file FROM c WHERE audio_file IS NOT NULL) THEN 'no call has this recording' "
+        "WHEN n > 1 THEN 'a later text of the recording is used' "
+        "WHEN text IS NULL THEN 'no text' ELSE 'used' END AS outcome FROM ranked) "
+    )
+
+    # A block of three questions, asked three times.
+    def asked(n: int) -> dict[str, str]:
+        full = f"{_h(f'short{n}', k)} % 4 <> 0"
+        given = {"topic": _pick(f"topic{n}", S.TOPICS[:3], k), "refund": _pick(f"refund{n}", ["Yes", "No"], k), "empathy": f"{_one_to_five(f'empathy{n}', k)}::VARCHAR"}
+        return {f"{c}{n}": f"CASE WHEN {full} THEN {e} END" for c, e in given.items()}
+
+    custom = (
+        f"WITH a AS (SELECT {k} || '.anon.txt' AS text_file, {_list({**asked(0), **asked(1), **asked(2)})} FROM orders) SELECT text_file, "
+        + ", ".join(f"{majority(c, [f'{c}{n}' for n in range(3)])}{'::INTEGER' if c == 'empathy' else ''} AS {c}" for c in ("topic", "refund", "empathy"))
+        + ", CASE WHEN coalesce(topic0, topic1, topic2) IS NULL THEN 'block 1 incomplete' END AS error FROM a"
+    )
+    custom_list = "1. What is it about?\n2. Was a refund promised?\n3. How much empathy, from 1 to 5?"
+
     nameless = f"regexp_replace(regexp_replace(text, '{email}', chr(1), 'g'), '{phone}', chr(2), 'g')"
     for part in ("an", "cn", "af", "cf", "al", "cl"):
         nameless = f"regexp_replace({nameless}, '\\b' || {part} || '\\b', chr(3), 'g')"
@@ -702,6 +889,15 @@ def call_sql() -> dict[str, str]:
         "communication_box_by_agent": box(True),
         "communication_box_overall": box(False),
         "kpis": kpis("frame"),
+        "kpis_rollup": kpis("frame").rpartition(" UNION ALL ")[0],
+        "rollup_calls_over_time": framed + f"SELECT {month} AS month, count(*) AS calls FROM frame GROUP BY ALL",
+        "rollup_upsales": framed + f', o AS (SELECT "Agent ID", 1 AS hit, {outcome} AS category FROM frame WHERE {known}), '
+        "l AS (SELECT unnest(['Failed Upsales', 'No Upsale Attempted', 'Successful Upsales']) AS category), "
+        'g AS (SELECT DISTINCT "Agent ID", category FROM frame CROSS JOIN l WHERE "Agent ID" IS NOT NULL) '
+        'SELECT "Agent ID", category, count(o.hit) AS count FROM g LEFT JOIN o USING ("Agent ID", category) GROUP BY ALL',
+        "rollup_quality": means + 'SELECT "Agent ID", metric, round(value, 6) AS value FROM means',
+        "duration_box": minutes_box(False),
+        "duration_box_by_agent": minutes_box(True),
         "agent_list": framed + 'SELECT DISTINCT "Agent ID" FROM frame WHERE "Agent ID" IS NOT NULL',
         "calls_over_time": framed
         + f"SELECT {month} AS month, strftime({month}, '%Y-%m') AS month_key, strftime({month}, '%b %y') AS label, "
@@ -744,6 +940,18 @@ def call_sql() -> dict[str, str]:
         "min(poll) AS first FROM p GROUP BY ALL) SELECT text_file, question, answer, votes FROM v "
         "QUALIFY row_number() OVER (PARTITION BY text_file, question ORDER BY votes DESC, first) = 1",
         "question_prompts": f"WITH {documents} SELECT text_file, {_list(prompts)} FROM docs",
+        "custom_block_answers": custom,
+        "custom_block_prompts": f"WITH {documents} SELECT text_file, md5('Text: ' || text || chr(10) || 'Asked: ' || {_q(custom_list)}) AS prompt_1 FROM docs",
+        "inputs_accounted": f"WITH {delivered} SELECT 'text' AS input, outcome, count(*) AS rows FROM fate GROUP BY ALL UNION ALL "
+        "SELECT 'call', CASE WHEN audio_file IS NULL THEN 'no recording named' WHEN audio_file NOT IN (SELECT audio_file FROM r) "
+        "THEN 'no such recording' WHEN audio_file IN (SELECT audio_file FROM t WHERE audio_file IS NOT NULL) THEN 'has a text' "
+        "ELSE 'no transcript' END, count(*) FROM c GROUP BY ALL UNION ALL "
+        "SELECT 'recording', CASE WHEN audio_file IN (SELECT audio_file FROM c WHERE audio_file IS NOT NULL) THEN 'used' "
+        "ELSE 'no call has this recording' END, count(*) FROM r GROUP BY ALL",
+        "input_errors": f"WITH {delivered} SELECT audio_file, transcription_file, outcome AS error FROM fate WHERE outcome <> 'used'",
+        "update_calls_days": "WITH u AS (SELECT o_orderdate::DATE AS date, month(o_orderdate) % 5 = 0 "
+        f"AND {_h('touch', k)} % 2 = 0 AS hit FROM orders), d AS (SELECT date, count(*) AS calls, count_if(hit)::BIGINT AS updated FROM u GROUP BY date) "
+        "SELECT date, calls, updated, max(updated) OVER (PARTITION BY date_trunc('month', date)) > 0 AS rewritten FROM d",
         "update_calls_chain": f"SELECT {_list({f.name: chain_columns[f.name] for f in S.CALL.fields})} FROM orders",
         "integrity_report": f"WITH {dirty} " + " UNION ALL ".join(report),
         "orphan_calls": f"WITH {dirty} SELECT call_id, client_id, agent_id, date, time FROM dirty_call x "
@@ -766,6 +974,9 @@ def call_sql() -> dict[str, str]:
         "(generate_subscripts(hits, 1) - 1)::INTEGER AS position FROM hits",
         "pii_highlighted": f"WITH {documents} SELECT text_file, regexp_replace(regexp_replace({escaped}, '{email}', "
         f"'<mark class=\"EMAIL\">\\0</mark>', 'g'), '{phone}', '<mark class=\"PHONE\">\\0</mark>', 'g') AS html FROM docs",
+        "pii_spans_calls": greeted + ", " + spanned + 'SELECT text_file, entity, "start", "end", score FROM spans',
+        "pii_report_calls": greeted + ", " + spanned + "SELECT text_file, entity, count(*)::INTEGER AS findings FROM spans GROUP BY ALL",
+        "pii_highlighted_calls": greeted + ", " + spanned + marked + calls_html,
         "clean_transcripts": f"WITH {documents} SELECT text_file, array_to_string(list_filter(string_split("
         f"trim(text, {white}), chr(10)), lambda l: regexp_matches(l, '\\S')), chr(10)) AS text FROM docs",
         "transcript_turns": f"WITH {turn_rows} SELECT call_id, turn, speaker, text FROM turns",

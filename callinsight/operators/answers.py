@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import cloudpickle
+from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +16,9 @@ from pyspark.sql import types as T
 from callinsight import schemas as S
 from callinsight.functions import scalars as X
 
+# Worker functions travel with their code: nothing of this package has to be installed on the workers.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 QUESTIONS = [
     [
         f"Which one of these topics is the text about: {', '.join(S.TOPICS)}?",
@@ -30,68 +37,129 @@ QUESTIONS = [
 PROMPT = "Read this text:\n{text}\nAnswer every question in a numbered list, one line each:\n{questions}\n"
 
 
-def question_table(df: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Block:
+    """Questions put to the model in one prompt. ``answers``: the columns of its replies, one for each time it is asked;
+    of several the most common answer counts. ``columns``: where the answers go, a column a question."""
+
+    columns: Sequence[str]
+    questions: Sequence[str]
+    answers: Sequence[str]
+    template: str = PROMPT
+
+    def __post_init__(self) -> None:
+        if len(self.columns) != len(self.questions) or not self.columns:
+            raise ValueError(f"{len(self.columns)} columns for {len(self.questions)} questions")
+        if not self.answers:
+            raise ValueError("a block is asked once or more")
+
+    @property
+    def listed(self) -> str:
+        return "\n".join(f"{n}. {q}" for n, q in enumerate(self.questions, start=1))
+
+
+# The first block is answered once, the second one in each poll.
+POLLS = ["poll_1", "poll_2", "poll_3"]
+
+
+def usual_blocks(polls: Sequence[str] = POLLS) -> list[Block]:
+    first, second = S.ANSWER_BLOCKS
+    return [Block(first, QUESTIONS[0], ["block_1"]), Block(second, QUESTIONS[1], list(polls))]
+
+
+def checked_blocks(blocks: Sequence[Block]) -> list[Block]:
+    """The blocks, if no column of answers or replies occurs twice."""
+    for kind in ("columns", "answers"):
+        names = [c for b in blocks for c in getattr(b, kind)]
+        if twice := sorted({c for c in names if names.count(c) > 1}):
+            raise ValueError(f"{kind} of several questions: {twice}")
+    return list(blocks)
+
+
+def question_table(df: DataFrame, blocks: Sequence[Block] | None = None) -> DataFrame:
     """The questions as rows (block, number, column, question), on the session of ``df``."""
     rows = [
         (b, n, column, question)
-        for b, (columns, questions) in enumerate(zip(S.ANSWER_BLOCKS, QUESTIONS), start=1)
-        for n, (column, question) in enumerate(zip(columns, questions), start=1)
+        for b, block in enumerate(blocks or usual_blocks(), start=1)
+        for n, (column, question) in enumerate(zip(block.columns, block.questions, strict=True), start=1)
     ]
     return df.sparkSession.createDataFrame(rows, "block int, number int, column string, question string")
 
 
-def prompts(texts: DataFrame, template: str = PROMPT, questions: list[list[str]] = QUESTIONS) -> DataFrame:
-    """Add one prompt column per question block: ``prompt_1``, ``prompt_2``."""
-    listed = ["\n".join(f"{n}. {q}" for n, q in enumerate(block, start=1)) for block in questions]
+def prompts(texts: DataFrame, template: str | None = None, questions: list[list[str]] | None = None, blocks: Sequence[Block] | None = None) -> DataFrame:
+    """Add one prompt column per question block, ``prompt_1`` and so on.
+
+    ``blocks`` bring their questions and templates; ``questions`` and ``template`` are a short form without columns."""
+    if blocks is None:
+        asked = [("\n".join(f"{n}. {q}" for n, q in enumerate(b, start=1)), template or PROMPT) for b in questions or QUESTIONS]
+    else:
+        asked = [(b.listed, template or b.template) for b in blocks]
     return texts.withColumns(
-        {
-            f"prompt_{b}": X.render(template, text=F.col("text"), questions=F.lit(block))
-            for b, block in enumerate(listed, start=1)
-        }
+        {f"prompt_{b}": X.render(form, text=F.col("text"), questions=F.lit(listed)) for b, (listed, form) in enumerate(asked, start=1)}
     )
 
 
+Model = Callable[[pd.DataFrame], pd.DataFrame]
+
+
 def infer(
     df: DataFrame,
-    model: Callable[[pd.DataFrame], pd.DataFrame],
+    model: Model | None,
     output: T.StructType,
     keys: list[str],
     batch_size: int = 1,
+    make_model: Callable[[], Model] | None = None,
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Run a batch function over all rows: key columns, its output columns, and ``error``.
 
-    ``model`` gets up to ``batch_size`` rows and returns the output columns in the same order. A
-    batch that raises comes back with NULL outputs and the message in ``error``, so one bad input
-    fails neither the task nor the other batches. Rows reach Python in Arrow batches bounded by
+    The model gets up to ``batch_size`` rows and returns the output columns in the same order. A batch that raises, or
+    returns another number of rows, is halved until the rows that cannot be answered stand alone: only those come
+    back with NULL outputs and the message in ``error``. Rows reach Python in Arrow batches bounded by
     ``spark.sql.execution.arrow.maxBytesPerBatch``.
+
+    ``make_model`` builds the model instead, once in each task that has rows, for models that are costly to load or cannot
+    be sent. ``profile`` asks for the executors and accelerators that the model needs.
     """
+    if (model is None) == (make_model is None):
+        raise ValueError("give either a model or make_model")
     schema = T.StructType(
         [df.schema[k] for k in keys] + list(output.fields) + [T.StructField("error", T.StringType())]
     )
     names = [f.name for f in output.fields]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        answer = model
+
+        def answered(part: pd.DataFrame) -> list[pd.DataFrame]:
+            result = part[keys].copy()
+            try:
+                given = answer(part.reset_index(drop=True))
+                if len(given) != len(part):
+                    raise ValueError(f"{len(given)} results for {len(part)} rows")
+                for name in names:
+                    result[name] = given[name].to_numpy()
+                result["error"] = None
+            except Exception as e:  # reported per row
+                if len(part) > 1:
+                    half = len(part) // 2
+                    return answered(part.iloc[:half]) + answered(part.iloc[half:])
+                for name in names:
+                    result[name] = None
+                result["error"] = f"{type(e).__name__}: {e}"
+            return [result]
+
         for arrow_batch in batches:
+            if answer is None and len(arrow_batch):
+                answer = make_model()
             results = []  # one frame for each Arrow batch, however small the model's batches are
             for start in range(0, len(arrow_batch), batch_size):
-                part = arrow_batch.iloc[start : start + batch_size].reset_index(drop=True)
-                result = part[keys].copy()
-                try:
-                    answered = model(part)
-                    if len(answered) != len(part):
-                        raise ValueError(f"{len(answered)} results for {len(part)} rows")
-                    for name in names:
-                        result[name] = answered[name].to_numpy()
-                    result["error"] = None
-                except Exception as e:  # reported per row
-                    for name in names:
-                        result[name] = None
-                    result["error"] = f"{type(e).__name__}: {e}"
-                results.append(result)
+                results += answered(arrow_batch.iloc[start : start + batch_size])
             if results:
-                yield pd.concat(results, ignore_index=True)
+                # Columns of errors alone have no type of their own.
+                yield pd.concat([r.astype(object) for r in results], ignore_index=True)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInPandas(run, schema, profile=profile)
 
 
 _WHITE = " \t\n\r"
@@ -111,47 +179,47 @@ def numbered_items(text: Column, n: int) -> Column:
     return F.when(F.size(parts) == n, F.transform(parts, lambda x: F.btrim(x, F.lit(_WHITE))))
 
 
-def parse_answers(texts: DataFrame, polls: Sequence[str] = ("block_2",)) -> DataFrame:
-    """Columns from numbered answer lists: ``block_1``, and the second block from each poll.
+def parse_blocks(texts: DataFrame, blocks: Sequence[Block], scores: Sequence[str] = tuple(S.SCORE_COLUMNS)) -> DataFrame:
+    """(text_file, a column per question, error) from the numbered lists that answer ``blocks``.
 
-    With several polls each item is decided by majority. The polls of a text are columns of its
+    Where a block was asked several times each item is decided by majority. The replies of a text are columns of its
     row, so the vote is a plain expression without a shuffle. An incomplete list does not vote;
-    without a complete one the row's answers are NULL and ``error`` names the block. Scores
+    without a complete one the row's answers are NULL and ``error`` names the block. ``scores``
     become integers; an answer that holds no score from 1 to 5 is an error of the row too.
     """
-    first, second = S.ANSWER_BLOCKS
-    lists = [f"_poll_{i}" for i in range(len(polls))]
-    parsed = texts.withColumns(
-        {
-            "_items": numbered_items(F.col("block_1"), len(first)),
-            **{c: numbered_items(F.col(text), len(second)) for c, text in zip(lists, polls)},
-        }
-    )
-    problem = F.when(F.col("_items").isNull(), "block 1 incomplete").when(
-        F.coalesce(*lists).isNull(), "block 2 incomplete"
-    )
-    # An error of the model itself is the one to report.
+    blocks = checked_blocks(blocks)
+    lists = {reply: f"_items_{b}_{i}" for b, block in enumerate(blocks) for i, reply in enumerate(block.answers)}
+    size = {reply: len(block.columns) for block in blocks for reply in block.answers}
+    parsed = texts.withColumns({items: numbered_items(F.col(reply), size[reply]) for reply, items in lists.items()})
+    missing = [
+        F.when(F.coalesce(*[F.col(lists[reply]) for reply in block.answers]).isNull(), f"block {b} incomplete")
+        for b, block in enumerate(blocks, start=1)
+    ]
+    # An error of the model itself is the one to report, then the first block's.
+    problem = F.coalesce(*missing)
     parsed = parsed.withColumn("error", F.coalesce("error", problem) if "error" in texts.columns else problem)
 
     # Each answer becomes a column of its own before votes compare it with the others.
-    sources = {name: (["_items"], i) for i, name in enumerate(first)} | {
-        name: (lists, i) for i, name in enumerate(second)
-    }
-    given = {name: [f"{c}_{i}" for c in source] for name, (source, i) in sources.items()}
-    parsed = parsed.withColumns(
-        {f"{c}_{i}": F.get(c, F.lit(i)) for source, i in sources.values() for c in source}
-    )
+    place = {name: (block, i) for block in blocks for i, name in enumerate(block.columns)}
+    given = {name: {f"{lists[reply]}_{i}": (lists[reply], i) for reply in block.answers} for name, (block, i) in place.items()}
+    parsed = parsed.withColumns({c: F.get(items, F.lit(i)) for votes in given.values() for c, (items, i) in votes.items()})
 
     def value(name: str) -> Column:
         votes = [F.col(c) for c in given[name]]
         item = F.when(F.col("error").isNull(), X.most_common(votes) if len(votes) > 1 else votes[0])
-        return (X.score_from_text(item) if name in S.SCORE_COLUMNS else item).alias(name)
+        return (X.score_from_text(item) if name in scores else item).alias(name)
 
-    valued = parsed.select("text_file", *[value(name) for name in S.ANSWER_COLUMNS], "error")
-    unread = F.coalesce(*[F.when(F.col(name).isNull(), F.lit(f"{name} is no score")) for name in S.SCORE_COLUMNS if name in S.ANSWER_COLUMNS])
-    valued = valued.withColumn("error", F.coalesce("error", unread))
+    valued = parsed.select("text_file", *[value(name) for name in place], "error")
+    unread = [F.when(F.col(name).isNull(), F.lit(f"{name} is no score")) for name in scores if name in place]
+    if unread:
+        valued = valued.withColumn("error", F.coalesce("error", *unread))
     good = F.col("error").isNull()
-    return valued.select("text_file", *[F.when(good, F.col(name)).alias(name) for name in S.ANSWER_COLUMNS], "error")
+    return valued.select("text_file", *[F.when(good, F.col(name)).alias(name) for name in place], "error")
+
+
+def parse_answers(texts: DataFrame, polls: Sequence[str] = ("block_2",)) -> DataFrame:
+    """The usual two blocks: ``block_1``, and the second block from each of ``polls``."""
+    return parse_blocks(texts, usual_blocks(polls))
 
 
 def split_errors(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -178,10 +246,7 @@ def consolidate_polls(polls: DataFrame) -> DataFrame:
 
 
 def postprocess_answers(answers: DataFrame) -> DataFrame:
-    """Yes/no answers to booleans and tones to their keyword, in one projection."""
-    return answers.withColumns(
-        {
-            **{c: X.is_yes(F.col(c)) for c in S.YES_NO_COLUMNS},
-            **{c: X.normalize_tone(F.col(c)) for c in S.TONE_COLUMNS},
-        }
-    )
+    """Yes/no answers to booleans and tones to their keyword, in one projection; other columns stay as they are."""
+    yes_no = {c: X.is_yes(F.col(c)) for c in S.YES_NO_COLUMNS if c in answers.columns}
+    tones = {c: X.normalize_tone(F.col(c)) for c in S.TONE_COLUMNS if c in answers.columns}
+    return answers.withColumns({**yes_no, **tones}) if yes_no or tones else answers

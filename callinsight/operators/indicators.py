@@ -2,32 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callinsight import schemas as S
 
 
+FLAGS = {"upsale": "Upsale Success", "concern": "Concern Addressed"}
+
+
 def kpis(frame: DataFrame, approximate: bool = False) -> DataFrame:
-    """Five indicators as rows (kpi, value, target, delta_relative), from one pass over the frame.
+    """Five indicators as rows (kpi, value, target, delta_relative).
 
-    The two means are over all known values and compared to their target. ``approximate`` swaps
-    the exact distinct counts for sketches, whose partial results do not grow with the callers.
+    The two means are over all known values and compared to their target. Sums and counts are folded per agent,
+    whose number is that of the agents; the callers are folded apart, in a scan of their column alone. Nothing is
+    expanded, and no row is made for a pair of agent and caller. ``approximate`` counts callers by a sketch, whose
+    partial results do not grow with them.
     """
-    distinct = F.approx_count_distinct if approximate else F.countDistinct
-    # Folded per agent and caller first: the distinct counts then expand pairs, not calls.
-    flags = {"upsale": F.col("Upsale Success").cast("int"), "concern": F.col("Concern Addressed").cast("int")}
-    pairs = frame.groupBy("Agent ID", "Caller ID").agg(
+    per_agent = frame.groupBy("Agent ID").agg(
         F.count("Caller ID").alias("calls"),
-        *[F.sum(flag).alias(name) for name, flag in flags.items()],
-        *[F.count(flag).alias(f"known_{name}") for name, flag in flags.items()],
+        *[F.sum(F.col(flag).cast("int")).alias(name) for name, flag in FLAGS.items()],
+        *[F.count(flag).alias(f"known_{name}") for name, flag in FLAGS.items()],
     )
-    one = pairs.agg(
-        *[(F.sum(name) / F.sum(f"known_{name}")).alias(name) for name in flags],
+    if approximate:
+        callers = frame.select(F.approx_count_distinct("Caller ID")).scalar()
+    else:
+        callers = frame.groupBy("Caller ID").agg(F.lit(1)).select(F.count("Caller ID")).scalar()
+    return as_indicators(per_agent, callers)
+
+
+def as_indicators(per_agent: DataFrame, callers: Column) -> DataFrame:
+    """The indicators from (Agent ID, calls, upsale, concern, known_upsale, known_concern), a row per agent."""
+    one = per_agent.agg(
+        *[(F.sum(name) / F.sum(f"known_{name}")).alias(name) for name in FLAGS],
         F.coalesce(F.sum("calls"), F.lit(0)).alias("calls"),
-        distinct("Agent ID").alias("agents"),
-        distinct("Caller ID").alias("callers"),
-    )
+        F.count("Agent ID").alias("agents"),
+    ).withColumn("callers", callers)
 
     def row(name: str, column: str, target: float | None = None):
         value = F.col(column).cast("double")

@@ -30,9 +30,8 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("rows")).filter(F.col("rows") > 1)
 
 
-def column_violations(df: DataFrame, schema: T.StructType, table: str) -> DataFrame:
-    """Rows that break NOT NULL or a length limit, counted per column in one pass."""
-    df = with_schema(df, schema)
+def column_checks(schema: T.StructType) -> list[tuple[str, str, Column]]:
+    """(rule, column, condition of a broken row): NOT NULL, length limits and the domain of the status."""
     checks = []
     for f in schema.fields:
         if f.metadata.get("required"):
@@ -41,6 +40,13 @@ def column_violations(df: DataFrame, schema: T.StructType, table: str) -> DataFr
             checks.append(("length", f.name, F.char_length(f.name) > f.metadata["max_length"]))
     if "status" in schema.fieldNames():
         checks.append(("domain", "status", ~F.col("status").isin(S.CALL_STATUSES)))
+    return checks
+
+
+def column_violations(df: DataFrame, schema: T.StructType, table: str) -> DataFrame:
+    """Rows that break a rule of their column, counted per rule in one pass."""
+    df = with_schema(df, schema)
+    checks = column_checks(schema)
     counted = df.agg(*[F.count_if(broken).alias(f"_{i}") for i, (_, _, broken) in enumerate(checks)])
     rows = F.array(
         *[

@@ -1,134 +1,35 @@
-"""Recognition and replacement of personal data in transcripts.
+"""Replacement of personal data in transcripts, and reports on it, from one detection of spans.
 
-E-mail addresses and phone numbers are found by pattern, people by the names given for the row
-(those of the call's own client and agent, or what a recognizer returned). Entities are taken in
-the order of their score: text claimed by a better-scored entity is set aside and can neither be
-matched again nor be touched by a replacement value that looks like personal data itself.
+See :mod:`callinsight.operators.spans` for the recognizers and for how overlaps are settled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# --- Fixed values: entities, patterns, replacement values, score threshold --------------------
+from callinsight.operators import spans
+from callinsight.operators.spans import ENTITIES, OPERATORS, PATTERNS, SCORES, THRESHOLD, active, detect, detect_with_names
 
-ENTITIES = ["PERSON", "EMAIL", "PHONE"]
+__all__ = [
+    "ENTITIES", "OPERATORS", "PATTERNS", "SCORES", "THRESHOLD", "active", "anonymize", "anonymized", "detect", "detect_with_names", "highlighted", "pii_report",
+]
 
-PATTERNS = {
-    "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "PHONE": (
-        r"(?:\+\d{1,2} )?\(\d{3}\) ?\d{3}-\d{4}|\b(?:1-)?\d{3}-\d{3}-\d{4}\b"
-        r"|\b\d{3}\.\d{3}\.\d{4}\b|\+\d{1,3}(?: \d{2,4}){2,4}\b"
-    ),
-}
 
-# Text of which every match contains some: a cheap test that spares texts the pattern.
-NEEDLES = {"EMAIL": ["@"], "PHONE": ["-", ".", "+"]}
+def anonymized(detected: DataFrame, operator_map: Mapping = OPERATORS, entities: Sequence[str] = tuple(ENTITIES)) -> DataFrame:
+    """(original_file, anonymized_file, text, error) of detected rows (text_file, text, spans).
 
-SCORES = {"EMAIL": 1.0, "PHONE": 0.95, "PERSON": 0.9}
-
-OPERATORS = {
-    "PERSON": ("replace", {"new_value": "John Doe"}),
-    "EMAIL": ("replace", {"new_value": "john_doe@email.com"}),
-    "PHONE": ("replace", {"new_value": "123456789"}),
-}
-
-THRESHOLD = 0.8
-
-# Unicode noncharacters, which cannot occur in interchanged text, hold the place of a finding.
-_MARKS = {"EMAIL": "\ufdd0", "PHONE": "\ufdd1", "PERSON": "\ufdd2"}
-
-
-def _active(entities: Sequence[str], threshold: float) -> list[str]:
-    unknown = set(entities) - set(SCORES)
-    if unknown:
-        raise ValueError(f"no recognizer for {sorted(unknown)}")
-    return sorted((e for e in entities if SCORES[e] >= threshold), key=lambda e: -SCORES[e])
-
-
-def name_pattern(names: Column) -> Column:
-    """Pattern of an array of names as whole words in any case, longer ones first, each taken literally."""
-    known = F.filter(names, lambda n: n.isNotNull() & (n != ""))
-    by_length = F.array_sort(F.transform(known, lambda n: F.struct(F.length(n).alias("length"), n.alias("name"))))
-    # Inside \Q...\E only \E itself needs care.
-    literal = lambda n: F.concat(F.lit(r"\Q"), F.replace(n, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
-    any_name = F.array_join(F.transform(F.reverse(by_length), lambda s: literal(s["name"])), "|")
-    return F.when(F.size(known) > 0, F.concat(F.lit(r"(?iU)(?<!\w)(?:"), any_name, F.lit(r")(?!\w)")))
-
-
-def detect(
-    texts: DataFrame,
-    entities: Sequence[str] = tuple(ENTITIES),
-    threshold: float = THRESHOLD,
-    text_column: str = "text",
-    names_column: str | None = None,
-) -> DataFrame:
-    """Add ``_masked`` (the text with findings set aside) and ``_found_<ENTITY>`` (the findings).
-
-    All of it is per row and native; columns that are not used afterwards are pruned. The noncharacters that
-    hold the places of findings are removed from the input, where they mean nothing.
+    A row without text is reported in ``error``.
     """
-    df = texts.withColumn("_masked", F.translate(text_column, "".join(_MARKS.values()), ""))
-    none = F.array().cast("array<string>")
-    for entity in _active(entities, threshold):
-        masked = F.col("_masked")
-        if entity != "PERSON":
-            needles = [masked.contains(n) for n in NEEDLES[entity]]
-            pattern, possible = F.lit(PATTERNS[entity]), reduce(Column.__or__, needles)
-        elif names_column is not None:
-            df = df.withColumn("_names", name_pattern(F.col(names_column)))
-            pattern, possible = F.col("_names"), F.col("_names").isNotNull()
-        else:
-            df = df.withColumn(f"_found_{entity}", none)
-            continue
-        found = F.when(possible, F.regexp_extract_all(masked, pattern, F.lit(0))).otherwise(none)
-        rest = F.when(possible, F.regexp_replace(masked, pattern, F.lit(_MARKS[entity]))).otherwise(masked)
-        df = df.withColumns({f"_found_{entity}": found, "_masked": rest}).drop("_names")
-    return df
-
-
-def _detected(df: DataFrame) -> list[str]:
-    return [c.removeprefix("_found_") for c in df.columns if c.startswith("_found_")]
-
-
-def anonymized_text(detected: DataFrame, operator_map: Mapping = OPERATORS) -> Column:
-    """The text with each finding replaced once by its entity's value."""
-    text = F.col("_masked")
-    for entity in _detected(detected):
-        operator, params = operator_map.get(entity, (None, {}))
-        if operator != "replace":
-            raise ValueError(f"operator for {entity} must be 'replace', not {operator!r}")
-        text = F.replace(text, F.lit(_MARKS[entity]), F.lit(params["new_value"]))
-    return text
-
-
-def _as_html(text: Column) -> Column:
-    for symbol, escape in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
-        text = F.replace(text, F.lit(symbol), F.lit(escape))
-    return text
-
-
-def _put_back(text: Column, entity: str) -> Column:
-    """Put the findings of an entity back in their places, each in a ``mark`` element."""
-
-    def rejoin(piece: Column, hit: Column) -> Column:
-        marked = F.concat(F.lit(f'<mark class="{entity}">'), _as_html(hit), F.lit("</mark>"))
-        return F.concat(piece, F.coalesce(marked, F.lit("")))
-
-    pieces = F.split(text, _MARKS[entity], -1)
-    return F.array_join(F.zip_with(pieces, F.col(f"_found_{entity}"), rejoin), "")
-
-
-def highlighted_text(detected: DataFrame) -> Column:
-    """The original text as HTML, with each finding in a ``mark`` element naming its entity."""
-    text = _as_html(F.col("_masked"))
-    for entity in _detected(detected):
-        text = _put_back(text, entity)
-    return text
+    done = spans.with_replaced(detected.select("text_file", "text", "spans"), operator_map, entities, "masked")
+    return done.select(
+        F.col("text_file").alias("original_file"),
+        F.concat(F.regexp_replace("text_file", r"\.txt$", ""), F.lit(".anon.txt")).alias("anonymized_file"),
+        F.col("masked").alias("text"),
+        F.when(F.col("text").isNull(), "no text").alias("error"),
+    )
 
 
 def anonymize(
@@ -138,17 +39,14 @@ def anonymize(
     threshold: float = THRESHOLD,
     names_column: str | None = None,
 ) -> DataFrame:
-    """(original_file, anonymized_file, text, error) of ``(text_file, text)`` rows.
+    """Detection and replacement for ``(text_file, text)`` rows, in one pass without a shuffle."""
+    looked_for = active(entities, threshold)
+    return anonymized(detect(transcripts, looked_for, threshold, names_column=names_column), operator_map, looked_for)
 
-    A row without text is reported in ``error``.
-    """
-    found = detect(transcripts, entities, threshold, names_column=names_column)
-    return found.select(
-        F.col("text_file").alias("original_file"),
-        F.concat(F.regexp_replace("text_file", r"\.txt$", ""), F.lit(".anon.txt")).alias("anonymized_file"),
-        anonymized_text(found, operator_map).alias("text"),
-        F.when(F.col("text").isNull(), "no text").alias("error"),
-    )
+
+def highlighted(detected: DataFrame) -> DataFrame:
+    """(text_file, html): the original text as HTML, each span in a ``mark`` element naming its entity."""
+    return spans.with_html(detected.select("text_file", "text", "spans")).select("text_file", "html")
 
 
 def pii_report(
@@ -160,10 +58,4 @@ def pii_report(
 ) -> DataFrame:
     """Findings per file and entity: counts, or with ``full`` one row per finding."""
     found = detect(transcripts, entities, threshold, names_column=names_column)
-    rows = F.array(
-        *[F.struct(F.lit(e).alias("entity"), F.col(f"_found_{e}").alias("hits")) for e in _detected(found)]
-    )
-    per_entity = found.select("text_file", F.inline(rows))
-    if full:
-        return per_entity.select("text_file", "entity", F.posexplode("hits").alias("position", "finding"))
-    return per_entity.select("text_file", "entity", F.size("hits").alias("findings")).filter("findings > 0")
+    return spans.findings(found) if full else spans.report(found)

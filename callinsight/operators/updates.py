@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callinsight import schemas as S
@@ -89,41 +92,53 @@ UPDATE_CHAIN = [
 ]
 
 
-# Columns by which one step of the chain finds the calls of the step before.
-_LINKS = ["call_id", "audio_file", "transcription_file", "anonymized_file"]
+# (data, status, call column, data column) of one update.
+Update = tuple[DataFrame, str, str, str]
 
 
-def apply_chain(calls: DataFrame, outputs: dict[str, DataFrame]) -> DataFrame:
-    """All updates of one analysis run as a single lazy plan, as if applied one after the other.
+def _changed(update: Update, order_by: str | None) -> list[str]:
+    """The columns that an update sets besides the status; raises if the call table lacks one."""
+    data, status, _, data_key = update
+    check_status(status)
+    changed = [c for c in data.columns if c not in (data_key, order_by)]
+    if extra := set(changed) - set(S.CALL.fieldNames()):
+        raise ValueError(f"not columns of the call table: {sorted(extra)}")
+    return changed
 
-    The steps find their calls on the file names alone: narrow rows meet the step outputs, and the
-    call table itself is joined once, on ``call_id``, which must be unique in it.
+
+def chain_hits(calls: DataFrame, updates: Sequence[Update], order_by: str | None = None) -> DataFrame:
+    """(call_id, date, ``_of_0``, ``_of_1``, ...): the calls that any of the updates reaches, and what each sets.
+
+    The updates apply one after the other, so each finds its calls by the values that those before it left. They
+    meet narrow rows only, of the columns that they look for.
     """
-    moved = calls.select("call_id", *[F.col(c).alias(f"_{c}") for c in _LINKS])
-    steps: list[tuple[str, str, list[str]]] = []
-    for step, status, table_key, data_key in UPDATE_CHAIN:
-        if step not in outputs:
-            continue
-        check_status(status)
-        changed = [c for c in outputs[step].columns if c != data_key]
-        if extra := set(changed) - set(S.CALL.fieldNames()):
-            raise ValueError(f"not columns of the call table: {sorted(extra)}")
-        latest = _one_per_key(outputs[step], data_key, None).select("_key", F.col("_new").alias(f"_of_{step}"))
+    changed = [_changed(u, order_by) for u in updates]
+    links = sorted({table_key for _, _, table_key, _ in updates})
+    moved = calls.select("call_id", "date", *[F.col(c).alias(f"_{c}") for c in links])
+    for i, (data, _, table_key, data_key) in enumerate(updates):
+        latest = _one_per_key(data, data_key, order_by).select("_key", F.col("_new").alias(f"_of_{i}"))
         # Calls whose key is still NULL get a private join key: they must not meet in one task.
-        keyed = moved.withColumn("_join", F.coalesce(f"_{table_key}", F.concat(F.lit("\x00"), "call_id")))
-        hit = (F.col("_join") == F.col("_key")) & F.col(f"_{table_key}").isNotNull()
+        keyed = moved.withColumn("_join", F.coalesce(F.col(f"_{table_key}").cast("string"), F.concat(F.lit("\x00"), "call_id")))
+        hit = (F.col("_join") == F.col("_key").cast("string")) & F.col(f"_{table_key}").isNotNull()
         moved = keyed.join(latest, hit, "left").drop("_join", "_key")
-        new = F.col(f"_of_{step}")
-        for c in set(changed) & set(_LINKS):
+        new = F.col(f"_of_{i}")
+        for c in set(changed[i]) & set(links):
             moved = moved.withColumn(f"_{c}", F.when(new.isNotNull(), new.getField(c)).otherwise(F.col(f"_{c}")))
-        steps.append((step, status, changed))
-    narrow = moved.select(F.col("call_id").alias("_id"), *[f"_of_{step}" for step, _, _ in steps])
+    reached = [f"_of_{i}" for i in range(len(updates))]
+    any_hit = reduce(Column.__or__, [F.col(c).isNotNull() for c in reached])
+    return moved.filter(any_hit).select("call_id", "date", *reached)
+
+
+def apply_hits(calls: DataFrame, hits: DataFrame, updates: Sequence[Update], order_by: str | None = None) -> DataFrame:
+    """The calls with the values of ``hits``, in one join on ``call_id``, which must be unique in both."""
+    steps = [(f"_of_{i}", u[1], _changed(u, order_by)) for i, u in enumerate(updates)]
+    narrow = hits.select(F.col("call_id").alias("_id"), *[c for c, _, _ in steps])
     joined = calls.join(narrow, F.col("call_id") == F.col("_id"), "left")
 
     def column(name: str):
         value = F.col(name)
         for step, status, changed in steps:
-            new = F.col(f"_of_{step}")
+            new = F.col(step)
             if name == "status":
                 value = F.when(new.isNotNull(), F.lit(status)).otherwise(value)
             elif name in changed:
@@ -131,3 +146,13 @@ def apply_chain(calls: DataFrame, outputs: dict[str, DataFrame]) -> DataFrame:
         return value.alias(name)
 
     return joined.select(*[column(c) for c in calls.columns])
+
+
+def apply_chain(calls: DataFrame, outputs: dict[str, DataFrame]) -> DataFrame:
+    """All updates of one analysis run as a single lazy plan, as if applied one after the other.
+
+    The steps find their calls on the file names alone: narrow rows meet the step outputs, and the
+    call table itself is joined once, on ``call_id``, which must be unique in it.
+    """
+    updates = [(outputs[step], status, key, data_key) for step, status, key, data_key in UPDATE_CHAIN if step in outputs]
+    return apply_hits(calls, chain_hits(calls, updates), updates) if updates else calls

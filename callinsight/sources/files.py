@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,18 +56,14 @@ def read_transcripts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-#: Names of recordings, of any usual type.
-RECORDINGS = "*.{wav,mp3,flac,ogg,opus,m4a,mp4,aac,wma,amr,aiff,webm,WAV,MP3,FLAC,OGG,M4A}"
+def list_audio_files(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
+    """(audio_file, path, length) of all files below ``folder``, or of those whose name matches ``pattern``, a glob.
 
-
-def list_audio_files(spark: SparkSession, folder: str, pattern: str = RECORDINGS) -> DataFrame:
-    """(audio_file, path, length) of the recordings; their content is not read."""
-    return (
-        spark.read.format("binaryFile")
-        .options(recursiveFileLookup=True, pathGlobFilter=pattern)
-        .load(folder)
-        .select(F.substring_index("path", "/", -1).alias("audio_file"), "path", "length")
-    )
+    No type of file is left out by itself. Contents are not read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if pattern is not None:
+        reader = reader.option("pathGlobFilter", pattern)
+    return reader.load(folder).select(F.substring_index("path", "/", -1).alias("audio_file"), "path", "length")
 
 
 def write_transcripts(df: DataFrame, path: str) -> None:
@@ -107,13 +103,39 @@ def export_transcript_files(df: DataFrame, folder: str) -> None:
 
 # --- Dashboard file ---------------------------------------------------------------------------
 
-_CSV = {"header": True, "quote": '"', "escape": '"', "dateFormat": "yyyy-MM-dd"}
+_CSV = {
+    "header": True, "quote": '"', "escape": '"', "dateFormat": "yyyy-MM-dd", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
+def _on_one_line(text: Column) -> Column:
+    """Line breaks as ``\\n`` and ``\\r``, backslashes doubled: a row is one line, so a file can be read by many tasks."""
+    for char, escape in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(char), F.lit(escape))
+    return text
+
+
+def _on_its_lines(text: Column) -> Column:
+    """The inverse. Between two doubled backslashes every other backslash starts an escape."""
+    parts = F.split(text, r"\\\\", -1)
+    plain = F.transform(parts, lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.array_join(plain, "\\")
+
+
+def _texts(schema: T.StructType, change: Callable[[Column], Column]) -> list[Column]:
+    return [change(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`") for f in schema.fields]
 
 
 def write_dashboard_csv(frame: DataFrame, path: str) -> None:
-    frame.write.mode("overwrite").options(**_CSV).csv(path)
+    """The frame as CSV, a line a row: line breaks and backslashes in texts are escaped by a backslash."""
+    frame.select(*_texts(frame.schema, _on_one_line)).write.mode("overwrite").options(**_CSV).csv(path)
+
 
+def read_dashboard_csv(spark: SparkSession, path: str, schema: T.StructType = S.DASHBOARD, escaped: bool = True) -> DataFrame:
+    """The dashboard frame with its explicit schema, as ``write_dashboard_csv`` writes it; a large file is read in parts.
 
-def read_dashboard_csv(spark: SparkSession, path: str, schema: T.StructType = S.DASHBOARD) -> DataFrame:
-    """The dashboard frame with its explicit schema; summaries may contain line breaks."""
-    return spark.read.schema(schema).options(**_CSV, multiLine=True).csv(path)
+    ``escaped=False`` reads a file of other origin, whose quoted texts may hold line breaks; one task reads such a file."""
+    if not escaped:
+        return spark.read.schema(schema).options(**_CSV, multiLine=True).csv(path)
+    rows = spark.read.schema(schema).options(**_CSV).csv(path)
+    return rows.select(*_texts(schema, _on_its_lines))

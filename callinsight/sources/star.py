@@ -33,10 +33,18 @@ TONE_ANSWERS = [
 reused = lru_cache(maxsize=64)
 
 
+#: Tables from whose rows much is derived, and their key.
+SPREAD = {"orders": "o_orderkey", "documents": "doc_id", "conversations": "conv_id"}
+
+
 @reused
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the schema."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the schema.
+
+    A file of one row group is one task's input. Rows that much is derived from are therefore dealt out by their key
+    first, at every size; only the columns that a query needs are."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return rows.repartition(SPREAD[name]) if name in SPREAD else rows
 
 
 def agent_key(n: Column) -> Column:
@@ -300,6 +308,45 @@ def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio(spark, sf_dir).select("audio_file", F.concat(F.lit("/recordings/"), "audio_file").alias("path"))
 
 
+@reused
+def call_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(Agent ID, minutes): the length of each call, a continuous number; some are unknown."""
+    n_agents = table(spark, sf_dir, "supplier").select(F.count("*")).scalar()
+    k = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select(
+        agent_key(R.below("agent", k, n_agents)).alias("Agent ID"),
+        F.when(R.below("no_minutes", k, 31) != 0, F.col("o_totalprice") / 10_000).alias("minutes"),
+    )
+
+
+@reused
+def deliveries(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Calls, texts and recordings that do not fit each other: a third of the calls share one recording, some name none,
+    some recordings have several texts or none, some texts no call."""
+    k = F.col("o_orderkey")
+    name = k.cast("string")
+    recording = F.when(R.below("hot", k, 3) == 0, "hot.wav").when(R.below("unnamed", k, 17) != 0, F.concat(name, F.lit(".wav")))
+    orders = table(spark, sf_dir, "orders")
+    texts = orders.filter(R.below("no_text", k, 13) != 0).select(
+        F.when(R.below("stray", k, 19) == 0, F.concat(F.lit("stray"), name, F.lit(".wav"))).otherwise(recording).alias("audio_file"),
+        F.concat(name, F.lit(".txt")).alias("transcription_file"),
+        F.when(R.below("empty", k, 23) != 0, F.concat(F.lit("Agent: call "), name)).alias("text"),
+    )
+    again = texts.filter(R.below("twice", F.col("transcription_file"), 29) == 0)
+    later = texts.filter(R.below("later", F.col("transcription_file"), 31) == 0).withColumn("transcription_file", F.concat(F.lit("z"), "transcription_file"))
+    return {
+        "calls": orders.select(name.alias("call_id"), recording.alias("audio_file")),
+        "texts": texts.unionByName(again).unionByName(later),
+        "recordings": orders.filter(R.below("unrecorded", k, 37) != 0).select(F.concat(name, F.lit(".wav")).alias("audio_file")),
+    }
+
+
+@reused
+def speaker_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(text_file, name): the names of the speakers of :func:`named_transcripts`, as rows."""
+    return named_transcripts(spark, sf_dir).select("text_file", F.explode("names").alias("name"))
+
+
 @reused
 def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recorded turns with the speaker names of a call; system messages are not speech."""
@@ -328,6 +375,7 @@ def defective(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             ),
             "audio_file": F.when(R.below("no_audio", k, 43) != 0, F.col("audio_file")),
             "topic": F.when(R.below("long", k, 47) == 0, F.repeat(F.lit("topic "), 10)),
+            "status": F.when(R.below("bad_status", k, 59) == 0, "Lost").when(R.below("status", k, 2) == 0, "Created"),
             "call_id": F.when(R.below("twice", k, 53) == 0, F.lit("same")).otherwise(k),
         }
     )

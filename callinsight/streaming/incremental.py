@@ -26,12 +26,13 @@ def follow_updates(
 ) -> StreamingQuery:
     """Apply parquet files of updates as they arrive in ``folder``.
 
-    Each micro-batch is one keyed update. Setting the same values twice changes nothing, so a
-    batch repeated after a failure is harmless. The query stops when it has caught up.
+    Each micro-batch is one keyed update, which rewrites the days it reaches. Its number is kept with the
+    tables under the checkpoint's name, so a batch repeated after a failure is skipped. The query stops when
+    it has caught up.
     """
 
-    def apply(batch: DataFrame, _: int) -> None:
-        store.update_calls(status, table_key, data_key, transform(batch), order_by)
+    def apply(batch: DataFrame, n: int) -> None:
+        store.update_calls(status, table_key, data_key, transform(batch), order_by, batch=(checkpoint, n))
 
     return (
         store.spark.readStream.schema(schema)
@@ -55,11 +56,11 @@ def follow_transcripts(
     """Analyze the text files that arrive in ``folder``, one per recording of a stored call.
 
     Step outputs of micro-batch ``n`` are written below ``output/batch=n``; a repeated batch
-    overwrites its own folder.
+    overwrites its own folder and leaves a call table that has its updates alone.
     """
 
     def run(batch: DataFrame, n: int) -> None:
-        analysis.analyze(store, batch, model, f"{output}/batch={n}", insert_calls=False)
+        analysis.analyze(store, batch, model, f"{output}/batch={n}", insert_calls=False, delivery=(checkpoint, n))
 
     reader = store.spark.readStream.option("pathGlobFilter", "*.txt")
     if max_files:

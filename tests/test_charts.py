@@ -183,3 +183,56 @@ def test_group_list(spark, rows):
     df = calls(spark, *({"Agent ID": a} for a in ["a", "a", "b", None]))
     assert rows(outcomes.group_list(df)) == [("a",), ("b",)]
     assert outcomes.group_count(df).first()[0] == 2
+
+
+def plain_box(xs):
+    """Box figures of a sorted list of numbers, plainly."""
+    xs = np.sort(np.array(xs, float))
+    q1, q2, q3 = (float(np.quantile(xs, p, method="hazen")) for p in (0.25, 0.5, 0.75))
+    reach = 1.5 * (q3 - q1)
+    return (len(xs), xs[0], min(q1, xs[xs >= q1 - reach].min()), q1, q2, q3, max(q3, xs[xs <= q3 + reach].max()), xs[-1])
+
+
+@pytest.mark.parametrize("parts", [2, 7, 256])
+def test_box_of_continuous_values(spark, parts):
+    rng = np.random.default_rng(parts)
+    groups = {
+        "one": [3.5], "two": [1.25, -4.0], "same": [2.0] * 50, "hot": [7.0] * 500 + list(rng.normal(0, 1, 250)), "wide": list(rng.lognormal(0, 6, 300)),
+        "normal": list(rng.normal(10, 3, 400)), "steps": [float(x) for x in rng.integers(1, 6, 99)], "huge": [1e300, -1e300, 0.0, 1.0],
+    }
+    rows = [(g, float(x)) for g, xs in groups.items() for x in xs] + [("none", None), ("nan", float("nan")), (None, 5.0)]
+    df = spark.createDataFrame(rows, "`Agent ID` string, minutes double").repartition(5)
+    got = {r["Agent ID"]: tuple(r)[1:] for r in quality.value_distribution(df, "comparison", value_column="minutes", parts=parts).collect()}
+    assert got.keys() == groups.keys()
+    for g, xs in groups.items():
+        assert got[g] == pytest.approx(plain_box(xs)), g
+    (every,) = quality.value_distribution(df, "average", value_column="minutes", parts=parts).collect()
+    assert tuple(every) == pytest.approx(plain_box([x for _, x in rows if x is not None and x == x]))
+    assert quality.value_distribution(df.limit(0), "average", value_column="minutes").count() == 0
+
+
+def test_both_distributions_agree_on_scores(spark, rows):
+    df = calls(spark, *[{"Agent ID": a, "Effective Communication": s} for a, scores in {"a": [1, 1, 2, 3, 3, 3, 4, 5, 5, 5], "b": [4], "c": [None, 2, 5]}.items() for s in scores])
+    for mode in ("average", "comparison"):
+        assert rows(quality.value_distribution(df, mode)) == rows(quality.score_distribution(df, mode))
+
+
+def test_order_of_labels_metrics_and_months(spark):
+    """Rings by label, bars by their category order, metrics and agents ascending, months by date and not by label."""
+    kinds = [(True, True), (True, False), (False, False)]
+    df = calls(spark, *[
+        {**upsale(a, *kind), "Concern Addressed": c, "Caller ID": "x", "Call Date": dt.date(2023 + m // 12, m % 12 + 1, 3), "Empathy": 3, "Kindness": 2, "Professionalism": 1, "Active Listening": 4, "Effective Communication": 5}
+        for a in "cab" for m, kind in enumerate(kinds * 8) for c in (True, False)
+    ]).repartition(4)
+    assert [(r["Agent ID"], r.category) for r in outcomes.upsales(df, "comparison").collect()] == [(a, x) for a in "abc" for x in sorted(S.UPSALE_LABELS)]
+    assert [r.category for r in outcomes.upsales(df).collect()] == sorted(S.UPSALE_LABELS)
+    assert [r.category for r in outcomes.concerns(df).collect()] == sorted(S.CONCERN_LABELS)
+    bars = [(r["Agent ID"], r.category) for r in outcomes.upsales(df, "comparison", chart="bar").collect()]
+    order = {x: i for i, x in enumerate(S.UPSALE_ORDER)}
+    assert bars == sorted(bars, key=lambda r: (order[r[1]], r[0])) or bars == sorted(bars, key=lambda r: (r[0], order[r[1]]))
+    assert [(r["Agent ID"], r.metric) for r in quality.quality(df, "comparison").collect()] == [(a, m) for a in "abc" for m in sorted(S.QUALITY_METRICS)]
+    months = [r.month for r in timeline.calls_over_time(df).collect()]
+    assert months == sorted(months) and len(months) == 24
+    assert [r.month for r in timeline.upsales_vs_concerns(df).collect()] == months
+    metrics = [(r.month, r.metric) for r in timeline.monthly_metrics(df).collect()]
+    assert metrics == sorted(metrics)

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callinsight import schemas as S
+from callinsight.operators import answers, indicators, reconcile
 from callinsight.operators.synthesis import CallSettings
-from callinsight.plans import analysis, dashboard, generation
+from callinsight.plans import analysis, dashboard, generation, rollup
 from callinsight.sources import files
 from callinsight.sources.store import CallStore
 from callinsight.streaming import incremental
@@ -17,7 +18,7 @@ from callinsight.streaming import incremental
 
 @pytest.fixture
 def store(spark, tmp_path):
-    made = CallStore(spark, str(tmp_path / "tables"), f"db_{tmp_path.name.replace('-', '_')}")
+    made = CallStore(spark, str(tmp_path / "tables"), period="month")
     made.create_tables()
     return made
 
@@ -163,3 +164,91 @@ def test_odd_recordings_never_end_a_run(spark, store, tmp_path):
     (masked,) = out.anonymized.filter("original_file = 'b.txt'").collect()
     assert all(people[r.client_id].first_name not in masked.text for r in rows[:2])
     assert store.get_calls().filter("status = 'Analyzed'").count() == 3
+
+
+def short_model(batch: pd.DataFrame) -> pd.DataFrame:
+    """Answers a block of three questions, asked twice."""
+    assert batch["prompt_1"].str.startswith("Q: 1. What?").all()
+    return pd.DataFrame({"one": ["1. billing\n2. maybe\n3. 4"] * len(batch), "two": ["1. billing\n2. no\n3. 2"] * len(batch)})
+
+
+def test_analysis_with_questions_of_ones_own(spark, store, tmp_path):
+    _, batch = made_calls(spark, store, tmp_path)
+    block = answers.Block(["topic", "mood", "empathy"], ["What?", "Mood?", "1 to 5?"], ["one", "two"], "Q: {questions} T: {text}")
+    texts = transcripts_of(spark, store, batch)
+    out = analysis.analyze(store, texts, None, str(tmp_path / "run"), batch, blocks=[block], make_model=lambda: short_model)
+    assert out.answers.columns == ["text_file", "topic", "mood", "empathy"] and out.answers.count() == 10
+    assert {(r.topic, r.mood, r.empathy) for r in out.answers.collect()} == {("billing", "maybe", 4)}
+    done = store.get_calls().filter("status = 'Analyzed'")
+    assert done.count() == 10 and {(r.topic, r.empathy, r.kindness) for r in done.collect()} == {("billing", 4, None)}
+
+
+def test_every_input_is_accounted_for(spark, store, tmp_path):
+    """Inputs of a run are its results plus its errors: calls without a recording name, texts without one, equal copies."""
+    _, batch = made_calls(spark, store, tmp_path, 6)
+    rows = sorted(batch.collect(), key=lambda r: r.call_id)
+    store.insert_calls(batch)
+    a, b, c, d, e, _ = (r.audio_file for r in rows)
+    given = [(a, "1.txt", "Agent: x"), (a, "1.txt", "Agent: x"), (a, "1.txt", "Agent: x"), (b, "2.txt", None), (b, "2.txt", None), (c, "3.txt", "Agent: old"), (c, "4.txt", "Agent: new")]
+    given += [(None, "5.txt", "lost"), (None, "6.txt", None), ("stray.wav", "7.txt", "x"), ("stray.wav", "7.txt", "x"), (d, None, "Agent: no name"), (e, "8.txt", "")]
+    texts = spark.createDataFrame(given, "audio_file string, transcription_file string, text string").repartition(3)
+    inventory = batch.select("audio_file").filter(F.col("audio_file") != rows[5].audio_file)
+    out = analysis.analyze(store, texts, model, str(tmp_path / "run"), insert_calls=False, recordings=inventory)
+    errors = [(r.audio_file, r.transcription_file, r.error) for r in spark.read.parquet(f"{tmp_path}/run/transcription_errors").collect()]
+    later, stray = "a later text of the recording is used", "no call has this recording"
+    assert sorted(errors, key=str) == sorted(
+        [(a, "1.txt", later)] * 2 + [(b, "2.txt", "no text"), (b, "2.txt", later), (c, "3.txt", later), (None, "5.txt", "no recording named"), (None, "6.txt", "no recording named")]
+        + [("stray.wav", "7.txt", stray)] * 2, key=str
+    )
+    used = out.anonymized.filter("error is null")
+    assert used.count() + len(errors) == len(given)
+    missing = {r.call_id: r.error for r in spark.read.parquet(f"{tmp_path}/run/missing_transcripts").collect()}
+    assert missing == {rows[5].call_id: "no such recording"}
+    counted = {(r.input, r.outcome): r.rows for r in reconcile.accounted(store.get_calls(), texts, inventory).collect()}
+    assert sum(n for (kind, _), n in counted.items() if kind == "text") == len(given)
+    assert sum(n for (kind, _), n in counted.items() if kind == "call") == 6 and counted["recording", "used"] == 5
+    assert counted["text", "used"] == used.count() == 4
+
+
+def test_outputs_of_one_detection(spark, store, tmp_path):
+    _, batch = made_calls(spark, store, tmp_path)
+    out = analysis.analyze(store, transcripts_of(spark, store, batch), model, str(tmp_path / "run"), batch)
+    assert {r.entity for r in out.pii_report.collect()} == {"PERSON", "PHONE"}
+    html = out.highlighted.filter("html is not null").first().html
+    assert html.startswith('Agent: Hello <mark class="PERSON">') and '<mark class="PHONE">555-123-4567</mark>' in html
+    assert out.spans.count() == out.pii_report.agg(F.sum("findings")).first()[0] == 20
+
+
+def test_a_delivery_is_applied_once(spark, store, tmp_path):
+    _, batch = made_calls(spark, store, tmp_path)
+    store.insert_calls(batch)
+    texts = transcripts_of(spark, store, batch)
+    run = lambda n: analysis.analyze(store, texts, model, str(tmp_path / f"run{n}"), insert_calls=False, delivery=("s", 0))
+    run(0)
+    before = store.manifest.read()
+    run(1)
+    assert store.manifest.read() == before
+
+
+def test_rollup(spark, store, tmp_path):
+    _, batch = made_calls(spark, store, tmp_path, 40)
+    analysis.analyze(store, transcripts_of(spark, store, batch), model, str(tmp_path / "run"), batch)
+    df = dashboard.build(store.get_calls(), store.get_clients(), str(tmp_path / "gold"))
+    totals = rollup.build(df, str(tmp_path / "totals"))
+    assert {r.kpi: r.value for r in rollup.kpis(totals).collect()} == {r.kpi: r.value for r in indicators.kpis(df).collect()}
+    days = [r[0] for r in df.select("Call Date").distinct().orderBy("Call Date").collect()]
+    some = df.filter(F.col("Call Date") <= days[3])
+    assert {r.kpi: r.value for r in rollup.kpis(rollup.between(totals, last=days[3])).collect()} == {r.kpi: r.value for r in indicators.kpis(some).collect()}
+    # A day that is written again replaces its own totals only.
+    rollup.build(df.filter(F.col("Call Date") == days[0]).limit(0).unionByName(df.filter(F.col("Call Date") == days[1])), str(tmp_path / "totals"))
+    totals = rollup.load(spark, str(tmp_path / "totals"))
+    assert totals.agg(F.sum("rows")).first()[0] == 40
+    for figure in rollup.page(totals).values():
+        assert figure.count() > 0
+
+
+def test_caller_sketches_keep_their_error_bound(spark):
+    rows = spark.range(0, 200_000, 1, 4).selectExpr("date_add(date'2024-01-01', cast(id % 20 as int)) d", "concat('A', id % 7) a", "cast(id % 50000 as string) c")
+    df = rows.select(F.col("d").alias("Call Date"), F.col("a").alias("Agent ID"), F.col("c").alias("Caller ID"), *[F.lit(None).cast("boolean").alias(c) for c in ("Upsale Attempted", "Upsale Success", "Concern Addressed")], *[F.lit(1).alias(m) for m in S.QUALITY_METRICS])
+    (callers,) = [r.value for r in rollup.kpis(rollup.rollup(df)).collect() if r.kpi == "Number of Callers"]
+    assert abs(callers / 50_000 - 1) < 4 * rollup.ERROR

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from callinsight.operators import frame, indicators, locations, outcomes, quality, relations, timeline, updates
+from callinsight.operators import frame, indicators, locations, outcomes, quality, reconcile, relations, timeline, updates
 from callinsight.sources import star
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -139,5 +139,46 @@ def test_chain_shuffles_the_call_table_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_kpis_in_one_scan(gold):
-    assert plan(indicators.kpis(gold)).count("FileScan") == 1
+def test_kpis_fold_agents_and_callers_apart(gold):
+    text = plan(indicators.kpis(gold))
+    scans = re.findall(r"ReadSchema: struct<(.*?)>", text)
+    assert "Expand" not in text
+    assert sorted(map(len, (s.split(",") for s in scans))) == [1, 4] and "Caller ID:string" in scans
+
+
+@pytest.mark.parametrize("mode", ["average", "comparison"])
+def test_quantiles_have_no_window_without_a_key(gold, mode):
+    text = plan(quality.value_distribution(gold, mode))
+    assert "SinglePartition" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+HOT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+}
+
+
+def test_a_hot_recording_is_split(spark):
+    """A third of all calls and of all texts name one recording, another third none."""
+    for k, v in HOT.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 60_000, 1, 8)
+        name = "CASE id % 3 WHEN 0 THEN 'hot.wav' WHEN 1 THEN concat(id % 997, '.wav') END audio_file"
+        calls = rows.selectExpr("cast(id as string) call_id", name)
+        texts = rows.selectExpr(name, "concat(id, '.txt') transcription_file", "concat('text ', id) text")
+        found = reconcile.by_recording(calls, texts)
+        of_calls = reconcile.call_outcomes(calls, found)
+        assert {r.outcome: r["count"] for r in of_calls.groupBy("outcome").count().collect()} == {"has a text": 40_000, "no recording named": 20_000}
+        of_texts = reconcile.text_outcomes(texts, found)
+        used = of_texts.filter("outcome = 'used'").collect()
+        assert len(used) == 998 and {r.transcription_file for r in used if r.audio_file == "hot.wav"} == {"9999.txt"}
+        for df in (of_calls, of_texts):
+            df.collect()
+            assert "skew=true" in plan(df)
+    finally:
+        for k in HOT:
+            spark.conf.unset(k)

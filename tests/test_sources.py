@@ -52,25 +52,50 @@ def test_transcript_files(spark, tmp_path):
 
 
 def test_audio_listing(spark, tmp_path):
-    (tmp_path / "1.wav").write_bytes(b"abc")
-    (tmp_path / "notes.md").write_text("no audio")
+    for name in ("1.wav", "2.OPUS", "3.aif", "4.gsm"):
+        (tmp_path / name).write_bytes(b"abc")
     df = files.list_audio_files(spark, str(tmp_path))
-    assert [(r.audio_file, r.length) for r in df.collect()] == [("1.wav", 3)]
+    assert sorted((r.audio_file, r.length) for r in df.collect()) == [(n, 3) for n in ("1.wav", "2.OPUS", "3.aif", "4.gsm")]
+    assert [r.audio_file for r in files.list_audio_files(spark, str(tmp_path), "*.wav").collect()] == ["1.wav"]
     assert "content" not in df._jdf.queryExecution().optimizedPlan().toString().split("Relation")[0]
 
 
+ODD = ['Line one,\n"two"', "\r\n", "back\\slash", "\\n", "\\\\n\n\\", "ends with \\", " spaced ", "é, 'q'", '"', '""', "a\rb"]
+
+
 def test_dashboard_csv(spark, tmp_path):
     df = frame.dashboard_frame(star.calls(spark, SF_DIR), star.clients(spark, SF_DIR))
-    odd = df.withColumn("Summary", F.when(F.col("call_id") == "1", 'Line one,\n"two"').otherwise(F.col("Summary")))
+    odd = F.element_at(F.array(*[F.lit(o) for o in ODD]), (F.length("call_id") + F.crc32("call_id") % len(ODD)).cast("int") % len(ODD) + 1)
+    odd = df.withColumn("Summary", F.when(F.crc32("call_id") % 3 == 0, odd).when(F.crc32("call_id") % 3 == 1, F.col("Summary")))
     files.write_dashboard_csv(odd, f"{tmp_path}/csv")
     back = files.read_dashboard_csv(spark, f"{tmp_path}/csv")
     assert back.schema == S.DASHBOARD
     assert back.exceptAll(odd).count() == 0 and odd.exceptAll(back).count() == 0
 
 
+def test_a_large_csv_file_is_read_by_several_tasks(spark, tmp_path):
+    df = frame.dashboard_frame(star.calls(spark, SF_DIR), star.clients(spark, SF_DIR)).withColumn("Summary", F.concat(F.lit("a\nb"), "call_id"))
+    files.write_dashboard_csv(df.coalesce(1), f"{tmp_path}/csv")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64KB")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1KB")
+    try:
+        back = files.read_dashboard_csv(spark, f"{tmp_path}/csv")
+        assert back.rdd.getNumPartitions() > 3 and back.count() == 1500
+        assert back.exceptAll(df).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_csv_of_other_origin(spark, tmp_path):
+    df = frame.dashboard_frame(star.calls(spark, SF_DIR), star.clients(spark, SF_DIR)).limit(1).withColumn("Summary", F.lit('one\n"two"\\n'))
+    df.write.options(header=True, escape='"').csv(f"{tmp_path}/csv")
+    assert files.read_dashboard_csv(spark, f"{tmp_path}/csv", escaped=False).first().Summary == 'one\n"two"\\n'
+
+
 @pytest.fixture
 def store(spark, tmp_path):
-    made = CallStore(spark, str(tmp_path / "tables"), f"db_{tmp_path.name.replace('-', '_')}")
+    made = CallStore(spark, str(tmp_path / "tables"), period="month")
     made.create_tables()
     return made
 

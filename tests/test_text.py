@@ -98,7 +98,7 @@ def test_report_and_highlight(spark, rows):
     df = texts(spark, ("1.txt", "<a@b.co> & a@b.co, 111-222-3333"), ("2.txt", "none"))
     assert rows(pii.pii_report(df)) == [("1.txt", "EMAIL", 2), ("1.txt", "PHONE", 1)]
     found = pii.detect(df)
-    html = found.filter("text_file = '1.txt'").select(pii.highlighted_text(found)).first()[0]
+    html = pii.highlighted(found).filter("text_file = '1.txt'").first().html
     mail = '<mark class="EMAIL">a@b.co</mark>'
     assert html == f'&lt;{mail}&gt; &amp; {mail}, <mark class="PHONE">111-222-3333</mark>'
 
@@ -157,9 +157,9 @@ def test_untidy_lists(spark):
     assert {got[n].error for n in scores} == {"empathy is no score"} and {got[n].topic for n in scores} == {None}
 
 
-def test_names_in_any_case_and_marks_in_the_input(spark):
+def test_names_in_any_case(spark):
     df = spark.createDataFrame([("1.txt", "hi BOB ray \ufdd0 and bobby", ["Bob Ray", "Bob"])], "text_file string, text string, names array<string>")
-    assert pii.anonymize(df, names_column="names").first().text == "hi John Doe  and bobby"
+    assert pii.anonymize(df, names_column="names").first().text == "hi John Doe \ufdd0 and bobby"
 
 
 def test_phone_forms_and_look_alikes(spark):
@@ -196,15 +196,70 @@ def test_prompts_hold_text_and_all_questions(spark):
         assert all(f"{n}. {q}" in prompt for n, q in enumerate(questions, start=1))
 
 
-def test_infer_reports_bad_batches(spark):
-    def model(batch: pd.DataFrame) -> pd.DataFrame:
-        if batch["text"].str.contains("bad").any():
-            raise RuntimeError("cannot read this")
-        assert len(batch) <= 2
-        return pd.DataFrame({"n": batch["text"].str.len()})
+def _lengths(batch: pd.DataFrame) -> pd.DataFrame:
+    if batch["text"].str.contains("bad").any():
+        raise RuntimeError("cannot read this")
+    return pd.DataFrame({"n": batch["text"].str.len()})
 
-    df = texts(spark, *[(str(i), "bad" if i == 3 else "x" * i) for i in range(6)]).coalesce(1)
-    out = answers.infer(df, model, T.StructType([T.StructField("n", T.LongType())]), ["text_file"], batch_size=2)
-    got = {r.text_file: (r.n, r.error) for r in out.collect()}
-    assert got["0"] == (0, None) and got["5"] == (5, None)
-    assert got["2"] == got["3"] == (None, "RuntimeError: cannot read this")
+
+N = T.StructType([T.StructField("n", T.LongType())])
+
+
+@pytest.mark.parametrize("batch_size", [1, 2, 64, 1000])
+def test_infer_reports_bad_rows_alone(spark, batch_size):
+    df = texts(spark, *[(str(i), "bad" if i in (3, 77) else "x" * i) for i in range(130)]).coalesce(1)
+    got = {r.text_file: (r.n, r.error) for r in answers.infer(df, _lengths, N, ["text_file"], batch_size=batch_size).collect()}
+    assert len(got) == 130
+    for i in range(130):
+        assert got[str(i)] == ((None, "RuntimeError: cannot read this") if i in (3, 77) else (i, None))
+
+
+def test_infer_halves_a_failing_batch(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def model(batch):
+        calls.add(1)
+        return _lengths(batch)
+
+    df = texts(spark, *[(str(i), "bad" if i == 9 else "x") for i in range(64)]).coalesce(1)
+    answers.infer(df, model, N, ["text_file"], batch_size=64).collect()
+    assert calls.value <= 13  # the batch, then two halves at each of six levels
+
+
+def test_infer_builds_a_model_once_a_task(spark):
+    built = spark.sparkContext.accumulator(0)
+
+    def make():
+        built.add(1)
+        return _lengths
+
+    df = texts(spark, *[(str(i), "x" * i) for i in range(40)]).repartition(2)
+    assert answers.infer(df, None, N, ["text_file"], batch_size=3, make_model=make).filter("error is null").count() == 40
+    assert built.value == 2
+    with pytest.raises(ValueError):
+        answers.infer(df, None, N, ["text_file"])
+
+
+def test_a_model_that_returns_too_few_rows(spark):
+    df = texts(spark, ("1", "a"), ("2", "bb"))
+    short = answers.infer(df.coalesce(1), lambda b: pd.DataFrame({"n": [1]}), N, ["text_file"], batch_size=2).collect()
+    assert [(r.n, r.error) for r in short] == [(1, None), (1, None)]  # alone each has its result
+    none = answers.infer(df, lambda b: pd.DataFrame({"n": []}), N, ["text_file"], batch_size=2).collect()
+    assert {r.error for r in none} == {"ValueError: 0 results for 1 rows"}
+
+
+BLOCK = answers.Block(["topic", "refund", "empathy"], ["What?", "Refund?", "1 to 5?"], ["a", "b", "c"], "{questions} | {text}")
+
+
+def test_a_block_of_ones_own(spark):
+    row = answers.prompts(texts(spark, ("1.txt", "hi")), blocks=[BLOCK]).first()
+    assert row.prompt_1 == "1. What?\n2. Refund?\n3. 1 to 5? | hi"
+    replies = [("1", "1. x\n2. Yes\n3. 4", "1. y\n2. No\n3. 5", "1. y\n2. Yes\n3. 5"), ("2", None, "1. z", ""), ("3", "1. x\n2. Yes\n3. seven", None, None)]
+    got = {r.text_file: r for r in answers.parse_blocks(spark.createDataFrame(replies, "text_file string, a string, b string, c string"), [BLOCK]).collect()}
+    assert (got["1"].topic, got["1"].refund, got["1"].empathy, got["1"].error) == ("y", "Yes", 5, None)
+    assert got["2"].error == "block 1 incomplete" and got["3"].error == "empathy is no score"
+    assert [r.column for r in answers.question_table(spark.range(1), [BLOCK]).collect()] == ["topic", "refund", "empathy"]
+    with pytest.raises(ValueError):
+        answers.Block(["a"], [], ["x"])
+    with pytest.raises(ValueError):
+        answers.checked_blocks([BLOCK, answers.Block(["topic"], ["Again?"], ["d"])])
