@@ -230,7 +230,7 @@ def encode(docs: DataFrame, path: str = DEFAULT_PATH) -> DataFrame:
 
 
 def decode(encoded: DataFrame, path: str = DEFAULT_PATH) -> DataFrame:
-    """(id, text, ids_text): the text of ``ids`` and its ids in decimal joined by commas. NULL: empty."""
+    """(id, n, text, ids_text): how many ``ids``, their text, and they in decimal joined by commas. NULL: empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
@@ -241,14 +241,14 @@ def decode(encoded: DataFrame, path: str = DEFAULT_PATH) -> DataFrame:
             while start < whole.num_rows:  # about CHUNK ids at once, or one row
                 batch = whole.slice(start, max(1, int(np.searchsorted(np.cumsum(sizes[start:]), CHUNK, side="right"))))
                 start += batch.num_rows
-                texts, digits = [], []
+                texts, digits, counts = [], [], []
                 for row in batch.column("ids"):
                     ids = row.values.to_numpy().tolist()
+                    counts.append(len(ids))
                     texts.append(bpe.decode(ids))
                     digits.append(",".join(map(decimal.__getitem__, ids)))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), pa.array(texts, pa.string()), pa.array(digits, pa.string())], ["id", "text", "ids_text"]
-                )
+                columns = [batch.column("id"), pa.array(counts, pa.int64()), pa.array(texts, pa.string()), pa.array(digits, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "n", "text", "ids_text"])
 
     ids = F.coalesce("ids", F.array().cast("array<int>")).alias("ids")
-    return encoded.select("id", ids).mapInArrow(run, "id long, text string, ids_text string")
+    return encoded.select("id", ids).mapInArrow(run, "id long, n long, text string, ids_text string")

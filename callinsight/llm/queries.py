@@ -55,9 +55,8 @@ def edited_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def encoded(spark: SparkSession, d: str) -> DataFrame:
     read_back = bpe.decode(bpe.encode(documents(spark, d)))
-    n = F.when(F.col("ids_text") == "", 0).otherwise(F.length(F.regexp_replace("ids_text", "[0-9]", "")) + 1)
     return read_back.select(
-        external_id("id").alias("doc_id"), n.cast("long").alias("n_tokens"),
+        external_id("id").alias("doc_id"), F.col("n").alias("n_tokens"),
         F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
     )
 
