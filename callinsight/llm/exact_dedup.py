@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from callinsight.llm.common import external_id, internal_id, shared_folder, text_of, written
+from callinsight.llm.common import columns, external_id, fresh, internal_id, least_row, scratch, shared_folder, text_of, written
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 ARRIVAL = "id long, digest binary, bytes int, locator string, row long"
@@ -107,7 +107,7 @@ class ExactDedup:
         empty texts are equal. Rows without an id stay only where no row of their group has one.
         """
         spark = docs.sparkSession
-        path, checkpoint = shared_folder(spark, "arrivals"), shared_folder(spark, "dedup-state")
+        path, checkpoint = shared_folder(spark, "arrivals"), shared_folder(spark, "dedup-state", keep=True)
         self.arrivals(docs).write.parquet(path)
         arrivals = spark.read.schema(ARRIVAL).parquet(path)
         self.update_state(spark, path, checkpoint)
@@ -139,19 +139,20 @@ def deduplicate(docs: DataFrame, operator: ExactDedup | None = None) -> DataFram
     """The rows of ``docs`` that stay, with all their columns.
 
     Only ids with something to drop are joined, so the texts are not shuffled where these are few. Ids
-    of which some rows stay and some go are settled row by row.
+    of which some rows stay and some go are settled row by row; of rows that share id and text the one stays whose
+    columns are least. The tables of the decision are removed once it is written.
     """
     operator = operator or ExactDedup()
-    decided = operator.groups_of(docs).withColumn("_id", internal_id())
-    per_id = decided.groupBy("_id").agg(F.sum(F.col("kept").cast("long")).alias("stay"), F.count("*").alias("rows"))
-    touched = written(per_id.where("stay < rows").select("_id", "stay"), "touched")
-    tagged = docs.withColumn("_id", internal_id())
-    untouched = tagged.join(touched.select("_id"), "_id", "left_anti").select(docs.columns)
-    mixed = touched.where("stay > 0").select("_id")
+    key, mark = fresh("_id", docs), fresh("_digest", docs)
+    with scratch(docs.sparkSession):
+        decided = operator.groups_of(docs).select(internal_id().alias(key), "digest", "kept")
+        per_id = decided.groupBy(key).agg(F.sum(F.col("kept").cast("long")).alias("stay"), F.count("*").alias("rows"))
+        touched = written(per_id.where("stay < rows").select(key, "stay"), "touched", keep=True)
+        mixed = touched.where("stay > 0").select(key)
+        stay = written(decided.where("kept").join(mixed, key).select(key, F.col("digest").alias(mark)), "stay", keep=True)
+    tagged = docs.withColumn(key, internal_id())
+    untouched = tagged.join(touched.select(key), key, "left_anti").select(columns(docs))
     if not mixed.head(1):
         return untouched
-    stay = decided.where("kept").join(mixed, "_id").select("_id", F.col("digest").alias("_digest"))
-    rows = tagged.withColumn("_digest", operator.digest(normalised(text_of()))).join(stay, ["_id", "_digest"])
-    first = Window.partitionBy("_id", "_digest").orderBy(F.lit(0))
-    rows = rows.withColumn("_n", F.row_number().over(first)).where("_n = 1")
-    return untouched.unionByName(rows.select(docs.columns))
+    rows = tagged.withColumn(mark, operator.digest(normalised(text_of()))).join(stay, [key, mark])
+    return untouched.unionByName(least_row(rows, [key, mark], docs))

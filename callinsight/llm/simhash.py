@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callinsight.llm.common import external_id, internal_id, text_of, written
+from callinsight.llm.common import columns, external_id, fresh, internal_id, least_row, text_of, written
 
 BITS = 64
 #: Node pairs expanded at once; more are split and walked one half after the other.
@@ -311,12 +311,20 @@ def keep_one(docs: DataFrame, budget: int = 4, words_per_shingle: int = 4) -> Da
 
 def one_of_each(docs: DataFrame, found: DataFrame, hung: DataFrame) -> DataFrame:
     """The rows of ``docs`` with one row of each component left: the one with the smallest doc_id, of rows that
-    repeat an id the first by the digest of the text.
+    repeat an id the first by the digest of the text, of rows that repeat both the one whose columns are least.
 
     ``found`` (id, digest, fp) has a row for each row of ``docs``, ``hung`` (node, component) the components of fp.
     Rows are told apart by id and digest, so ids that are NULL or repeat are settled row by row. Only
     rows with something to drop are joined.
     """
+    key, mark = fresh("_id", docs), fresh("_digest", docs)
+    touched = decisions(found, hung).select(F.col("id").alias(key), F.col("digest").alias(mark), "stays")
+    touched = written(touched, "touched", keep=True)
+    return without_dropped(docs, touched.drop("stays"), touched.where("stays").drop("stays"), key, mark)
+
+
+def decisions(found: DataFrame, hung: DataFrame) -> DataFrame:
+    """(id, digest, stays): the rows whose component has others."""
     row = F.struct("id", "digest")
     nodes = found.groupBy("fp").agg(F.min(row).alias("first"), F.count("*").alias("rows"))
     settled = written(placed(nodes, hung), "placed")
@@ -324,11 +332,14 @@ def one_of_each(docs: DataFrame, found: DataFrame, hung: DataFrame) -> DataFrame
     crowd = settled.select("fp", "component").join(groups, "component").select("fp", "first")
     decided = found.join(crowd, "fp").select("id", "digest", (row == F.col("first")).alias("stays"))
     per_row = decided.groupBy("id", "digest").agg(F.max("stays").alias("stays"), F.count("*").alias("rows"))
-    touched = written(per_row.where("not stays or rows > 1").select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), "stays"), "touched")
-    tagged = docs.withColumns({"_id": internal_id(), "_digest": text_digest()})
-    untouched = tagged.join(touched.drop("stays"), ["_id", "_digest"], "left_anti").select(docs.columns)
-    repeated = touched.where("stays").drop("stays")
+    return per_row.where("not stays or rows > 1").select("id", "digest", "stays")
+
+
+def without_dropped(docs: DataFrame, touched: DataFrame, repeated: DataFrame, key: str, mark: str) -> DataFrame:
+    """The rows of ``docs`` that ``touched`` does not name by id and digest, and of each in ``repeated`` the one whose
+    columns are least."""
+    tagged = docs.withColumns({key: internal_id(), mark: text_digest()})
+    untouched = tagged.join(touched, [key, mark], "left_anti").select(columns(docs))
     if not repeated.head(1):
         return untouched
-    rows = tagged.join(repeated, ["_id", "_digest"]).dropDuplicates(["_id", "_digest"])
-    return untouched.unionByName(rows.select(docs.columns))
+    return untouched.unionByName(least_row(tagged.join(repeated, [key, mark]), [key, mark], docs))
