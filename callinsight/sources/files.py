@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import os
+import sys
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 
+import pyarrow.fs
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +16,9 @@ from pyspark.sql import types as T
 from callinsight import schemas as S
 from callinsight.operators.integrity import with_schema
 
+# Worker functions travel with their code: nothing of this package has to be installed on the workers.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PEOPLE = {"agents": S.AGENT, "clients": S.CLIENT}
 
 
@@ -19,8 +26,11 @@ PEOPLE = {"agents": S.AGENT, "clients": S.CLIENT}
 
 
 def read_people_json(spark: SparkSession, folder: str, kind: str, language: str) -> DataFrame:
-    """Agents or clients from a JSON array file; fields the file lacks read as NULL."""
-    return spark.read.schema(PEOPLE[kind]).json(f"{folder}/{language}_{kind}.json", multiLine=True)
+    """Agents or clients from a JSON array file, or a folder of JSON lines; fields that it lacks read as NULL."""
+    path = f"{folder}/{language}_{kind}.json"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    lines = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop_path).isDirectory()
+    return spark.read.schema(PEOPLE[kind]).json(path, multiLine=not lines)
 
 
 def read_dataset(spark: SparkSession, folder: str, name: str, language: str) -> DataFrame:
@@ -28,6 +38,11 @@ def read_dataset(spark: SparkSession, folder: str, name: str, language: str) ->
     return with_schema(spark.read.parquet(f"{folder}/{language}_{name}.parquet"), S.DATASETS[name])
 
 
+def write_people_json(people: DataFrame, folder: str, kind: str, language: str) -> None:
+    """Agents or clients as a folder of JSON lines, which ``read_people_json`` reads as it does an array file."""
+    with_schema(people, PEOPLE[kind], strict=True).write.mode("overwrite").json(f"{folder}/{language}_{kind}.json")
+
+
 def write_dataset(df: DataFrame, path: str) -> DataFrame:
     """Write a step's output and return it read back, which also cuts its lineage."""
     df.write.mode("overwrite").parquet(path)
@@ -77,26 +92,29 @@ def write_transcripts(df: DataFrame, path: str) -> None:
         out.write.mode("overwrite").parquet(path)
 
 
-def export_transcript_files(df: DataFrame, folder: str) -> None:
-    """One text file per transcript, in a mounted folder every executor can reach.
+#: From a URI to the file system and the path in it, as pyarrow's ``FileSystem.from_uri``.
+Mount = Callable[[str], tuple["pyarrow.fs.FileSystem", str]]
+
+
+def export_transcript_files(df: DataFrame, folder: str, mount: Mount | None = None) -> None:
+    """One text file per transcript, in a folder of any store that pyarrow opens (``file``, ``s3``, ``gs``, ``hdfs``, ...)
+    and that every executor reaches.
 
-    A store with a scheme of its own (``s3://``, ``hdfs://``) is no such folder: executors would write to their
-    own disks. There ``write_transcripts`` keeps the same rows.
+    ``mount`` opens URIs of other schemes, or with settings of one's own. A file is written under another name and
+    moved to its own, so that a task that fails leaves no half of it; its repetition writes the same files again.
+    A name that would leave the folder is refused.
     """
-    scheme, _, rest = folder.rpartition("://")
-    if scheme not in ("", "file"):
-        raise ValueError(f"{folder} is not a mounted folder; use write_transcripts")
-    folder = rest
 
     def write(rows: Iterable[Row]) -> None:
-        os.makedirs(folder, exist_ok=True)
+        store, path = mount(folder) if mount else pyarrow.fs.FileSystem.from_uri(folder if "://" in folder else os.path.abspath(folder))
+        store.create_dir(path, recursive=True)
         for row in rows:
-            # Written aside and renamed, so that a retried task never leaves half a file.
-            target = os.path.join(folder, row.text_file)
-            partial = f"{target}.{os.getpid()}.part"
-            with open(partial, "w", encoding="utf-8", newline="") as f:
-                f.write(row.text)
-            os.replace(partial, target)
+            if "/" in row.text_file or row.text_file in ("", ".", ".."):
+                raise ValueError(f"not a file name: {row.text_file!r}")
+            aside = f"{path}/.{row.text_file}.{uuid.uuid4().hex}.part"
+            with store.open_output_stream(aside) as f:
+                f.write(row.text.encode("utf-8"))
+            store.move(aside, f"{path}/{row.text_file}")
 
     df.select("text_file", "text").filter(F.col("text").isNotNull()).foreachPartition(write)
 

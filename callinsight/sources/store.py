@@ -108,14 +108,14 @@ class CallStore:
 
     # --- Writing ------------------------------------------------------------------------------
 
-    def _write(self, name: str, df: DataFrame, given: list[str] | None = None) -> str:
+    def _write(self, name: str, df: DataFrame, given: list[str] | None = None, lengths: bool = False) -> str:
         """Write a snapshot; its column rules are counted while it is written, and broken ones refuse it.
 
-        ``given``: the columns whose rules hold, by default all. Columns that the table does not have are refused
+        ``given``: the columns whose rules hold, by default all; with ``lengths`` those on length hold for all. Columns that the table does not have are refused
         before anything is written.
         """
         snapshot = f"snapshot={time.strftime('%Y%m%dT%H%M%S')}-{time.time_ns() % 10**9:09d}-{uuid.uuid4().hex[:8]}"
-        checks = [c for c in column_checks(S.TABLES[name]) if given is None or c[1] in given]
+        checks = [c for c in column_checks(S.TABLES[name]) if given is None or c[1] in given or (lengths and c[0] == "length")]
         seen = Observation()
         rows = with_schema(df, S.TABLES[name], strict=True)
         metrics = [F.count_if(broken).alias(f"{rule} of {column}") for rule, column, broken in checks]
@@ -169,16 +169,17 @@ class CallStore:
         stored = self.get_calls().select(*[c for c in calls.columns if c in S.CALL.fieldNames()])
         return stored, stored.select("audio_file")
 
-    def append_people(self, agents: DataFrame, clients: DataFrame) -> None:
+    def append_people(self, agents: DataFrame, clients: DataFrame, incomplete: bool = False) -> None:
         """Add agents and clients to those already stored, both in one step.
 
         Only the new rows are written. Columns that the input lacks stay NULL, for ``integrity_report`` to name;
-        the rules hold for the others. A key that is stored already, or comes twice, refuses all.
+        the rules hold for the others, or with ``incomplete`` only the key has to be there and lengths to fit.
+        A key that is stored already, or comes twice, refuses all.
         """
         now, tables = self.manifest.read(), {}
         for name, people in (("agent", agents), ("client", clients)):
             key = S.PRIMARY_KEYS[name]
-            snapshot = self._write(name, people, [*people.columns, key])
+            snapshot = self._write(name, people, [key] if incomplete else [*people.columns, key], lengths=True)
             new = self._written(name, snapshot).select(key)
             known = self._read(name, now).select(key).join(new, key, "left_semi")
             self._check_key(name, new.unionByName(known))

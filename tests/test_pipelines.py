@@ -252,3 +252,35 @@ def test_caller_sketches_keep_their_error_bound(spark):
     df = rows.select(F.col("d").alias("Call Date"), F.col("a").alias("Agent ID"), F.col("c").alias("Caller ID"), *[F.lit(None).cast("boolean").alias(c) for c in ("Upsale Attempted", "Upsale Success", "Concern Addressed")], *[F.lit(1).alias(m) for m in S.QUALITY_METRICS])
     (callers,) = [r.value for r in rollup.kpis(rollup.rollup(df)).collect() if r.kpi == "Number of Callers"]
     assert abs(callers / 50_000 - 1) < 4 * rollup.ERROR
+
+
+def test_example_data_travel(spark, store, tmp_path):
+    """Export of a generated batch and its import into another store, in one call each."""
+    out, batch = made_calls(spark, store, tmp_path)
+    audio = out.metadata.select("text_file", F.concat("call_id", F.lit(".wav")).alias("audio_file"))
+    texts = out.metadata.select("text_file", F.concat(F.lit("Agent: "), "call_id").alias("text"))
+    example = generation.Example(out.metadata, out.ground_truths, audio, batch, texts, audio.select("audio_file"))
+    generation.export_example(store, example, f"{tmp_path}/example", "es")
+    other = CallStore(spark, str(tmp_path / "other"))
+    back = generation.import_example(other, f"{tmp_path}/example", "es")
+    for name in ("metadata", "ground_truths", "dataframe", "calls_batch", "conversations", "recordings"):
+        have, want = getattr(back, name), getattr(example, name)
+        assert have.count() == want.count() == 12 and have.select(want.columns).exceptAll(want).count() == 0, name
+    assert other.get_clients().exceptAll(store.get_clients()).count() == 0 and other.get_clients().count() == 6
+    assert other.get_agents().count() == 3 and other.get_calls().count() == 0
+    other.insert_calls(back.calls_batch)
+    assert other.get_calls().count() == 12
+
+
+def test_bundled_people_without_details(spark, tmp_path):
+    import json
+
+    for kind, key in (("agents", "agent_id"), ("clients", "client_id")):
+        people = [{"first_name": f"F{i}", "last_name": "L", "phone_number": "1", "email": "e", key: str(i)} for i in range(10)]
+        (tmp_path / f"en_{kind}.json").write_text(json.dumps(people, indent=2))
+    for name, schema in S.DATASETS.items():
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/en_{name}.parquet")
+    store = CallStore(spark, str(tmp_path / "tables"))
+    example = generation.import_example(store, str(tmp_path))
+    assert store.get_clients().count() == 10 and store.get_clients().filter("client_city is null").count() == 10
+    assert example.conversations is None and example.calls_batch.count() == 0

@@ -51,6 +51,27 @@ def test_transcript_files(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/flat").count() == 3
 
 
+def test_transcript_files_in_a_store_of_another_scheme(spark, tmp_path):
+    root = str(tmp_path)
+
+    def mount(uri):
+        import pyarrow.fs
+
+        scheme, _, path = uri.partition("://")
+        assert scheme == "mounted"
+        return pyarrow.fs.SubTreeFileSystem(root, pyarrow.fs.LocalFileSystem()), path
+
+    df = spark.createDataFrame([(f"{n}.txt", f"text {n}\r\n") for n in range(20)], "text_file string, text string").repartition(3)
+    for _ in range(2):  # a repetition leaves the same files
+        files.export_transcript_files(df, "mounted://deep/er", mount)
+        files.export_transcript_files(df, f"file://{root}/plain")
+    for folder in ("deep/er", "plain"):
+        assert sorted(p.name for p in (tmp_path / folder).iterdir()) == sorted(f"{n}.txt" for n in range(20))
+        assert (tmp_path / folder / "7.txt").read_bytes() == b"text 7\r\n"
+    with pytest.raises(Exception, match="not a file name"):
+        files.export_transcript_files(df.limit(1).withColumn("text_file", F.lit("../x.txt")), "mounted://deep", mount)
+
+
 def test_audio_listing(spark, tmp_path):
     for name in ("1.wav", "2.OPUS", "3.aif", "4.gsm"):
         (tmp_path / name).write_bytes(b"abc")
