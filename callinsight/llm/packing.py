@@ -192,9 +192,13 @@ def tokens(docs: DataFrame, path: str, queue: str = "source") -> DataFrame:
 
 @dataclass
 class Packing:
-    """``length``: tokens of a sequence. ``window_sequences``: sequences of a mixing window. ``queues``: so many
-    sources, the largest, have a queue of their own and the rest share one. ``weights``: target
-    proportions by source; without it the proportions of the tokens, so that all queues end together."""
+    """``length``: tokens of a sequence. ``window_sequences``: sequences of a mixing window. ``weights``: target
+    proportions by source; without it the proportions of the tokens, so that all queues end together. Sources
+    that ``weights`` leaves out follow when the others are done.
+
+    ``queues``: so many sources, those of ``weights`` and then the largest, have a queue of their own, as long as the
+    schedule's tables stay small. All others lie in one queue, in which each source's tokens are spread evenly from end
+    to end: any stretch of it holds them in proportion, and so does every window that takes from it."""
 
     path: str = bpe.DEFAULT_PATH
     length: int = 1024
@@ -214,8 +218,9 @@ class Packing:
         shares = made.groupBy("queue", "task").agg(F.sum("n").alias("tokens"))
         shares = written(shares, "shares")
         sums = shares.groupBy("queue").agg(F.sum("tokens").alias("tokens"))
-        # A bounded report: the largest queues, and one row for all others.
-        largest = sums.orderBy(F.desc("tokens"), "queue").limit(self.queues).collect()
+        # A bounded report: the queues with a weight, then the largest, and one row for all others.
+        asked = F.col("queue").isin(list(self.weights)) if self.weights else F.lit(False)
+        largest = sums.orderBy(F.desc(asked), F.desc("tokens"), "queue").limit(max(self.queues, len(self.weights or ()))).collect()
         rest = sums.agg(F.sum("tokens")).first()[0] or 0
         names = [r["queue"] for r in largest]
         totals = [int(r["tokens"]) for r in largest]
@@ -227,8 +232,9 @@ class Packing:
         plan = schedule(totals, window, weights)
         starts = [[int(s.start[q]) for s in plan] for q in range(len(totals))]
 
-        number = F.coalesce(*[F.when(F.col("queue") == n, q) for q, n in enumerate(names) if n is not None], F.lit(len(names) - 1))
-        numbered = shares.withColumn("number", number)
+        own = [n for n in names if n is not None]
+        number = F.coalesce(*[F.when(F.col("queue") == n, q) for q, n in enumerate(own)])
+        numbered = shares.withColumn("number", number).where("number is not null")
         order = Window.partitionBy("number").orderBy("task", "queue").rowsBetween(Window.unboundedPreceding, -1)
         base = numbered.withColumn("base", F.coalesce(F.sum("tokens").over(order), F.lit(0)))
         base = written(base.select("queue", "task", "number", "base"), "bases")
@@ -257,10 +263,44 @@ class Packing:
 
         placed = made.join(base, ["queue", "task"]).withColumn("first", F.col("base") + F.col("before"))
         placed = placed.select("id", "number", "first", "n", "ids", "queue")
+        if len(own) < len(names):
+            rest = evenly(made.where(~F.col("queue").isin(own))).withColumn("number", F.lit(len(own)))
+            placed = placed.unionByName(rest.select("id", "number", "first", "n", "ids", "queue"))
         done = placed.mapInArrow(cut, ", ".join(f"{c} {t}" for c, t in zip(_NAMES, ["long"] * 6 + ["string", "binary"], strict=True)))
         return done.select(external_id("id").alias("doc_id"), *_NAMES[1:])
 
 
+#: Slices of a queue that many sources share.
+SLICES = 1024
+
+
+def evenly(made: DataFrame) -> DataFrame:
+    """``made`` (:func:`tokens` of several sources) with ``first``, the place of each document in one queue of them all.
+
+    The queue has ``SLICES`` slices, and each source's tokens are dealt to them from first to last by their share of the
+    source; a document goes to the slice of its first token. Only totals per (slice, source, task) are summed up, slice by
+    slice, so no task holds a whole source or the whole queue.
+    """
+    shares = written(made.groupBy("queue", "task").agg(F.sum("n").alias("tokens")), "shares")
+    totals = shares.groupBy("queue").agg(F.sum("tokens").alias("total"))
+    earlier = Window.partitionBy("queue").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    own = shares.withColumn("own", F.coalesce(F.sum("tokens").over(earlier), F.lit(0))).join(totals, "queue")
+    own = written(own.select("queue", "task", "own", "total"), "own")
+    slice_of = F.floor((F.col("own") + F.col("before")) * SLICES / F.col("total")).cast("int")
+    dealt = made.join(own, ["queue", "task"]).withColumn("slice", slice_of)
+    parts = written(dealt.groupBy("slice", "queue", "task").agg(F.sum("n").alias("tokens"), F.min("before").alias("since")), "slices")
+    sizes = dict(map(tuple, parts.groupBy("slice").agg(F.sum("tokens")).collect()))
+    begins, so_far = [], 0
+    for k in sorted(sizes):
+        begins.append((k, so_far))
+        so_far += sizes[k]
+    begin = made.sparkSession.createDataFrame(begins, "slice int, begin long")
+    inside = Window.partitionBy("slice").orderBy("task", "queue").rowsBetween(Window.unboundedPreceding, -1)
+    bases = parts.withColumn("at", F.coalesce(F.sum("tokens").over(inside), F.lit(0))).join(begin, "slice")
+    bases = written(bases.select("slice", "queue", "task", (F.col("begin") + F.col("at") - F.col("since")).alias("base")), "bases")
+    return dealt.join(bases, ["slice", "queue", "task"]).withColumn("first", F.col("base") + F.col("before"))
+
+
 _NAMES = ["id", "start", "length", "doc_tokens", "sequence_id", "offset", "queue", "ids"]
 _TOKENS = "id long, queue string, task int, before long, n long, ids binary"
 _PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, queue string, ids binary"

@@ -135,3 +135,40 @@ def test_packing_awkward_rows(spark):
     lib = Tokenizer.from_file(bpe.DEFAULT_PATH)
     check_pieces(pieces, {i: [*lib.encode(t or "", add_special_tokens=False).ids, 0] for i, t, *_ in rows}, 64)
     assert packing.Packing().pack(docs.where("false")).count() == 0
+
+
+def many_sources(spark):
+    """Forty sources of different size, written one after the other."""
+    rows = [(100 * s + k, f"w{s} " * 20, f"s{s:02d}") for s in range(40) for k in range(5 + s)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(3)
+
+
+@pytest.mark.parametrize("queues", [1, 3, 255])
+def test_every_source_keeps_its_proportion(spark, library, queues):
+    rows, docs = many_sources(spark)
+    pieces = packing.with_crc(packing.Packing(length=64, window_sequences=160, queues=queues).pack(docs)).collect()
+    want = {i: [*library.encode(t, add_special_tokens=False).ids, 0] for i, t, _ in rows}
+    check_pieces(pieces, want, 64)
+    total = {s: sum(len(want[i]) for i, _, x in rows if x == s) for s in {r[2] for r in rows}}
+    window = 64 * 160
+    every = sum(total.values())
+    assert every > 4 * window
+    for w in range(every // window):
+        inside = defaultdict(int)
+        for p in pieces:
+            if p.sequence_id // 160 == w:
+                inside[p["queue"]] += p["length"]
+        for s, t in total.items():  # within a few documents of the exact share
+            assert abs(inside[s] - window * t / every) < 4 * 45, (w, s)
+
+
+def test_sources_with_a_weight_have_a_queue_of_their_own(spark, library):
+    rows, docs = many_sources(spark)
+    packed = packing.Packing(length=64, window_sequences=8, queues=1, weights={"s00": 3.0, "s01": 1.0}).pack(docs)
+    pieces = packing.with_crc(packed).collect()
+    check_pieces(pieces, {i: [*library.encode(t, add_special_tokens=False).ids, 0] for i, t, _ in rows}, 64)
+    first = defaultdict(int)
+    for p in pieces:
+        if p.sequence_id == 0:
+            first[p["queue"]] += p["length"]
+    assert set(first) == {"s00", "s01"} and abs(first["s00"] - 3 * first["s01"]) <= 4
