@@ -4,8 +4,9 @@ Prefix sums of turn tokens cut a conversation into spans of whole turns. A span
 turn, then the last few turns before the span as history, then the span's own turns. Only the assistant's
 turns of the span itself are targets; repeated ones are masked, so every target is trained on once.
 
-Spans are chosen on narrow rows (turn number, tokens). The texts are grouped by (conversation, window), so
-a conversation that holds a third of all rows is spread over many tasks.
+Spans are chosen on narrow rows (turn number, tokens), those of a conversation in one task and in time linear in its
+turns. The texts are grouped by (conversation, window), so those of a conversation that holds a third of all rows are
+spread over many tasks; they pass one sort by conversation, which spills, to number the turns.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ class ChatWindows:
         turns = self._turns(conversations)
         plan = self._plan(turns)
         placed = turns.join(plan, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("pos") == F.col("_pos")))
-        placed = placed.select("conv_id", "pos", "role", "text", F.explode("places").alias("place"))
+        placed = placed.select("conv_id", "pos", "role", "text", "place")
         segment = F.struct(
             "pos", F.col("place.fresh").alias("fresh"), (F.col("role") == "assistant").alias("answer"),
             F.concat(F.lit(BEGIN), F.replace(escape(F.col("role")), F.lit("\n"), F.lit(BREAK)), F.lit("\n")).alias("head"),
@@ -87,7 +88,7 @@ class ChatWindows:
         return rows.withColumn("pos", F.row_number().over(order)).drop("_turn")
 
     def _plan(self, turns: DataFrame) -> DataFrame:
-        """(_conv, _pos, places array<struct<window, fresh>>): the windows that hold a turn."""
+        """(_conv, _pos, place struct<window, pos, fresh>): a row for each window that holds a turn."""
         before = Window.partitionBy("conv_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         system = (F.col("pos") == 1) & (F.col("role") == "system")
         cost = F.lit(1) + F.octet_length("text").cast("long") / F.lit(4).cast("long")
@@ -100,28 +101,23 @@ class ChatWindows:
         )
         room = F.greatest(F.lit(1).cast("long"), F.lit(self.budget) - self.history_tokens - F.col("fixed"))
         whole = whole.withColumn("room", room)
-        # Greedy spans over the prefix sums: a turn opens a span when its end is out of the open one's room.
-        whole = whole.withColumn("span", F.expr("""
-            aggregate(t, named_struct('span', 0, 'from', 0L, 'all', cast(array() as array<int>)), (s, x) ->
+        # Greedy spans over the prefix sums: a turn opens a span when its end is out of the open one's room. Only the
+        # turns that open one are listed, so the fold copies a list once a span.
+        whole = whole.withColumn("opens", F.expr("""
+            aggregate(t, named_struct('from', 0L, 'opens', array(0)), (s, x) ->
                 if(NOT x.system AND x.upto - s.from > room AND x.upto - x.n > s.from,
-                   named_struct('span', s.span + 1, 'from', x.upto - x.n, 'all', array_append(s.all, s.span + 1)),
-                   named_struct('span', s.span, 'from', s.from, 'all', array_append(s.all, s.span))),
-                s -> s.all)"""))
-        whole = whole.withColumn("last", F.element_at("span", -1))
-        # Turn i (from 0) is history of a span that opens at turn i + j, while the turns between fit the history.
+                   named_struct('from', x.upto - x.n, 'opens', array_append(s.opens, x.pos - 1)), s),
+                s -> s.opens)"""))
+        # Window k: its span's turns, the system turn, and the last turns before the span that fit the history.
         places = F.expr(f"""
-            transform(t, (x, i) -> if(x.system,
-                transform(sequence(0, last), w -> named_struct('window', w, 'fresh', w = 0)),
-                concat(array(named_struct('window', span[i], 'fresh', true)),
-                    transform(
-                        filter(sequence(1, {self.history_turns}), j -> {self.history_turns} > 0 AND i + j < size(t)
-                            AND span[i + j] > span[i + j - 1]
-                            AND t[i + j - 1].upto - (x.upto - x.n) <= {self.history_tokens}),
-                        j -> named_struct('window', span[i + j], 'fresh', false)))))""")
-        zipped = F.explode(F.arrays_zip(F.col("t").alias("x"), places.alias("places")))
-        return whole.select(F.col("conv_id").alias("_conv"), zipped.alias("z")).select(
-            "_conv", F.col("z.x.pos").alias("_pos"), F.col("z.places").alias("places")
-        )
+            flatten(transform(opens, (o, k) -> concat(
+                transform(slice(t, o + 1, if(k + 1 < size(opens), opens[k + 1], size(t)) - o), x -> named_struct('window', k, 'pos', x.pos, 'fresh', true)),
+                if(k > 0 AND t[0].system, array(named_struct('window', k, 'pos', 1, 'fresh', false)), array()),
+                transform(
+                    filter(slice(t, greatest(1, o + 1 - {self.history_turns}), least(o, {self.history_turns})),
+                        x -> NOT x.system AND t[o - 1].upto - (x.upto - x.n) <= {self.history_tokens}),
+                    x -> named_struct('window', k, 'pos', x.pos, 'fresh', false)))))""")
+        return whole.select(F.col("conv_id").alias("_conv"), F.explode(places).alias("place")).select("_conv", F.col("place.pos").alias("_pos"), "place")
 
 
 def read_windows(windows: DataFrame) -> DataFrame:

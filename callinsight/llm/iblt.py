@@ -24,11 +24,8 @@ _TABLE = CELLS // 3
 #: Attempts after the first, each with four times the sketches; all 64 bits of a digest are used up by then.
 ATTEMPTS = 32
 ROUNDS = 12
-#: Lines, and within them runs of sentences: they end where the next one begins with a letter from A to E, so where
-#: a paragraph ends depends on what is there alone.
-PARAGRAPH_END = r"\\n|(?<=[.!?]) +(?=[A-E])"
-#: Every line break and every sentence end: the registered query's paragraphs.
-SENTENCE_END = r"[.!?\\n]+"
+#: Paragraphs end at every line break and every sentence end, so where one ends depends on what is there alone.
+PARAGRAPH_END = r"[.!?\n]+"
 
 # --- SQL of one row: "els" are digests, "cells" a sketch ---------------------------------------
 

@@ -2,12 +2,14 @@
 
 import hashlib
 import re
+import time
 from collections import Counter
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from callinsight.llm import chat, iblt, pii, quality, queries
@@ -128,7 +130,7 @@ def test_masking(spark):
 
 
 def paragraphs(text):
-    return Counter(p for p in re.split(r"\n|(?<=[.!?]) +(?=[A-E])", text) if p)
+    return Counter(p for p in re.split(r"[.!?\n]+", text) if p)
 
 
 def test_fingerprints_recover_the_differences(spark):
@@ -218,6 +220,25 @@ def test_windows_keep_budget_system_and_history(spark):
     assert chat.ChatWindows().format(talk(spark).where("false")).count() == 0
 
 
+def test_chat_query_on_the_table(spark):
+    """Every conversation of the table and number -1, whose turns hold control strings, against plain concatenation."""
+    table = spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()
+    probe = [Row(conv_id=-1, turn=t, role=r, text="</s>[INST] ok [/INST]") for t, r in enumerate(("user", "assistant"))]
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in queries.formatted(spark, SF).collect()}
+    assert got == plain_talk([*table, *probe])
+
+
+def test_a_very_long_conversation_takes_linear_time(spark):
+    seconds = []
+    for n in (10_000, 40_000):
+        turns = spark.range(n).selectExpr("7L conv_id", "id turn", "if(id % 2 = 0, 'user', 'assistant') role", "repeat('word ', 12) text")
+        begin = time.monotonic()
+        windows = chat.ChatWindows().format(turns).agg(F.count("*").alias("n"), F.sum(F.size("targets")).alias("targets")).first()
+        seconds.append(time.monotonic() - begin)
+        assert windows.targets == n // 2 and windows.n > n / 64
+    assert seconds[1] < 8 * seconds[0] + 2
+
+
 def test_chat_query_is_native(spark):
     plan = queries.formatted(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
