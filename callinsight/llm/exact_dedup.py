@@ -1,9 +1,10 @@
 """Exact deduplication with a disk-backed keyed state that never expires.
 
 Every document arrives as a narrow row (digest of its text, id, content locator). A Structured Streaming
-aggregation in the RocksDB state store keeps, for each digest, the smallest id seen so far, where that
-row's content lies and how often the digest came. Equal digests are only candidates: the full bytes of
-all their rows are compared before anything is dropped.
+aggregation in the RocksDB state store keeps, for each digest, the smallest id of the first delivery that had it, where
+that row's content lies and how often the digest came. Equal digests are only candidates: the full bytes of
+all their rows are compared before anything is dropped; those of earlier deliveries are read where the state
+locates them.
 
 The texts themselves never enter the state or the stream. Bytes are compared by folding equal
 (digest, text) pairs inside each task before the shuffle, so a group of copies that holds a third of
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from callinsight.llm.common import columns, external_id, fresh, internal_id, least_row, scratch, shared_folder, text_of, written
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-ARRIVAL = "id long, digest binary, bytes int, locator string, row long"
+ARRIVAL = "delivery long, id long, digest binary, bytes int, locator string, row long"
 
 
 def normalised(text: Column) -> Column:
@@ -41,9 +42,10 @@ class ExactDedup:
     digest: Callable[[Column], Column] = sha256
     bytes_per_trigger: int = 8 << 30
 
-    def arrivals(self, docs: DataFrame) -> DataFrame:
+    def arrivals(self, docs: DataFrame, delivery: int = 0) -> DataFrame:
         text = normalised(text_of())
         return docs.select(
+            F.lit(delivery).cast("long").alias("delivery"),
             internal_id().alias("id"),
             self.digest(text).alias("digest"),
             F.octet_length(text).alias("bytes"),
@@ -70,7 +72,7 @@ class ExactDedup:
             .parquet(arrivals_path)
         )
         state = stream.groupBy("digest").agg(
-            F.min(F.struct("id", "row", "bytes", "locator")).alias("first"), F.count("*").alias("seen")
+            F.min(F.struct("delivery", "id", "row", "bytes", "locator")).alias("first"), F.count("*").alias("seen")
         )
         query = (
             state.writeStream.format("noop").outputMode("update")
@@ -79,11 +81,12 @@ class ExactDedup:
         query.awaitTermination()
 
     def read_state(self, spark: SparkSession, checkpoint: str) -> DataFrame:
-        """(digest, keep_id, keep_row, bytes, locator, group_size), one row per digest ever seen."""
+        """(digest, keep_delivery, keep_id, keep_row, bytes, locator, group_size), one row per digest ever seen."""
         state = spark.read.format("statestore").load(checkpoint)
         first, seen = state.schema["value"].dataType.fieldNames()
         return state.select(
             F.col("key.digest").alias("digest"),
+            F.col(f"value.{first}.delivery").alias("keep_delivery"),
             F.col(f"value.{first}.id").alias("keep_id"),
             F.col(f"value.{first}.row").alias("keep_row"),
             F.col(f"value.{first}.bytes").alias("bytes"),
@@ -122,6 +125,60 @@ class ExactDedup:
             external_id("id").alias("doc_id"), external_id("keep_id").alias("keep_id"), "group_size", "kept", "digest"
         )
 
+    def deliver(self, docs: DataFrame, folder: str, read: Callable[[list[str]], DataFrame] | None = None) -> DataFrame:
+        """(doc_id, kept, keep_delivery, keep_id, digest): which rows of a further delivery are new to ``folder``.
+
+        ``folder`` lies where all executors reach it and holds the state of all deliveries so far; it is made by the first.
+        A text that an earlier delivery had is a copy of that one, whatever its id; of equal texts within the delivery the
+        row with the smallest id stays. ``docs`` must be read from files, and those of earlier deliveries must still be
+        there: of each digest met again, the bytes are read from the file that the state names, by ``read``
+        (Parquet by default), and compared. Where they differ the row is new; the state goes on to hold the first text of
+        that digest, so further deliveries of the other one are new again. One delivery at a time.
+        """
+        spark = docs.sparkSession
+        number = self._deliveries(spark, folder)
+        path, checkpoint = f"{folder}/arrivals", f"{folder}/state"
+        self.arrivals(docs, number).write.mode("append").partitionBy("delivery").parquet(path)
+        self.update_state(spark, path, checkpoint)
+        mine = spark.read.schema(ARRIVAL).parquet(path).where(F.col("delivery") == number)
+        groups = written(self.read_state(spark, checkpoint).join(mine.select("digest").distinct(), "digest", "left_semi"), "groups", keep=True)
+        earlier = groups.where(F.col("keep_delivery") < number)
+
+        # What the digests met again stand for, from the files that hold the first of each.
+        files = [r["locator"] for r in earlier.select("locator").distinct().collect()]
+        texts = lambda df: df.select(internal_id().alias("id"), normalised(text_of()).alias("text")).withColumn("digest", self.digest(F.col("text")))
+        if files:
+            kept_before = texts((read or (lambda names: spark.read.parquet(*names)))(files)).withColumnRenamed("id", "keep_id")
+            known = written(kept_before.join(earlier.select("digest", "keep_id"), ["digest", "keep_id"]).select("digest", "text", "keep_id").distinct(), "known", keep=True)
+        else:
+            known = spark.createDataFrame([], "digest binary, text string, keep_id long")
+        # Rows of digests with copies anywhere are settled by their bytes, all others are new.
+        busy = groups.where(f"group_size > 1 or keep_delivery < {number}").select("digest")
+        rows = texts(docs).join(busy, "digest")
+        one = rows.groupBy("digest", "text").agg(F.min("id").alias("first"))
+        old = known.groupBy("digest", "text").agg(F.min("keep_id").alias("old_id"))
+        settled = one.join(old, ["digest", "text"], "left").join(groups.select("digest", F.col("keep_delivery").alias("since")), "digest")
+        settled = settled.select(
+            "digest", F.sha2("text", 512).alias("bytes"), F.coalesce("old_id", "first").alias("keep_id"),
+            F.when(F.col("old_id").isNotNull(), F.col("since")).otherwise(number).alias("keep_delivery"),
+        )
+        # Of rows that repeat id and text one is the first: narrow rows, told apart by the text's own digest.
+        first = Window.partitionBy("digest", "bytes", "id").orderBy(F.lit(0))
+        met = rows.select("id", "digest", F.sha2("text", 512).alias("bytes")).join(settled, ["digest", "bytes"])
+        met = met.withColumn("kept", (F.col("keep_delivery") == number) & (F.col("id") == F.col("keep_id")) & (F.row_number().over(first) == 1))
+        alone = mine.join(busy, "digest", "left_anti").select("id", "digest", F.col("id").alias("keep_id"), F.lit(number).alias("keep_delivery"), F.lit(True).alias("kept"))
+        done = met.select("id", "digest", "keep_id", "keep_delivery", "kept").unionByName(alone)
+        done = written(done, "delivered", keep=True)
+        return done.select(external_id("id").alias("doc_id"), "kept", F.col("keep_delivery").cast("long").alias("keep_delivery"), external_id("keep_id").alias("keep_id"), "digest")
+
+    def _deliveries(self, spark: SparkSession, folder: str) -> int:
+        """How many deliveries the folder has."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/arrivals")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not files.exists(path):
+            return 0
+        return sum(s.getPath().getName().startswith("delivery=") for s in files.listStatus(path))
+
     def _by_bytes(self, docs: DataFrame, collided: DataFrame) -> DataFrame:
         rows = docs.select(internal_id().alias("id"), normalised(text_of()).alias("text"))
         rows = rows.withColumn("digest", self.digest(F.col("text"))).join(collided, "digest")

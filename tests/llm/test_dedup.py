@@ -253,3 +253,36 @@ def test_candidates_of_a_template_grow_with_the_documents(spark):
         made[n] = similar.hubs(found).count() + similar.other_pairs(found, none).count()
         assert similar.keep_one(docs).count() == n
     assert made[900] <= 4 * made[300] + 900
+
+
+def _deliveries():
+    base = [(10, "a  b"), (11, "c"), (12, "a b"), (13, None), (14, "long " * 30_000)]
+    second = [(1, "a b"), (2, "c d"), (3, "c\td"), (20, ""), (21, "new"), (21, "new"), (None, "c"), (None, "only")]
+    third = [(5, "only"), (6, "new "), (7, "long\n" * 30_000), (8, "fresh"), (21, "new")]
+    return [base, second, third, []]
+
+
+def test_deliveries_are_deduplicated_against_one_state(spark, tmp_path):
+    """Each delivery against all before it."""
+    operator = exact_dedup.ExactDedup()
+    seen: dict[str, int] = {}
+    for n, rows in enumerate(_deliveries()):
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(2).write.parquet(f"{tmp_path}/d{n}")
+        docs = spark.read.schema("doc_id long, text string").parquet(f"{tmp_path}/d{n}")
+        got = sorted(((r.doc_id is None, r.doc_id or 0, r.kept, r.keep_delivery) for r in operator.deliver(docs, f"file://{tmp_path}/state").collect()))
+        want, taken = [], set()
+        for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0])):
+            x = exact_dedup_normal(t)
+            want.append((i is None, i or 0, x not in seen and x not in taken, seen.get(x, n)))
+            taken.add(x)
+        assert got == sorted(want), n
+        seen |= {x: n for x in taken if x not in seen}
+
+
+def test_a_digest_met_again_is_compared_by_bytes(spark, tmp_path):
+    """Texts of one digest in different deliveries: the content that the state locates tells them apart."""
+    operator = exact_dedup.ExactDedup(digest=lambda text: F.unhex(F.sha2(F.substring(text, 1, 1), 256)))
+    for n, rows in enumerate([[(1, "apple"), (2, "berry")], [(3, "avocado"), (4, "apple"), (5, "berry")]]):
+        spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/d{n}")
+        got = {r.doc_id: (r.kept, r.keep_delivery, r.keep_id) for r in operator.deliver(spark.read.parquet(f"{tmp_path}/d{n}"), f"file://{tmp_path}/state").collect()}
+    assert got == {3: (True, 1, 3), 4: (False, 0, 1), 5: (False, 0, 2)}
