@@ -6,14 +6,15 @@ back as the edit can change a cut, until a new cut falls on an old one beyond it
 in between, and corrects the sums on the way to the root. The total is always the root's.
 
 Counts are those of the tokenizer with special strings as ordinary text. Documents are independent rows; nothing is
-shuffled, and a worker holds the trees of one document.
+shuffled, and a worker holds the trees of one document. Trees can be kept: ``trees`` makes them once, a table of them is
+written, and ``edit_trees`` applies further edits to it without the tokenizer seeing the rest of the text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate, pairwise
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,12 +36,26 @@ class TokenTree:
         self.encoded = 0  # words that edits had encoded anew
         self._build([words[i : i + LEAF] for i in range(0, len(words), LEAF)] or [[]])
 
-    def _build(self, leaves: list[list[str]]) -> None:
+    @classmethod
+    def kept(cls, words: list[str], leaf_words: list[int], leaf_tokens: list[int], encoder: bpe.Encoder) -> TokenTree:
+        """The tree of stored leaves; their sums are taken as they are, and no word is encoded."""
+        tree = cls.__new__(cls)
+        tree.encoder, tree.encoded = encoder, 0
+        ends = [0, *accumulate(leaf_words)]
+        leaves = [words[a:b] for a, b in pairwise(ends)] or [[]]
+        tree._build(leaves, [(sum(map(len, leaf)), tokens) for leaf, tokens in zip(leaves, leaf_tokens or [0], strict=True)])
+        return tree
+
+    def _build(self, leaves: list[list[str]], known: list[tuple[int, int] | None] | None = None) -> None:
+        """``known``: the sums (code points, tokens) of leaves that have them."""
         self.leaves = leaves
         self.width = 1 << (len(leaves) - 1).bit_length()
         self.chars, self.tokens = [0] * (2 * self.width), [0] * (2 * self.width)
         for n in range(len(leaves)):
-            self._sum_leaf(n)
+            if known and known[n] is not None:
+                self.chars[self.width + n], self.tokens[self.width + n] = known[n]
+            else:
+                self._sum_leaf(n)
         for n in range(self.width - 1, 0, -1):
             self.chars[n] = self.chars[2 * n] + self.chars[2 * n + 1]
             self.tokens[n] = self.tokens[2 * n] + self.tokens[2 * n + 1]
@@ -123,8 +138,10 @@ class TokenTree:
         words = self.leaves[first][:keep] + words
         count = last - first + 1
         if len(words) > 4 * LEAF * count:
-            self.encoder.learn(set().union(*self.leaves, words))
-            self._build(self.leaves[:first] + [words[i : i + LEAF] for i in range(0, len(words), LEAF)] + self.leaves[last + 1 :])
+            self.encoder.learn(set(words))
+            sums = [(self.chars[self.width + n], self.tokens[self.width + n]) for n in range(len(self.leaves))]
+            made = [words[i : i + LEAF] for i in range(0, len(words), LEAF)]
+            self._build(self.leaves[:first] + made + self.leaves[last + 1 :], [*sums[:first], *[None] * len(made), *sums[last + 1 :]])
             return
         self.encoder.learn(set(words))
         share = -(-len(words) // count) if words else 1
@@ -145,6 +162,66 @@ def tree(text: str, encoder: bpe.Encoder) -> TokenTree:
     return TokenTree(words, encoder)
 
 
+_TREES = "id long, text string, word_chars array<int>, leaf_words array<int>, leaf_tokens array<int>, n_tokens long, encoded_words long"
+
+
+def _rows(ids: pa.Array, trees: list[TokenTree]) -> pa.RecordBatch:
+    ints = lambda of: pa.array([of(t) for t in trees], pa.list_(pa.int32()))
+    columns = [
+        ids,
+        pa.array([t.text() for t in trees], pa.string()),
+        ints(lambda t: [len(w) for leaf in t.leaves for w in leaf]),
+        ints(lambda t: [len(leaf) for leaf in t.leaves]),
+        ints(lambda t: t.tokens[t.width : t.width + len(t.leaves)]),
+        pa.array([t.total for t in trees], pa.int64()),
+        pa.array([t.encoded for t in trees], pa.int64()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _TREES.split(", ")])
+
+
+def trees(docs: DataFrame, path: str = bpe.DEFAULT_PATH) -> DataFrame:
+    """(doc_id, text, word_chars, leaf_words, leaf_tokens, n_tokens, encoded_words): the segment tree of each row of
+    ``docs`` (doc_id, text), to be written and edited later by ``edit_trees``. The text is cut and encoded here, once.
+
+    ``word_chars``: lengths of the pre-tokens; ``leaf_words`` and ``leaf_tokens``: pre-tokens and tokens of the leaves, from
+    which the inner sums follow.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = bpe.encoder(path)
+        for batch in batches:
+            for part, texts in bpe.chunks(batch):
+                yield _rows(part.column("id"), [tree(t, encoder) for t in texts])
+
+    made = docs.select(internal_id().alias("id"), text_of().alias("text")).mapInArrow(run, _TREES)
+    return made.withColumn("id", external_id("id")).withColumnRenamed("id", "doc_id")
+
+
+def edit_trees(stored: DataFrame, path: str = bpe.DEFAULT_PATH) -> DataFrame:
+    """The trees ``stored`` (the columns of ``trees`` and ``edits``, see ``count_edits``) after their edits, with the same
+    columns. A text is neither cut nor encoded again but for the words around its edits; ``encoded_words`` counts these.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = bpe.encoder(path)
+        for batch in batches:
+            for part, texts in bpe.chunks(batch):
+                done = []
+                for text, chars, words, tokens, edits in zip(texts, *(part.column(c).to_pylist() for c in _STORED), strict=True):
+                    cut = [text[a:b] for a, b in pairwise([0, *accumulate(chars)])]
+                    kept = TokenTree.kept(cut, words, tokens, encoder)
+                    for e in edits or []:
+                        kept.edit(e["start"] or 0, e["end"] or 0, e["text"] or "")
+                    done.append(kept)
+                yield _rows(part.column("id"), done)
+
+    narrow = stored.select(internal_id().alias("id"), "text", *_STORED[:-1], F.col("edits").cast(EDITS).alias("edits"))
+    return narrow.mapInArrow(run, _TREES).withColumn("id", external_id("id")).withColumnRenamed("id", "doc_id")
+
+
+_STORED = ["word_chars", "leaf_words", "leaf_tokens", "edits"]
+
+
 def count_edits(docs: DataFrame, path: str = bpe.DEFAULT_PATH) -> DataFrame:
     """(doc_id, n_tokens, edited_tokens, n_words, encoded_words, edited_text), a row per row of ``docs``
     (doc_id, text, edits): the count before and after the edits, which apply one after the other to the text as

@@ -145,3 +145,22 @@ def test_model_of_awkward_rows(spark):
     assert hpylm.PitmanYor().score(docs.where("false")).count() == 0
     (alone,) = hpylm.PitmanYor().score(docs.where("doc_id = 4")).collect()
     assert math.isfinite(alone.score)
+
+
+def test_stored_trees_follow_later_edits(spark, tmp_path):
+    """Trees that were written are edited twice; each time they equal fresh ones, and few words are encoded."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) > 2000").select("doc_id", "text")
+    odd = spark.createDataFrame([(None, None), (1_000_001, ""), (1_000_002, "x" * 5000)], "doc_id long, text string")
+    token_counts.trees(docs.unionByName(odd)).write.parquet(f"{tmp_path}/0")
+    for n in (1, 2):
+        stored = spark.read.parquet(f"{tmp_path}/{n - 1}")
+        with_edits = stored.join(token_counts.usual_edits(stored).drop("text").withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+        token_counts.edit_trees(with_edits).write.parquet(f"{tmp_path}/{n}")
+        after = {r.doc_id: r for r in spark.read.parquet(f"{tmp_path}/{n}").collect()}
+        want = {r.doc_id: r for r in token_counts.count_edits(token_counts.usual_edits(stored)).collect()}
+        fresh = {r.doc_id: r for r in token_counts.trees(spark.read.parquet(f"{tmp_path}/{n}")).collect()}
+        assert after.keys() == want.keys() == fresh.keys() and len(after) > 100
+        for doc, r in after.items():
+            assert r.text == want[doc].edited_text and r.n_tokens == want[doc].edited_tokens == fresh[doc].n_tokens == sum(r.leaf_tokens)
+            assert r.word_chars == fresh[doc].word_chars and sum(r.leaf_words) == len(r.word_chars)
+        assert sum(r.encoded_words for r in after.values()) < sum(len(r.word_chars) for r in after.values()) / 4
