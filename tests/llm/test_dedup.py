@@ -272,7 +272,7 @@ def test_deliveries_are_deduplicated_against_one_state(spark, tmp_path):
         got = sorted(((r.doc_id is None, r.doc_id or 0, r.kept, r.keep_delivery) for r in operator.deliver(docs, f"file://{tmp_path}/state").collect()))
         want, taken = [], set()
         for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0])):
-            x = exact_dedup_normal(t)
+            x = exact_dedup_normal(t or "")
             want.append((i is None, i or 0, x not in seen and x not in taken, seen.get(x, n)))
             taken.add(x)
         assert got == sorted(want), n
