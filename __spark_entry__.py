@@ -7,6 +7,7 @@ SQL for DuckDB, written independently of the Spark expressions.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -130,8 +131,12 @@ def _custom_prompts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    """A new folder that the executors share: below the checkpoint folder, else the warehouse."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A new folder that the executors share, below the checkpoint folder; a local session may do without that setting."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = f"file://{tempfile.mkdtemp(prefix='callinsight-')}"
     return f"{root.rstrip('/')}/tables-{uuid.uuid4().hex}"
 
 
@@ -625,14 +630,29 @@ def call_sql() -> dict[str, str]:
         parts += [_q(rest)] * bool(rest)
         return " || ".join(parts)
 
+    # The prompts, written out.
+    first_list = (
+        "1. Which one of these topics is the text about: slow internet speed, billing discrepancies, account login problems, "
+        "setting up a new device, phishing or malware concerns, scheduled maintenance notifications, service upgrades, "
+        "negotiating pricing, canceling service, customer service feedback?\n"
+        "2. Summarize the text in at most 50 words.\n"
+        "3. Did the call settle the client's concern? Answer Yes or No.\n"
+        "4. Which tone did the client use: Positive, Neutral, Negative? If unsure, answer Neutral.\n"
+        "5. Which tone did the agent use: Positive, Neutral, Negative? If unsure, answer Neutral."
+    )
+    second_list = (
+        "1. Did the agent offer an additional product or service? Answer Yes or No.\n"
+        "2. Did the client accept the offer? Answer Yes or No, and No if nothing was offered.\n"
+        "3. From 1 to 5, how much empathy did the agent show?\n"
+        "4. From 1 to 5, how much professionalism did the agent show?\n"
+        "5. From 1 to 5, how much kindness did the agent show?\n"
+        "6. From 1 to 5, how much effective communication did the agent show?\n"
+        "7. From 1 to 5, how much active listening did the agent show?\n"
+        "8. From 1 to 5, how much customization did the agent show?"
+    )
     prompts = {
-        f"prompt_{b}": "md5("
-        + render(
-            answers.PROMPT,
-            {"text": "text", "questions": _q("\n".join(f"{n}. {q}" for n, q in enumerate(block, start=1)))},
-        )
-        + ")"
-        for b, block in enumerate(answers.QUESTIONS, start=1)
+        f"prompt_{b}": f"md5({_q('Read this text:' + chr(10))} || text || {_q(chr(10) + 'Answer every question in a numbered list, one line each:' + chr(10) + listed + chr(10))})"
+        for b, listed in ((1, first_list), (2, second_list))
     }
 
     # Updates: each step's files are left-joined in turn, a failed step leaves the rest NULL.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -129,8 +131,12 @@ def value_distribution(
 
     fractions = [i / parts for i in range(1, parts)]
     groups = values.groupBy(key).agg(F.count("*").alias("n"), F.percentile_approx("_value", fractions, 10 * parts).alias("_bounds"))
-    bounds = F.col("_bounds")
-    dealt = values.join(groups, key).select(key, "_value", "n", F.size(F.filter(bounds, lambda b: b < F.col("_value"))).alias("_part"))
+    # A value's part is the number of bounds below it, found in two steps: among every step-th bound, then between two.
+    step = max(2, math.isqrt(parts))
+    groups = groups.withColumn("_coarse", F.array(*[F.get("_bounds", F.lit(i)) for i in range(step - 1, parts - 1, step)]).cast("array<double>"))
+    below = lambda bounds: F.size(F.filter(bounds, lambda b: b < F.col("_value")))
+    dealt = values.join(groups, key).withColumn("_k", below(F.col("_coarse")) * step)
+    dealt = dealt.select(key, "_value", "n", (F.col("_k") + below(F.slice("_bounds", F.col("_k") + 1, F.lit(step - 1)))).alias("_part"))
 
     counted = dealt.groupBy(key, "_part", "n").agg(F.count("*").alias("_rows"))
     upto = F.sum("_rows").over(W.partitionBy(key).orderBy("_part").rowsBetween(W.unboundedPreceding, W.currentRow))
