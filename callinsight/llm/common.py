@@ -56,6 +56,12 @@ def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have Spark remove the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Removes the folders made within the block at its end; what is to outlive it is written with ``keep``."""
@@ -67,9 +73,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         for path in _scratch.pop():
             folder = spark._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(conf).delete(folder, True)
-        # Shuffle files go with the plans that made them.
-        gc.collect()
-        spark._jvm.System.gc()
+        release(spark)
 
 
 def fresh(name: str, df: DataFrame) -> str:

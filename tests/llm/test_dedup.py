@@ -240,19 +240,13 @@ def test_similar_texts_match_all_pairs(spark, monkeypatch):
     assert max(sizes.values()) > 20
 
 
-def test_candidates_of_a_template_grow_with_the_documents(spark):
-    """Documents of a hundred shared and fourteen own words are no near copies; hardly any two are compared."""
+def test_documents_of_a_template_stay(spark):
+    """Documents of a hundred shared and fourteen own words are no near copies; their postings meet, none of them goes."""
     rng = np.random.default_rng(5)
     template = [f"t{i}" for i in range(100)]
-    made = {}
-    for n in (300, 900):
-        texts = [" ".join([*template[:50], *(f"w{rng.integers(10**9)}" for _ in range(14)), *template[50:]]) for _ in range(n)]
-        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-        found = similar.written(similar.postings(docs, 5), "postings")
-        none = spark.createDataFrame([], "node binary, component binary")
-        made[n] = similar.hubs(found).count() + similar.other_pairs(found, none).count()
-        assert similar.keep_one(docs).count() == n
-    assert made[900] <= 4 * made[300] + 900
+    texts = [" ".join([*template[:50], *(f"w{rng.integers(10**9)}" for _ in range(14)), *template[50:]]) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert similar.keep_one(docs).count() == 300
 
 
 def _deliveries():
