@@ -154,13 +154,29 @@ def _as_spans(structs: Iterable[dict] | None) -> list[Span]:
     return [(s["entity"], s["start"], s["end"], s["score"]) for s in structs or ()]
 
 
+#: Bytes of input that a worker turns into Python objects at once, or one row.
+SLICE = 1_000_000
+
+
+def slices(batch: pa.RecordBatch, inputs: Sequence[str], limit: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Slices of ``batch`` whose columns ``inputs`` hold ``limit`` bytes at most, or one row each."""
+    if batch.num_rows < 2 or sum(batch.column(c).nbytes for c in inputs) <= limit:
+        yield batch
+        return
+    half = batch.num_rows // 2
+    for part in (batch.slice(0, half), batch.slice(half)):
+        yield from slices(part, inputs, limit)
+
+
 def _mapped(df: DataFrame, work: Callable[..., object], inputs: list[str], output: str, kind: str, arrow: pa.DataType) -> DataFrame:
-    """Add the column ``output``: ``work`` of the input columns, row by row within Arrow batches."""
+    """Add the column ``output``: ``work`` of the input columns, row by row within Arrow batches.
+
+    A worker holds one slice of a batch as Python objects, so its memory does not grow with the rows of a batch."""
     columns = [c for c in df.columns if c != output]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*[F.col(f"`{c}`") for c in columns]).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, inputs)):
             values = [work(*row) for row in zip(*(batch.column(c).to_pylist() for c in inputs), strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(values, arrow)], [*columns, output])
 

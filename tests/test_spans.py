@@ -106,3 +106,17 @@ def test_long_texts_take_linear_time(spark):
 def test_unknown_entities_and_operators():
     with pytest.raises(ValueError):
         spans.active(["CARD"], 0.5)
+
+
+def test_workers_hold_one_slice_of_a_batch(spark):
+    import pyarrow as pa
+
+    texts = ["x" * 300_000, None, "y", "é" * 900_000, "", *["z" * 10_000] * 500]
+    names = [["Ann"] * 3] * len(texts)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(names)], ["text", "names"])
+    parts = list(spans.slices(batch, ["text", "names"]))
+    assert pa.Table.from_batches(parts).to_pylist() == batch.to_pylist()
+    assert all(p.num_rows == 1 or p.column("text").nbytes + p.column("names").nbytes <= spans.SLICE for p in parts)
+    rows = spark.createDataFrame([(i, f"{t[:200_000] if t else t} a@b.co") for i, t in enumerate(texts[:40])], "n int, text string")
+    found = spans.detect(rows.coalesce(1), ["EMAIL"]).selectExpr("n", "size(spans) as s").collect()
+    assert sorted(found) == [(n, 1) for n in range(40)]
