@@ -10,13 +10,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def draw(tag: str, key: Column) -> Column:
-    """A uniform 32-bit value: the first eight hex digits of md5(tag:key) as a bigint."""
-    digest = F.md5(F.concat(F.lit(f"{tag}:"), key.cast("string")))
+def draw(tag: str | Column, key: Column) -> Column:
+    """A uniform 32-bit value: the first eight hex digits of md5(tag:key) as a bigint. The tag may be a column."""
+    label = [F.lit(f"{tag}:")] if isinstance(tag, str) else [tag, F.lit(":")]
+    digest = F.md5(F.concat(*label, key.cast("string")))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
-def below(tag: str, key: Column, n: Column | int) -> Column:
+def below(tag: str | Column, key: Column, n: Column | int) -> Column:
     """A uniform integer in [0, n)."""
     return F.pmod(draw(tag, key), F.lit(n).cast("bigint") if isinstance(n, int) else n.cast("bigint"))
 

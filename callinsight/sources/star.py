@@ -246,23 +246,26 @@ def answer_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @reused
 def poll_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The second question block answered several times: one row per call, question and poll."""
+    """The second question block answered several times: one row per call, question and poll.
+
+    The answer is drawn on the row it belongs to: one small expression, not one per question and poll."""
     k = F.col("o_orderkey")
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("question"),
-                F.lit(p).alias("poll"),
-                _poll_answer(c, p, k).alias("answer"),
-            )
-            for c in S.ANSWER_BLOCKS[1]
-            for p in range(1, POLL_COUNT + 1)
-        ]
-    )
+    yes_no, scores = F.array(F.lit("Yes"), F.lit("No")), F.array(*[F.lit(str(n)) for n in range(1, 6)])
+    asked = [
+        F.struct(F.lit(c).alias("question"), F.lit(p).alias("poll"), F.lit(f"poll{p}_{c}").alias("tag"), (yes_no if c in S.YES_NO_COLUMNS else scores).alias("choices"))
+        for c in S.ANSWER_BLOCKS[1]
+        for p in range(1, POLL_COUNT + 1)
+    ]
+    drawn = R.below(F.col("r.tag"), F.col("k"), F.size("r.choices")).cast("int")
     return (
         table(spark, sf_dir, "orders")
-        .select(F.concat(k.cast("string"), F.lit(".anon.txt")).alias("text_file"), F.explode(rows).alias("r"))
-        .select("text_file", "r.question", "r.poll", "r.answer")
+        .select(k.alias("k"), F.explode(F.array(*asked)).alias("r"))
+        .select(
+            F.concat(F.col("k").cast("string"), F.lit(".anon.txt")).alias("text_file"),
+            "r.question",
+            "r.poll",
+            F.get("r.choices", drawn).alias("answer"),
+        )
     )
 
 

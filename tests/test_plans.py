@@ -182,3 +182,10 @@ def test_a_hot_recording_is_split(spark):
     finally:
         for k in HOT:
             spark.conf.unset(k)
+
+
+def test_a_poll_answer_is_one_draw_on_its_row(spark):
+    from callinsight.sources import star
+
+    plan = star.poll_answers(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1
