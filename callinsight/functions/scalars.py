@@ -57,8 +57,9 @@ def score_from_text(answer: Column) -> Column:
 
     "4 out of 5" is 4; "10", "-3", "4.5" and "level 45" are no scores.
     """
-    number = F.regexp_extract(answer, r"-?\d+(?:[.,]\d+)?", 0)
-    return F.when(number.rlike("^[1-5]$"), number).cast("int")
+    # One search, so that ``answer`` is worked out once: no number before the digit, none that goes on after it.
+    digit = F.regexp_extract(answer, r"(?s)\A(?:[^\d-]++|-(?!\d))*+([1-5])(?!\d|[.,]\d)", 1)
+    return digit.try_cast("int")
 
 
 # --- Labels -----------------------------------------------------------------------------------

@@ -176,7 +176,10 @@ def numbered_items(text: Column, n: int) -> Column:
     pattern = rf"(?smd)\A.*?{items}\z"
     groups = _CUT.join(f"${i}" for i in range(1, n + 1))
     parts = F.split(F.regexp_replace(F.translate(text, _CUT, ""), pattern, groups), _CUT)
-    return F.when(F.size(parts) == n, F.transform(parts, lambda x: F.btrim(x, F.lit(_WHITE))))
+    # Bound to a name of its own, so that the pattern runs once however often the parts are looked at.
+    return F.get(
+        F.transform(F.array(parts), lambda found: F.when(F.size(found) == n, F.transform(found, lambda x: F.btrim(x, F.lit(_WHITE))))), F.lit(0)
+    )
 
 
 def parse_blocks(texts: DataFrame, blocks: Sequence[Block], scores: Sequence[str] = tuple(S.SCORE_COLUMNS)) -> DataFrame:

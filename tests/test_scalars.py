@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -105,3 +106,12 @@ def test_random_days_are_inclusive_and_repeatable(spark):
     one = draw(1)
     assert set(one) == {1, 2, 3}
     assert one == draw(7)
+
+
+def test_score_is_the_first_number_alone(spark):
+    answers = ["4 out of 5", "10", "-3", "4.5", "level 45", "--3", "a-b 2", "- 5", "3.", "2,", "2,5", "0 then 3", "6", "", None, "x\ny 1\n", "5-4", "-", "1a", "٣ 2"]
+    got = spark.createDataFrame([(a,) for a in answers], "a string").select(X.score_from_text(F.col("a"))).collect()
+    first = [re.search(r"-?[0-9]+(?:[.,][0-9]+)?", a or "") for a in answers]
+    assert [r[0] for r in got] == [int(m[0]) if m and re.fullmatch("[1-5]", m[0]) else None for m in first]
+    plan = spark.range(1).select(X.score_from_text(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("cast(id") == 1
