@@ -78,6 +78,11 @@ class Vocabulary:
                 self.parts[whole], self.made[whole] = both, rank
         self._apart: dict[int, bool] = {}
 
+    def columns(self) -> tuple[pa.Array, pa.Array]:
+        """The bytes and the decimal number of each token, by id."""
+        ids = range(max(self.token) + 1)
+        return pa.array([self.token.get(i) for i in ids], pa.binary()), pa.array([str(i) if i in self.token else None for i in ids], pa.string())
+
     def stay_apart(self, left: int, right: int) -> bool:
         """Whether BPE over the bytes of both tokens gives just these two tokens.
 
@@ -234,20 +239,26 @@ def decode(encoded: DataFrame, path: str = DEFAULT_PATH) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
-        decimal = per_worker(f"bpe-decimal:{path}", lambda: {i: str(i) for i in bpe.vocabulary.token})
+        token, decimal = per_worker(f"bpe-tokens:{path}", bpe.vocabulary.columns)
         for whole in batches:
             sizes = pa.compute.list_value_length(whole.column("ids")).to_numpy(zero_copy_only=False)
             start = 0
             while start < whole.num_rows:  # about CHUNK ids at once, or one row
                 batch = whole.slice(start, max(1, int(np.searchsorted(np.cumsum(sizes[start:]), CHUNK, side="right"))))
                 start += batch.num_rows
-                texts, digits, counts = [], [], []
-                for row in batch.column("ids"):
-                    ids = row.values.to_numpy().tolist()
-                    counts.append(len(ids))
-                    texts.append(bpe.decode(ids))
-                    digits.append(",".join(map(decimal.__getitem__, ids)))
-                columns = [batch.column("id"), pa.array(counts, pa.int64()), pa.array(texts, pa.string()), pa.array(digits, pa.string())]
+                offsets = batch.column("ids").offsets
+                flat = batch.column("ids").values.slice(offsets[0].as_py(), offsets[-1].as_py() - offsets[0].as_py())
+                own = token.take(flat)
+                if own.null_count:
+                    raise KeyError("an id that no token has")
+                offsets = pa.compute.subtract(offsets, offsets[0])
+                texts = pa.compute.binary_join(pa.ListArray.from_arrays(offsets, own), b"")
+                try:
+                    texts = texts.cast(pa.string())
+                except pa.ArrowInvalid:  # some bytes are no UTF-8
+                    texts = pa.array([text.as_py().decode("utf-8", "replace") for text in texts], pa.string())
+                counts = pa.compute.list_value_length(batch.column("ids")).cast(pa.int64())
+                columns = [batch.column("id"), counts, texts, pa.compute.binary_join(pa.ListArray.from_arrays(offsets, decimal.take(flat)), ",")]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "n", "text", "ids_text"])
 
     ids = F.coalesce("ids", F.array().cast("array<int>")).alias("ids")

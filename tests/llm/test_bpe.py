@@ -172,3 +172,12 @@ def test_sources_with_a_weight_have_a_queue_of_their_own(spark, library):
         if p.sequence_id < 2:
             first[p["queue"]] += p["length"]
     assert first == {"s00": 96, "s01": 32}
+
+
+def test_tokens_are_joined_as_columns(spark):
+    token, decimal = bpe.encoder().vocabulary.columns()
+    assert all(token[i].as_py() == t and decimal[i].as_py() == str(i) for i, t in bpe.encoder().vocabulary.token.items())
+    rows = [(1, [140, 200, 201]), (2, []), (3, None), (4, [5, 6]), (4, [5, 6])]
+    got = bpe.decode(spark.createDataFrame(rows, "id long, ids array<int>").coalesce(1)).collect()
+    own = [(i, ids or []) for i, ids in rows]
+    assert sorted(map(tuple, got)) == sorted((i, len(ids), bpe.encoder().decode(ids), ",".join(map(str, ids))) for i, ids in own)
