@@ -1,6 +1,7 @@
 """Physical plans: shuffles per chart, joins, and skewed keys without broadcast."""
 
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -189,3 +190,34 @@ def test_a_poll_answer_is_one_draw_on_its_row(spark):
 
     plan = star.poll_answers(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("md5(") == 1
+
+
+DELIVERED = [("a", "1", "x"), ("a", "1", "x"), ("a", "0", "y"), ("b", "2", None), ("b", "2", None), ("c", None, "x"), ("s", "7", "x"), ("s", "7", "x"), ("s", "6", "x")]
+DELIVERED += [(None, "8", "x"), (None, None, None), ("d", "9", "\x00"), ("d", "9", None), ("a", None, "z"), ("c", None, "x")]
+
+
+def test_counts_and_errors_need_no_join_by_recording(spark):
+    """A recording with many texts or calls meets nothing in one task; counts and errors are those of the outcomes."""
+    texts = spark.createDataFrame(DELIVERED, "audio_file string, transcription_file string, text string").repartition(3)
+    calls = spark.createDataFrame([("1", "a"), ("2", "a"), ("3", "b"), ("4", None), ("5", "c"), ("6", "d"), ("7", "e"), ("8", "gone")], "call_id string, audio_file string")
+    inventory = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), ("d",), ("e",), ("x",), (None,)], "audio_file string")
+    found = reconcile.by_recording(calls, texts, inventory)
+    errors = reconcile.text_errors(texts, found)
+    listed = lambda df: Counter(map(tuple, df.collect()))
+    assert listed(errors) == listed(reconcile.errors_of_texts(reconcile.text_outcomes(texts, found)))
+    counted = {(r.input, r.outcome): r.rows for r in reconcile.accounted(calls, texts, inventory).collect()}
+    of_calls = Counter(r.outcome for r in reconcile.call_outcomes(calls, found, True).collect())
+    assert {o: n for (kind, o), n in counted.items() if kind == "call"} == of_calls
+    of_texts = Counter(r.error for r in errors.collect())
+    assert {o: n for (kind, o), n in counted.items() if kind == "text" and o != "used"} == of_texts
+    assert counted["text", "used"] == len(DELIVERED) - of_texts.total() == 2
+    assert {o: n for (kind, o), n in counted.items() if kind == "recording"} == {"used": 6, "no call has this recording": 1, "no recording named": 1}
+    assert "Join" not in reconcile.accounted(calls, texts, inventory)._jdf.queryExecution().optimizedPlan().toString()
+    joined = errors._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count("Join") == 1 and "digest" in joined.split("Join")[1].splitlines()[0]
+
+
+def test_many_orders_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(star, "ROWS", 100)
+    rows = star.table.__wrapped__(spark, "/root/testdata/sf0.001", "orders")
+    assert rows.rdd.getNumPartitions() == -(-rows.count() // 100) > 10
