@@ -99,7 +99,7 @@ def _inputs(spark: SparkSession, d: str) -> DataFrame:
 
 def _text_errors(spark: SparkSession, d: str) -> DataFrame:
     t = star.deliveries(spark, d)
-    return reconcile.errors_of_texts(reconcile.text_outcomes(t["texts"], reconcile.by_recording(t["calls"], t["texts"])))
+    return reconcile.text_errors(t["texts"], reconcile.by_recording(t["calls"], t["texts"]))
 
 
 #: A block of questions of its own, asked three times; one of its columns is none of the call table's.
