@@ -4,8 +4,9 @@ A text's paragraphs, cut by a pattern, become 64-bit digests (a paragraph that o
 own). The sketch has three tables of ``CELLS / 3`` cells; a digest falls into one cell
 of each, where its count, its XOR and the XOR of its check value are kept. Two sketches subtract cell by
 cell; what both texts share cancels. A cell left with one digest gives it away, it is peeled from its other
-cells, and so on. If cells remain, the sketch was too small: the same is done with four sketches
-over a share of the digests each, again and again, until all differing digests are recovered.
+cells, and so on. If cells remain, the sketch was too small: its counts tell about how many digests differ, and the
+same is done with so many sketches, a power of four, over a share of the digests each, and where one of them is too
+small with four in its place, again and again, until all differing digests are recovered.
 
 All of it is expressions on one row, linear in the text; memory is that of one document. The next
 document is found by cutting the ids into ranges of about equal size at existing ids (the only thing that
@@ -24,6 +25,8 @@ _TABLE = CELLS // 3
 #: Attempts after the first, each with four times the sketches; all 64 bits of a digest are used up by then.
 ATTEMPTS = 32
 ROUNDS = 12
+#: Digests that a sketch of the first attempt after the first is to hold, about.
+LOAD = 5
 #: Paragraphs end at every line break and every sentence end, so where one ends depends on what is there alone.
 PARAGRAPH_END = r"[.!?\n]+"
 
@@ -37,7 +40,7 @@ def _element(x: str, sign: int = 1) -> str:
 
 
 def _hits(m: str, i: str) -> str:
-    return f"({m} & shiftleft(1, {i})) <> 0"
+    return f"getbit({m}, {i}) = 1Y"
 
 
 def digests_sql(text: str, paragraph_end: str = PARAGRAPH_END) -> str:
@@ -78,7 +81,9 @@ def subtract_sql(a: str, b: str) -> str:
 def peel_sql(cells: str) -> str:
     """(ok, found array<struct<n, x>>): n is 1 for digests of the first text alone, -1 for the second."""
     nothing = "cast(array() as array<struct<n:int,x:bigint>>)"
-    pure = "array_distinct(transform(filter(s.cells, c -> abs(c.n) = 1 and xxhash64(c.x, 2L) = c.c), c -> named_struct('n', c.n, 'e', " + _element("c.x") + ")))"
+    alone = "filter(s.cells, c -> abs(c.n) = 1 and xxhash64(c.x, 2L) = c.c)"
+    once = f"array_distinct(transform({alone}, c -> named_struct('n', c.n, 'x', c.x)))"
+    pure = f"transform({once}, p -> named_struct('n', p.n, 'e', {_element('p.x')}))"
     taken = f"aggregate(filter(pure, q -> {_hits('q.e.m', 'i')}), c, (a, q) -> named_struct('n', a.n - q.n, 'x', a.x ^ q.e.x, 'c', a.c ^ q.e.c))"
     step = (
         f"if(s.done, s, transform(array({pure}), pure -> if(size(pure) = 0, named_struct('done', true, 'cells', s.cells, 'found', s.found), "
@@ -90,30 +95,45 @@ def peel_sql(cells: str) -> str:
     return f"aggregate(sequence(1, {ROUNDS}), {begin}, (s, r) -> {step}, s -> {end})"
 
 
+def splits_sql(cells: str) -> str:
+    """How often the digests of a difference are cut in four before sketches of ``CELLS`` cells hold them.
+
+    In each table the squares of the counts add up to about the differing digests, but for what the texts differ in
+    number, which no cell hides; this decides only what is tried first."""
+    net = f"aggregate({cells}, 0D, (a, c) -> a + c.n) / 3"
+    squares = f"aggregate({cells}, 0D, (a, c) -> a + double(c.n) * c.n) / 3"
+    differ = f"greatest(abs({net}), ({squares} - {net} * {net} / {_TABLE}) * {_TABLE} / {_TABLE - 1})"
+    return f"cast(least({ATTEMPTS}, greatest(1, ceil(log(4, greatest(1D, {differ}) / {LOAD})))) as int)"
+
+
 def differing_sql(a: str, b: str, cells_a: str, cells_b: str) -> str:
     """The digests in which two texts differ: from their sketches, else with more sketches.
 
     What does not peel is dealt to four times as many sketches by the next two bits of the digests, from the
-    top; their cells follow from the bits at the bottom.
+    top; their cells follow from the bits at the bottom. After the first sketch the digests are dealt as often as
+    :func:`splits_sql` says before the next sketches are made.
     """
     bits = "(shiftright(x, cast(62 - 2 * k as int)) & 3) = j"
     split = (
-        "flatten(transform(t.open, o -> transform(sequence(0, 3), j -> "
-        f"named_struct('a', filter(o.a, x -> {bits}), 'b', filter(o.b, x -> {bits})))))"
+        "filter(flatten(transform(t.open, o -> transform(sequence(0, 3), j -> "
+        f"named_struct('a', filter(o.a, x -> {bits}), 'b', filter(o.b, x -> {bits}))))), o -> size(o.a) + size(o.b) > 0)"
     )
     tried = f"transform({split}, o -> named_struct('o', o, 'r', {peel_sql(difference_sql('o.a', 'o.b'))}))"
     attempt = (
-        f"transform(array({tried}), w -> named_struct('open', transform(filter(w, v -> not v.r.ok), v -> v.o), "
+        f"transform(array({tried}), w -> named_struct('skip', t.skip, 'open', transform(filter(w, v -> not v.r.ok), v -> v.o), "
         "'found', concat(t.found, flatten(transform(filter(w, v -> v.r.ok), v -> v.r.found)))))[0]"
     )
+    dealt = f"named_struct('skip', t.skip, 'open', {split}, 'found', t.found)"
     parts = "array<struct<a:array<bigint>,b:array<bigint>>>"
     whole = f"array(named_struct('a', {a}, 'b', {b}))"
     nothing = "cast(array() as array<struct<n:int,x:bigint>>)"
     first = (
-        f"transform(array({peel_sql(subtract_sql(cells_a, cells_b))}), r -> named_struct("
-        f"'open', if(r.ok, cast(array() as {parts}), {whole}), 'found', if(r.ok, r.found, {nothing})))[0]"
+        f"transform(array({subtract_sql(cells_a, cells_b)}), d -> transform(array({peel_sql('d')}), r -> named_struct("
+        f"'skip', if(r.ok, 0, {splits_sql('d')}), "
+        f"'open', if(r.ok, cast(array() as {parts}), {whole}), 'found', if(r.ok, r.found, {nothing})))[0])[0]"
     )
-    return f"aggregate(sequence(0, {ATTEMPTS - 1}), {first}, (t, k) -> if(size(t.open) = 0, t, {attempt}), t -> t.found)"
+    step = f"if(size(t.open) = 0, t, if(k + 1 < t.skip, {dealt}, {attempt}))"
+    return f"aggregate(sequence(0, {ATTEMPTS - 1}), {first}, (t, k) -> {step}, t -> t.found)"
 
 
 def fingerprint_sql(cells: str) -> str:

@@ -174,6 +174,20 @@ def test_fingerprints_of_awkward_rows(spark):
     assert one.near_next == 1.0 and one.edited == "é" * 50
 
 
+def test_sketches_are_as_many_as_a_difference_needs(spark):
+    """How many are made after a failed peel follows from the counts, whether one text is longer or not; all is recovered."""
+    sized = {"few": (300, 6, 6), "many": (0, 200, 200), "longer": (40, 10, 160), "one": (0, 0, 90)}
+    rows = [(k, list(range(both + a)), [*range(both), *range(1000, 1000 + b)]) for k, (both, a, b) in sized.items()]
+    sets = spark.createDataFrame(rows, "name string, one array<long>, two array<long>")
+    sets = sets.selectExpr("name", *[f"transform({c}, x -> xxhash64(x)) as {c}" for c in ("one", "two")])
+    sets = sets.selectExpr("*", *[f"{iblt.sketch_sql(c)} as cells_{c}" for c in ("one", "two")]).cache()
+    differ = iblt.differing_sql("one", "two", "cells_one", "cells_two")
+    got = {r.name: r for r in sets.selectExpr("name", f"{iblt.splits_sql(iblt.subtract_sql('cells_one', 'cells_two'))} as splits", f"{differ} as found").collect()}
+    for k, (_, a, b) in sized.items():
+        assert sum(f.n == 1 for f in got[k].found) == a and sum(f.n == -1 for f in got[k].found) == b == len(got[k].found) - a
+    assert got["few"].splits <= 2 and all(3 <= got[k].splits <= 4 for k in ("many", "longer")) and got["one"].splits in (2, 3)
+
+
 def test_fingerprint_plan_is_native(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     plan = iblt.compared(docs)._jdf.queryExecution().executedPlan().toString()
