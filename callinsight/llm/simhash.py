@@ -50,7 +50,11 @@ def shingle_hashes(text: bytes, words_per_shingle: int) -> np.ndarray:
 
 def fingerprint(text: bytes, words_per_shingle: int = 4) -> int:
     """Majority bits of the hashes of all shingles; 0 for a text without words."""
-    hashes = shingle_hashes(text, words_per_shingle)
+    return majority(shingle_hashes(text, words_per_shingle))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """A bit is 1 if it is set in over half of ``hashes``."""
     counts = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 1 << 16):  # long texts in slices
         part = hashes[at : at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8)

@@ -1,13 +1,16 @@
 """Near copies by shingle sets: all pairs whose Jaccard similarity reaches 4/5, and what hangs together by them.
 
-Every pair is found, none by chance. All shingles have one order, rare ones first; of two sets of similarity t
+Candidates come from operator 4's binary trie of 64-bit fingerprints, here of the shingle sets and with a budget of
+``BUDGET`` bits, joined with itself: each set is held against the one in the middle of its group. Fingerprints alone do not
+find every pair, so what they leave is found exactly by the prefixes of the sets. All shingles have one order, rare ones first; of two sets of similarity t
 each holds a common shingle among its first ``n - ceil(t n) + 1`` ones, so only these are posted, and their
 positions bound what two sets can share. The order takes frequencies from some rows; it decides how much
 is compared, never what is found.
 
-Pairs are confirmed on whole sets before they count. First each set is held against one hub, the most typical
-set it meets, which joins dense groups with one comparison a member; then all pairs that are still in
-different components and pass the bounds are compared.
+Pairs are confirmed on whole sets before they count. With the pairs of the trie each set is held against one hub, the most
+typical set that it meets by its prefix, which joins dense groups with one comparison a member; then all pairs that
+are still in different components and pass the bounds are compared. Parities of the sets in 1,024 bits go ahead: bits in
+which they differ stand for at least as many different shingles, so no pair that is similar enough is lost by them.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callinsight.llm.common import fresh, internal_id, release, scratch, text_of, written
-from callinsight.llm.simhash import components, decisions, shingle_hashes, text_digest, without_dropped
+from callinsight.llm.simhash import BITS, components, decisions, links, majority, placed, shingle_hashes, text_digest, without_dropped
 from callinsight.llm.words import slices
 
 WORDS = 5
@@ -32,6 +35,8 @@ PART, WHOLE = 4, 5
 SEEN, COMMON = 20_000, 1 << 18
 #: Bytes of text whose sets a worker holds at once, or one document.
 CHUNK = 2_000_000
+#: Differing bits at which the trie links fingerprints, and bits of the parities, a multiple of 64.
+BUDGET, PARITY = 8, 1024
 #: Bits (as a power of two) of the bitmap of rows to compare.
 BITMAP = 24
 
@@ -49,6 +54,12 @@ def leading(n: int) -> int:
     return n and n - -(-PART * n // WHOLE) + 1
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """How often, modulo two, a shingle falls on each of ``PARITY`` places."""
+    odd = np.bincount((shingles % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     values = np.concatenate([*parts, np.zeros(0, np.uint64)]).view(np.int64)
     offsets = np.cumsum([0, *map(len, parts)]).astype(np.int32)
@@ -73,7 +84,8 @@ def common_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray
 
 
 def postings(docs: DataFrame, words: int) -> DataFrame:
-    """(id, digest, fp, n, lead) for each row: key and size of its set, and the shingles to post in order."""
+    """(id, digest, fp, n, lead, print, parity) for each row: key and size of its set, the shingles to post in order,
+    the fingerprint and the parities of the set."""
     common, counts = common_shingles(docs, words)
 
     def ranked(shingles: np.ndarray) -> np.ndarray:
@@ -88,11 +100,13 @@ def postings(docs: DataFrame, words: int) -> DataFrame:
             sets = [shingle_set(t.as_py(), words) for t in batch.column("text")]
             fp = pa.array(list(map(set_key, sets)), pa.binary())
             n = np.fromiter(map(len, sets), np.int64, len(sets))
+            prints = np.fromiter(map(majority, sets), np.uint64, len(sets)).view(np.int64)
             columns = [batch.column("id"), batch.column("digest"), fp, pa.array(n), _lists([ranked(s) for s in sets])]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "digest", "fp", "n", "lead"])
+            columns += [pa.array(prints), _lists([parity(s) for s in sets])]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "digest", "fp", "n", "lead", "print", "parity"])
 
     narrow = docs.select(internal_id().alias("id"), text_digest().alias("digest"), text_of().cast("binary").alias("text"))
-    return narrow.mapInArrow(post, "id long, digest binary, fp binary, n long, lead array<long>")
+    return narrow.mapInArrow(post, "id long, digest binary, fp binary, n long, lead array<long>, print long, parity array<long>")
 
 
 def whole_sets(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
@@ -120,7 +134,14 @@ def whole_sets(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
 
 
 def confirmed(docs: DataFrame, found: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """The ``pairs`` (a, b), a written table, whose whole sets are similar enough; sets are made for those in pairs only."""
+    """The ``pairs`` (a, b) whose whole sets are similar enough; sets are made only for those in pairs that parities let pass.
+
+    Sets of ``na`` and ``nb`` shingles, ``d`` of them in one alone, are similar enough if (WHOLE - PART) * (na + nb) is at
+    least (WHOLE + PART) * d, and ``d`` is at least the number of places where the parities differ."""
+    marks = found.groupBy("fp").agg(F.first("n").alias("n"), F.first("parity").alias("parity"))
+    met = pairs.join(marks.toDF("a", "na", "qa"), "a").join(marks.toDF("b", "nb", "qb"), "b")
+    apart = F.aggregate(F.zip_with("qa", "qb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, v: s + v)
+    pairs = written(met.where((WHOLE - PART) * (F.col("na") + F.col("nb")) >= (WHOLE + PART) * apart).select("a", "b"), "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
     rows = found.join(ends, "fp").groupBy("fp").agg(F.min(F.struct("id", "digest")).alias("row"))
     rows = written(rows.select("row.id", "row.digest"), "compared")
@@ -137,6 +158,24 @@ def able(n: str, pos: str, other_n: str, other_pos: str) -> Column:
     return (WHOLE + PART) * most >= PART * (F.col(n) + F.col(other_n))
 
 
+def trie_pairs(found: DataFrame) -> DataFrame:
+    """(a, b): each set with the middle one of its group, the groups being what the trie of fingerprints links.
+
+    The middle is the set whose fingerprint differs least from the majority bits of all in the group."""
+    sets = found.select("fp", "print").distinct()
+    prints = sets.select(F.col("print").alias("fp")).distinct()
+    groups = placed(prints, components(links(prints, BUDGET))).select(F.col("fp").alias("print"), F.col("component").alias("group"))
+    grouped = written(sets.join(groups, "print"), "groups")
+    votes = [F.sum(F.shiftrightunsigned("print", bit).bitwiseAND(F.lit(1))).alias(f"b{bit}") for bit in range(BITS)]
+    voted = grouped.groupBy("group").agg(F.count("*").alias("size"), *votes).where("size > 1")
+    middle = F.lit(0).cast("long")
+    for bit in range(BITS):
+        middle = middle.bitwiseOR(F.when(F.col(f"b{bit}") * 2 > F.col("size"), F.shiftleft(F.lit(1).cast("long"), bit)).otherwise(F.lit(0).cast("long")))
+    near = grouped.join(voted.select("group", middle.alias("middle")), "group")
+    hub = near.groupBy("group").agg(F.min(F.struct(F.bit_count(F.col("print").bitwiseXOR(F.col("middle"))).alias("far"), "fp")).alias("hub"))
+    return grouped.join(hub, "group").where("fp != hub.fp").select(F.col("fp").alias("a"), F.col("hub.fp").alias("b"))
+
+
 def hubs(shared: DataFrame) -> DataFrame:
     """(a, b): each set with the most typical one that it meets most often among those of about its size."""
     score = shared.groupBy("fp").agg((F.sum("often") / F.max("n")).alias("score"))
@@ -171,9 +210,11 @@ def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
         often = posts.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1")
         shared = posts.join(often, "shingle").groupBy("shingle", "fp").agg(F.min("n").alias("n"), F.min("pos").alias("pos"), F.min("often").alias("often"))
         shared = written(shared, "shared")
-        found = written(found.select("id", "digest", "fp"), "found")
+        found = written(found.select("id", "digest", "fp", "n", "print", "parity"), "found")
+        release(spark)
+        linked = written(trie_pairs(found), "linked")
         release(spark)
-        hubbed = written(hubs(shared), "hubs")
+        hubbed = written(linked.unionByName(hubs(shared)).distinct(), "hubs")
         release(spark)
         near = written(confirmed(docs, found, hubbed, words), "near")
         release(spark)

@@ -24,7 +24,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that hang together by pairs of similarity 0.8 or more, on sets of five words, the one with the
-    smallest id stays."""
+    smallest id stays. Pairs come from the trie of fingerprints, what it leaves from the prefixes of the sets."""
     return similar.keep_one(docs)
 
 

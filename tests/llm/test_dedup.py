@@ -249,6 +249,31 @@ def test_documents_of_a_template_stay(spark):
     assert similar.keep_one(docs).count() == 300
 
 
+def test_near_copies_come_from_the_trie(spark):
+    """Copies with a word or two changed meet the middle one of their group; the prefixes find what is left."""
+    rng = np.random.default_rng(7)
+    base = [f"w{rng.integers(10**6)}" for _ in range(400)]
+    texts = [" ".join([*base[:at], f"x{at}", *base[at + 1 :]]) for at in range(10, 390, 19)]
+    texts += [" ".join(f"v{rng.integers(10**6)}" for _ in range(60)) for _ in range(50)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = similar.postings(docs, 5).cache()
+    fps = {r.id: bytes(r.fp) for r in found.collect()}
+    pairs = [(bytes(r.a), bytes(r.b)) for r in similar.trie_pairs(found).collect()]
+    middles = {b for _, b in pairs}
+    assert len(middles) == 1 and {a for a, _ in pairs} | middles == {fps[i] for i in range(20)}
+    assert similar.keep_one(docs).count() == 51
+
+
+def test_parities_differ_in_no_more_places_than_sets():
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 30, 3000):
+        sets = [np.unique(rng.integers(0, 2 * n + 1, n).astype(np.uint64) * np.uint64(11400714819323198485)) for _ in range(2)]
+        one, two = map(similar.parity, sets)
+        assert len(one) * 64 == similar.PARITY
+        assert int(np.bitwise_count(one ^ two).sum()) <= len(np.setxor1d(*sets))
+        assert int(np.bitwise_count(one).sum()) == len(sets[0]) % 2 or n > 1
+
+
 def _deliveries():
     base = [(10, "a  b"), (11, "c"), (12, "a b"), (13, None), (14, "long " * 30_000)]
     second = [(1, "a b"), (2, "c d"), (3, "c\td"), (20, ""), (21, "new"), (21, "new"), (None, "c"), (None, "only")]
