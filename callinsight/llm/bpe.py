@@ -17,12 +17,14 @@ from __future__ import annotations
 import json
 import struct
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,8 @@ WORDS = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
+#: Words with more characters are left to the trie, whose time grows with the length alone.
+LONG = 100
 #: Characters worked on at once in a worker.
 CHUNK = 1_000_000
 
@@ -148,6 +152,45 @@ class Vocabulary:
             before = word
             yield out
 
+    def ranks_suffice(self) -> bool:
+        """Whether merging neighbours by the number of the token they form, whatever the pair, gives the listed merges.
+
+        It does if numbers grow with the merges, no token is made before its parts and each token's own bytes encode as
+        it alone: then its bytes never lie in two neighbours other than its parts when its turn comes."""
+        order = sorted(self.made, key=self.made.__getitem__)
+        if order != sorted(order) or any(self.made.get(p, -1) >= self.made[t] or p > t for t in order for p in self.parts[t]):
+            return False
+        tokens = sorted(self.id_of)
+        return all(ids == [self.id_of[t]] for t, ids in zip(tokens, self.encode_sorted(tokens), strict=True))
+
+
+class Sizes(dict):
+    """From a word to its number of tokens, worked out when first asked for and remembered in two generations.
+
+    Words come one by one, so they are not walked as a trie: ``tiktoken`` merges them by rank, where that is the same."""
+
+    def __init__(self, vocabulary: Vocabulary, remember: int):
+        super().__init__()
+        self.vocabulary, self.remember, self.old = vocabulary, remember, {}
+        self.merged = None
+        if vocabulary.ranks_suffice():
+            uncut = tiktoken.Encoding("words", pat_str="(?s:.+)", mergeable_ranks=vocabulary.id_of, special_tokens={})
+            self.merged = uncut.encode_ordinary
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > self.remember:
+            self.old = dict(self)
+            self.clear()
+        size = self.old.get(word)
+        if size is None:
+            if self.merged and len(word) <= LONG:
+                size = len(self.merged(word))
+            else:
+                (ids,) = self.vocabulary.encode_sorted([word.encode("utf-8", "surrogatepass")])
+                size = len(ids)
+        self[word] = size
+        return size
+
 
 class Encoder:
     """Encodes texts with a vocabulary, remembering words in two generations."""
@@ -161,6 +204,10 @@ class Encoder:
         self.words = self.pattern.findall
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.vocabulary.added)) + ")") if self.vocabulary.added else None
 
+    @cached_property
+    def sizes(self) -> Sizes:
+        return Sizes(self.vocabulary, self.remember)
+
     def learn(self, words: Iterable[str]) -> None:
         """Have the encodings (little-endian 32-bit ids) of all ``words`` in ``young``."""
         if len(self.young) > self.remember:

@@ -5,13 +5,15 @@ tokens below them. An edit finds its place by the sums, cuts the text anew from
 back as the edit can change a cut, until a new cut falls on an old one beyond it, encodes only the pre-tokens
 in between, and corrects the sums on the way to the root. The total is always the root's.
 
-Counts are those of the tokenizer with special strings as ordinary text. Documents are independent rows; nothing is
+Counts are those of the tokenizer with special strings as ordinary text; a word is encoded when its count is first
+asked for, see ``bpe.Sizes``. Documents are independent rows; nothing is
 shuffled, and a worker holds the trees of one document. Trees can be kept: ``trees`` makes them once, a table of them is
 written, and ``edit_trees`` applies further edits to it without the tokenizer seeing the rest of the text.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import accumulate, pairwise
 
@@ -29,7 +31,7 @@ EDITS = "array<struct<start:int,end:int,text:string>>"
 
 
 class TokenTree:
-    """``learn``: makes the counts of words known; ``counts``: from a word to its tokens."""
+    """``encoder``: its ``pattern`` cuts texts, its ``sizes`` tell the tokens of a word."""
 
     def __init__(self, words: list[str], encoder: bpe.Encoder):
         self.encoder = encoder
@@ -61,9 +63,9 @@ class TokenTree:
             self.tokens[n] = self.tokens[2 * n] + self.tokens[2 * n + 1]
 
     def _sum_leaf(self, n: int) -> None:
-        get = self.encoder.young.__getitem__
-        self.chars[self.width + n] = sum(map(len, self.leaves[n]))
-        self.tokens[self.width + n] = sum(map(len, map(get, self.leaves[n]))) // 4
+        leaf = self.leaves[n]
+        self.chars[self.width + n] = sum(map(len, leaf))
+        self.tokens[self.width + n] = sum(map(self.encoder.sizes.__getitem__, leaf))
 
     @property
     def total(self) -> int:
@@ -91,35 +93,34 @@ class TokenTree:
         start = max(0, min(start, self.length))
         end = max(start, min(end, self.length))
         first, begin = self._find(max(0, start - AHEAD))
-        leaf, keep = self.leaves[first], 0
-        while keep < len(leaf) and begin + len(leaf[keep]) <= start - AHEAD:
-            begin += len(leaf[keep])
-            keep += 1
+        leaf = self.leaves[first]
+        ends = [0, *accumulate(map(len, leaf))]
+        keep = max(0, bisect_right(ends, start - AHEAD - begin) - 1)
+        begin += ends[keep]
         # The old words from the cut on, read leaf by leaf, and the text that they become.
         last, old = first, leaf[keep:]
         span = sum(map(len, old))
         while True:
             while begin + span < end + AHEAD + 1 and last + 1 < len(self.leaves):
                 last += 1
-                old = old + self.leaves[last]
+                old += self.leaves[last]
                 span += sum(map(len, self.leaves[last]))
             whole = last + 1 == len(self.leaves)
             was = "".join(old)
             now = was[: start - begin] + text + was[end - begin :]
             shift = len(now) - len(was)
-            cuts, at = {}, 0  # old cuts at or beyond the edit, in places of the new text
-            for n, word in enumerate(old):
-                if begin + at >= end:
-                    cuts[at + shift] = n
-                at += len(word)
-            fresh, place, meets = [], 0, None
+            cuts = [0, *accumulate(map(len, old))]  # in places of the old text
+            n = bisect_left(cuts, end - begin)  # the first at or beyond the edit
+            fresh, meets = [], None
             for match in self.encoder.pattern.finditer(now):
                 if not whole and match.end() > len(now) - AHEAD:
                     break
-                place = match.end()
                 fresh.append(match.group())
-                if place in cuts and place >= start - begin + len(text):
-                    meets = cuts[place]
+                place = match.end() - shift
+                while n < len(old) and cuts[n] < place:
+                    n += 1
+                if n < len(old) and cuts[n] == place:
+                    meets = n
                     break
             if meets is None and whole:
                 meets = len(old)
@@ -128,9 +129,8 @@ class TokenTree:
             before = last
             last = min(last + 1, len(self.leaves) - 1)
             if last > before:
-                old = old + self.leaves[last]
+                old += self.leaves[last]
                 span += sum(map(len, self.leaves[last]))
-        self.encoder.learn(set(fresh))
         self.encoded += len(fresh)
         self._replace(first, keep, last, fresh + old[meets:])
 
@@ -138,12 +138,10 @@ class TokenTree:
         words = self.leaves[first][:keep] + words
         count = last - first + 1
         if len(words) > 4 * LEAF * count:
-            self.encoder.learn(set(words))
             sums = [(self.chars[self.width + n], self.tokens[self.width + n]) for n in range(len(self.leaves))]
             made = [words[i : i + LEAF] for i in range(0, len(words), LEAF)]
             self._build(self.leaves[:first] + made + self.leaves[last + 1 :], [*sums[:first], *[None] * len(made), *sums[last + 1 :]])
             return
-        self.encoder.learn(set(words))
         share = -(-len(words) // count) if words else 1
         for k in range(count):
             self.leaves[first + k] = words[k * share : (k + 1) * share]
@@ -157,9 +155,7 @@ class TokenTree:
 
 
 def tree(text: str, encoder: bpe.Encoder) -> TokenTree:
-    words = encoder.words(text)
-    encoder.learn(set(words))
-    return TokenTree(words, encoder)
+    return TokenTree(encoder.words(text), encoder)
 
 
 _TREES = "id long, text string, word_chars array<int>, leaf_words array<int>, leaf_tokens array<int>, n_tokens long, encoded_words long"
@@ -232,13 +228,10 @@ def count_edits(docs: DataFrame, path: str = bpe.DEFAULT_PATH) -> DataFrame:
         encoder = bpe.encoder(path)
         for batch in batches:
             for part, texts in bpe.chunks(batch):
-                words = [encoder.words(t) for t in texts]
-                encoder.learn(set().union(*words))
                 out: list[list] = [[], [], [], [], []]
-                for cut, edits in zip(words, part.column("edits").to_pylist(), strict=True):
-                    if edits and len(encoder.young) > encoder.remember:
-                        encoder.learn(set(cut))  # an edit before may have begun a new generation
-                    grown = TokenTree(cut, encoder) if all(w in encoder.young for w in cut) else tree("".join(cut), encoder)
+                for text, edits in zip(texts, part.column("edits").to_pylist(), strict=True):
+                    cut = encoder.words(text)
+                    grown = TokenTree(cut, encoder)
                     before = grown.total
                     for e in edits or []:
                         grown.edit(e["start"] or 0, e["end"] or 0, e["text"] or "")

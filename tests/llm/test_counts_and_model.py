@@ -1,5 +1,6 @@
 """Edit-aware token counts against whole encodings, and the Pitman-Yor model against exact figures."""
 
+import json
 import math
 import zlib
 from collections import Counter
@@ -50,6 +51,35 @@ def test_an_edit_encodes_little_of_a_long_text(plain):
     assert tree.total == plain(tree.text())
 
 
+def test_short_words_need_no_trie(plain, monkeypatch):
+    encoder = bpe.Encoder(bpe.DEFAULT_PATH)
+    assert encoder.sizes.merged
+    monkeypatch.setattr(bpe.Vocabulary, "encode_sorted", None)
+    text = "It's 3.14 straße, 日本語 🎉🎉\n\n  unheardofwordiness <|endoftext|>\x1c" * 40 + " " * bpe.LONG
+    tree = token_counts.tree(text, encoder)
+    assert tree.total == plain(text)
+    tree.edit(500, 900, "anotherlongishinventedword'll  \t")
+    assert tree.total == plain(tree.text())
+
+
+def test_long_words_and_words_known_again(plain):
+    words = ["x" * bpe.LONG, "x" * (bpe.LONG + 1), " " + "ab" * 3000, "é" * 5000, "!" * 101, " one", "日本" * 60]
+    sizes = bpe.Encoder(bpe.DEFAULT_PATH, remember=2).sizes
+    for word in [*words, *words, *reversed(words)]:
+        assert sizes[word] == plain(word) and len(sizes) <= 3
+
+
+def test_merges_that_ranks_do_not_tell(tmp_path):
+    """``abc`` is a token of the vocabulary, but its bytes encode as ``a`` and ``bc``."""
+    alphabet = [c for c, _ in sorted(bpe._byte_alphabet().items(), key=lambda x: x[1])]
+    merges = [("b", "c"), ("a", "b"), ("ab", "c")]
+    vocab = {t: i for i, t in enumerate([*alphabet, *map("".join, merges)])}
+    (tmp_path / "v.json").write_text(json.dumps({"added_tokens": [], "model": {"vocab": vocab, "merges": [list(m) for m in merges]}}))
+    encoder = bpe.Encoder(str(tmp_path / "v.json"))
+    assert not encoder.vocabulary.ranks_suffice() and encoder.sizes["abc"] == 2
+    assert token_counts.tree("abc abc ab", encoder).total == 7
+
+
 def test_counts_of_the_table(spark, plain):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for r in token_counts.count_edits(token_counts.usual_edits(docs)).collect():
