@@ -103,7 +103,7 @@ class TokenTree:
         while True:
             while begin + span < end + AHEAD + 1 and last + 1 < len(self.leaves):
                 last += 1
-                old += self.leaves[last]
+                old.extend(self.leaves[last])
                 span += sum(map(len, self.leaves[last]))
             whole = last + 1 == len(self.leaves)
             was = "".join(old)
@@ -129,7 +129,7 @@ class TokenTree:
             before = last
             last = min(last + 1, len(self.leaves) - 1)
             if last > before:
-                old += self.leaves[last]
+                old.extend(self.leaves[last])
                 span += sum(map(len, self.leaves[last]))
         self.encoded += len(fresh)
         self._replace(first, keep, last, fresh + old[meets:])

@@ -51,6 +51,22 @@ def test_an_edit_encodes_little_of_a_long_text(plain):
     assert tree.total == plain(tree.text())
 
 
+def test_an_edit_over_many_leaves_copies_words_once(plain):
+    copied = 0
+
+    class Leaf(list):
+        def __radd__(self, other):  # the words read so far, copied to put a leaf behind them
+            nonlocal copied
+            copied += len(other)
+            return [*other, *self]
+
+    tree = token_counts.tree("x y " * 20_000, bpe.Encoder(bpe.DEFAULT_PATH))
+    tree.leaves = [Leaf(leaf) for leaf in tree.leaves]
+    tree.edit(10, tree.length - 10, "short")
+    assert copied < 100_000
+    assert tree.total == plain(tree.text())
+
+
 def test_short_words_need_no_trie(plain, monkeypatch):
     encoder = bpe.Encoder(bpe.DEFAULT_PATH)
     assert encoder.sizes.merged
